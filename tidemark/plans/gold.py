@@ -12,14 +12,16 @@ single small row before the shuffle, and no join multiplies rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import REVENUE_STATUSES
-from tidemark.functions.exact import MONEY, half_up_ratio, mean, money, rounded_sum
+from tidemark.functions.exact import amount, half_up_ratio, mean, mean_amount, money
 from tidemark.operators.ordering import rank_by_total
 
-Silver = dict[str, DataFrame]
+Silver = Mapping[str, DataFrame]
 
 # ---- Fixed values: satisfaction and tier limits ------------------------------------------
 HIGH_SCORE, MEDIUM_SCORE = 4.0, 3.0
@@ -102,7 +104,7 @@ def _with_previous_day(days: DataFrame, total: str) -> DataFrame:
     ``days`` has one row per calendar day, so ordering it in one task is bounded.
     """
     previous = F.lag(total).over(Window.orderBy("order_date"))
-    change = half_up_ratio((F.col(total) - F.col("previous")) * F.lit(100), F.col("previous"), 2)
+    change = half_up_ratio((F.col(total) - F.col("previous")) * F.lit(100), F.col("previous"), 2, scale=2)
     return days.withColumn("previous", previous).withColumns(
         {
             "prev_day_revenue": F.col("previous").cast("double"),
@@ -121,12 +123,12 @@ def daily_revenue(silver: Silver) -> DataFrame:
     )
     copies, rows = F.col("copies"), F.col("pay_rows")
     days = joined.groupBy(*DAY_KEYS).agg(
-        F.round(F.sum(copies * F.col("pay_sum")), 2).alias("revenue"),
+        amount(F.sum(copies * F.col("pay_sum"))).alias("revenue"),
         # One row per (order, day) is left, so this counts distinct orders.
         N("order_id").alias("order_count"),
         F.sum(copies * F.col("pay_n")).alias("pay_n"),
         F.sum(copies * F.col("pay_sum")).alias("pay_sum"),
-        F.round(F.sum(copies * rows * F.col("freight")), 2).alias("freight"),
+        amount(F.sum(copies * rows * F.col("freight"))).alias("freight"),
         F.sum(rows * F.col("delivery_sum")).alias("delivery_sum"),
         F.sum(rows * F.col("delivery_n")).alias("delivery_n"),
         F.sum(rows * F.col("on_time")).alias("on_time_deliveries"),
@@ -135,7 +137,7 @@ def daily_revenue(silver: Silver) -> DataFrame:
         *DAY_KEYS,
         F.col("revenue").cast("double").alias("total_revenue"),
         "order_count",
-        mean(F.col("pay_sum"), F.col("pay_n"), 2).alias("avg_order_value"),
+        mean_amount(F.col("pay_sum"), F.col("pay_n")).alias("avg_order_value"),
         F.col("freight").cast("double").alias("total_freight"),
         mean(F.col("delivery_sum"), F.col("delivery_n"), 1).alias("avg_delivery_days"),
         "on_time_deliveries",
@@ -154,10 +156,11 @@ def daily_revenue_order_grain(silver: Silver) -> DataFrame:
         freight_per_order(silver["order_items"]), "order_id", "left"
     )
     days = joined.groupBy(*DAY_KEYS).agg(
-        F.round(F.sum("pay_sum"), 2).alias("revenue"),
+        amount(F.sum("pay_sum")).alias("revenue"),
         N("order_id").alias("order_count"),
-        F.round(F.sum("freight"), 2).alias("freight"),
+        amount(F.sum("freight")).alias("freight"),
         N("pay_sum").alias("paid_orders"),
+        F.sum("pay_sum").alias("pay_sum"),
         F.sum("delivery_days").alias("delivery_sum"),
         N("delivery_days").alias("delivery_n"),
         F.count_if("on_time").alias("on_time_deliveries"),
@@ -166,7 +169,7 @@ def daily_revenue_order_grain(silver: Silver) -> DataFrame:
         *DAY_KEYS,
         F.col("revenue").cast("double").alias("total_revenue"),
         "order_count",
-        mean(F.col("revenue"), F.col("paid_orders"), 2).alias("avg_order_value"),
+        mean_amount(F.col("pay_sum"), F.col("paid_orders")).alias("avg_order_value"),
         F.col("freight").cast("double").alias("total_freight"),
         mean(F.col("delivery_sum"), F.col("delivery_n"), 1).alias("avg_delivery_days"),
         "on_time_deliveries",
@@ -197,12 +200,12 @@ def revenue_by_category(silver: Silver) -> DataFrame:
         items.join(orders, "order_id")
         .groupBy("product_category_name")
         .agg(
-            F.round(F.sum(copies * F.col("price_sum")), 2).alias("revenue"),
+            amount(F.sum(copies * F.col("price_sum"))).alias("revenue"),
             N("order_id").alias("order_count"),
             F.sum(copies * F.col("sold")).alias("items_sold"),
             F.sum(copies * F.col("price_sum")).alias("price_sum"),
             F.sum(copies * F.col("price_n")).alias("price_n"),
-            F.round(F.sum(copies * F.col("freight")), 2).alias("freight"),
+            amount(F.sum(copies * F.col("freight"))).alias("freight"),
         )
     )
     # A category list is a small code table, so its ranking may use one task.
@@ -212,7 +215,7 @@ def revenue_by_category(silver: Silver) -> DataFrame:
         F.col("revenue").cast("double").alias("total_revenue"),
         "order_count",
         "items_sold",
-        mean(F.col("price_sum"), F.col("price_n"), 2).alias("avg_item_price"),
+        mean_amount(F.col("price_sum"), F.col("price_n")).alias("avg_item_price"),
         F.col("freight").cast("double").alias("total_freight"),
         "revenue_rank",
     )
@@ -272,7 +275,7 @@ def revenue_by_state(silver: Silver) -> DataFrame:
     )
     places, rows = F.col("places"), F.col("pay_rows")
     totals = joined.groupBy("customer_state").agg(
-        F.round(F.sum(places * F.col("pay_sum")), 2).alias("revenue"),
+        amount(F.sum(places * F.col("pay_sum"))).alias("revenue"),
         N("order_id").alias("order_count"),
         F.sum(places * F.col("pay_sum")).alias("pay_sum"),
         F.sum(places * F.col("pay_n")).alias("pay_n"),
@@ -284,7 +287,7 @@ def revenue_by_state(silver: Silver) -> DataFrame:
         "customer_state",
         F.col("revenue").cast("double").alias("total_revenue"),
         "order_count",
-        mean(F.col("pay_sum"), F.col("pay_n"), 2).alias("avg_order_value"),
+        mean_amount(F.col("pay_sum"), F.col("pay_n")).alias("avg_order_value"),
         mean(F.col("lat_sum"), F.col("lat_n"), 4, scale=6).alias("state_lat"),
         mean(F.col("lng_sum"), F.col("lng_n"), 4, scale=6).alias("state_lng"),
         "revenue_rank",
@@ -304,9 +307,10 @@ def revenue_by_state_order_grain(silver: Silver) -> DataFrame:
         orders.join(payments_per_order(silver["order_payments"]), "order_id", "left")
         .groupBy("customer_state")
         .agg(
-            F.round(F.sum("pay_sum"), 2).alias("revenue"),
+            amount(F.sum("pay_sum")).alias("revenue"),
             N("order_id").alias("order_count"),
             N("pay_sum").alias("paid_orders"),
+        F.sum("pay_sum").alias("pay_sum"),
         )
     )
     ranked = totals.withColumn("revenue_rank", F.rank().over(Window.orderBy(F.desc("revenue"))))
@@ -314,7 +318,7 @@ def revenue_by_state_order_grain(silver: Silver) -> DataFrame:
         "customer_state",
         F.col("revenue").cast("double").alias("total_revenue"),
         "order_count",
-        mean(F.col("revenue"), F.col("paid_orders"), 2).alias("avg_order_value"),
+        mean_amount(F.col("pay_sum"), F.col("paid_orders")).alias("avg_order_value"),
         "revenue_rank",
     )
 
@@ -406,10 +410,10 @@ def seller_totals(silver: Silver) -> DataFrame:
         "seller_id",
         "seller_city",
         "seller_state",
-        F.round(F.col("price_sum") * listings, 2).cast("decimal(38,2)").alias("revenue"),
+        amount(F.col("price_sum") * listings).alias("revenue"),
         "order_count",
         (F.col("items_sold") * listings).alias("items_sold"),
-        mean(F.col("price_sum"), F.col("price_n"), 2).alias("avg_item_price"),
+        mean_amount(F.col("price_sum"), F.col("price_n")).alias("avg_item_price"),
         mean(F.col("score_sum"), F.col("score_n"), 2).alias("avg_review_score"),
         mean(F.col("delivery_sum"), F.col("delivery_n"), 1).alias("avg_delivery_days"),
         (F.col("on_time") * listings).alias("on_time_deliveries"),
@@ -455,10 +459,10 @@ def seller_performance_order_grain(silver: Silver) -> DataFrame:
     )
     joined = items.join(orders, "order_id").join(reviews, "order_id", "left")
     per_seller = joined.groupBy("seller_id").agg(
-        F.round(F.sum("price_sum"), 2).cast("decimal(38,2)").alias("revenue"),
+        amount(F.sum("price_sum")).alias("revenue"),
         N("order_id").alias("order_count"),
         F.sum("item_rows").alias("items_sold"),
-        mean(F.sum("price_sum"), F.sum("price_n"), 2).alias("avg_item_price"),
+        mean_amount(F.sum("price_sum"), F.sum("price_n")).alias("avg_item_price"),
         mean(F.sum("score_sum"), F.sum("score_n"), 2).alias("avg_review_score"),
         F.count_if("on_time").alias("on_time_orders"),
     )
@@ -479,7 +483,7 @@ def top_seller_cities(silver: Silver, n: int = 10) -> DataFrame:
     return (
         seller_totals(silver)
         .groupBy("seller_city")
-        .agg(rounded_sum(F.sum("revenue")).alias("total_revenue"), _rows().alias("sellers"))
+        .agg(F.sum("revenue").cast("double").alias("total_revenue"), _rows().alias("sellers"))
         .orderBy(F.desc("total_revenue"), "seller_city")
         .limit(n)
     )

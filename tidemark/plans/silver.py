@@ -6,12 +6,12 @@ expressions, so a whole table is one scan, one projection and one filter.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import METADATA_COLUMNS
+from tidemark.config import METADATA_COLUMNS, TABLES
 from tidemark.functions.clean import flag, lower_trim, parse_timestamp, upper_trim
 from tidemark.functions.exact import DEGREES, degrees, mean
 
@@ -211,6 +211,26 @@ def clean(table: str, bronze: DataFrame) -> DataFrame:
     return finish(table, typed(table, bronze).where(keep_condition(table)))
 
 
+class CleanTables(Mapping[str, DataFrame]):
+    """Silver tables planned on first use, so a KPI touches only the tables it needs."""
+
+    def __init__(self, bronze: Callable[[str], DataFrame], tables: Iterable[str] = TABLES) -> None:
+        self._bronze, self._tables, self._planned = bronze, tuple(tables), {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self._tables:
+            raise KeyError(table)
+        if table not in self._planned:
+            self._planned[table] = clean(table, self._bronze(table))
+        return self._planned[table]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
 def quarantine(table: str, bronze: DataFrame) -> DataFrame:
     """The rows that ``clean`` drops, each with the first rule it breaks."""
     return (

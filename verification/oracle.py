@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from verification import oracle_kpi
+from verification import oracle_kpi, oracle_quality
 
-ORACLE: dict[str, str] = {**oracle_kpi.QUERIES}
+ORACLE: dict[str, str] = {**oracle_kpi.QUERIES, **oracle_quality.QUERIES}

@@ -179,3 +179,14 @@ def with_tables(body: str, bronze_tables: tuple[str, ...] = (), silver_tables: t
     parts = [f"b_{t} AS ({bronze(t)})" for t in dict.fromkeys(bronze_tables + silver_tables)]
     parts += [f"s_{t} AS ({SILVER[t]})" for t in silver_tables]
     return f"WITH {', '.join(parts)}\n{body}"
+
+
+def ratio_units(numerator: str, denominator: str, places: int) -> str:
+    """Non-negative numerator / denominator, half up, as a whole number of 10^-places."""
+    n, d = f"CAST({numerator} AS HUGEINT)", f"CAST({denominator} AS HUGEINT)"
+    return f"((2 * {n} * {10**places} + {d}) // (2 * {d}))"
+
+
+def ratio_text(numerator: str, denominator: str, places: int) -> str:
+    units, scale = ratio_units(numerator, denominator, places), 10**places
+    return f"(({units} // {scale}) || '.' || lpad(CAST({units} % {scale} AS VARCHAR), {places}, '0'))"
