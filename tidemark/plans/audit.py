@@ -101,9 +101,14 @@ def history(audit: DataFrame) -> DataFrame:
     )
 
 
-def version_loads(audit: DataFrame, table: str, version: int | None = None) -> DataFrame:
-    """The loads that make up a version: the last overwrite up to it and all appends after."""
-    upto = history(audit).where(F.col("table_name") == table)
+def version_loads(audit: DataFrame, table: str | None = None, version: int | None = None) -> DataFrame:
+    """The loads that make up a version: the last overwrite up to it and all appends after.
+
+    Of one table or of every table; the newest version when none is given.
+    """
+    upto = history(audit)
+    if table is not None:
+        upto = upto.where(F.col("table_name") == table)
     if version is not None:
         upto = upto.where(F.col("version") <= version)
     base = F.max(F.when(F.col("write_mode") == "overwrite", F.col("version"))).over(Window.partitionBy("table_name"))

@@ -193,13 +193,6 @@ def _event_audit(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def current_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """The loads of the newest version of every table in the log."""
-    log = _event_audit(spark, folder)
-    kinds = ("click", "error", "purchase", "signup", "view")
-    return _union([audit.version_loads(log, kind) for kind in kinds])
-
-
 # ---- Checks -------------------------------------------------------------------------------
 
 
@@ -376,7 +369,7 @@ QUERIES: dict[str, Query] = {
         "schema_drift_detected", "error_message"
     ),
     "load_history": lambda spark, folder: audit.history(_event_audit(spark, folder)),
-    "current_loads": current_loads,
+    "current_loads": lambda spark, folder: audit.version_loads(_event_audit(spark, folder)),
     "snapshot_restore": snapshot_restore,
     "incremental_append": incremental_append,
     "table_shapes": lambda spark, folder: _union(
