@@ -33,9 +33,8 @@ def row_hash(columns: list[str]) -> Column:
 
     Fixed format: MD5 over the ``|``-joined text of the columns, with ``NULL`` for nulls.
     """
-    return F.md5(
-        F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
-    )
+    parts = ", ".join(f"coalesce(cast(`{name}` AS STRING), 'NULL')" for name in columns)
+    return F.expr(f"md5(concat_ws('|', {parts}))")
 
 
 def row_hash_strict(columns: list[str]) -> Column:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.config import QualityPolicy, StrictPolicy
 from tidemark.functions.clean import parse_date
 from tidemark.functions.exact import UNITS, money
-from tidemark.operators.ordering import at_fraction, value_positions
+from tidemark.operators.ordering import at_fraction, value_counts, value_positions
+from tidemark.session import stage
 
 
 def revenue_days(payments: DataFrame, orders: DataFrame) -> DataFrame:
@@ -59,39 +60,35 @@ def value_profile(df: DataFrame, column: str, policy: StrictPolicy = StrictPolic
     """One row about the non-null values of ``column``.
 
     value_count, mean, deviation, exact quartiles, and how many values are z-score outliers,
-    outside the IQR fences, zero or negative. The column is read and shuffled once, as
-    (value, count); every later step works on that reduced form.
+    outside the IQR fences, zero or negative. The column is scanned and shuffled once into a
+    staged (value, count) table; the statistics are passes over that much smaller table.
     """
-    positions = value_positions(df, column)
-    value, n = F.col(column).cast("double"), F.col("n")
-    first = positions.agg(
+    counts = stage(value_counts(df, column), "values")
+    first = value_positions(counts, column).agg(
         F.max("total").alias("value_count"),
-        (F.sum(n * value) / F.max("total")).alias("mean"),
+        (F.sum(F.expr(f"n * cast({column} AS DOUBLE)")) / F.max("total")).alias("mean"),
         at_fraction(Fraction(1, 4), column).cast("double").alias("q1"),
         at_fraction(Fraction(3, 4), column).cast("double").alias("q3"),
     )
     centre = first.select(F.struct("value_count", "mean", "q1", "q3")).scalar()
-    second = positions.select(n, value.alias("value"), centre.alias("s")).agg(
-        F.sqrt(
-            F.try_divide(
-                F.sum(n * (F.col("value") - F.col("s.mean")) * (F.col("value") - F.col("s.mean"))),
-                F.max("s.value_count") - 1,
-            )
-        ).alias("deviation")
-    )
-    spread = second.select("deviation").scalar()
-    fence = policy.iqr_multiplier * (F.col("s.q3") - F.col("s.q1"))
-    z = F.abs(F.try_divide(F.col("value") - F.col("s.mean"), F.col("deviation")))
-    outside = (F.col("value") > F.col("s.q3") + fence) | (F.col("value") < F.col("s.q1") - fence)
-    counted = lambda condition: F.coalesce(F.sum(F.when(condition, n)), F.lit(0))
-    return positions.select(n, value.alias("value"), centre.alias("s"), spread.alias("deviation")).agg(
-        F.coalesce(F.max("s.value_count"), F.lit(0)).alias("value_count"),
-        F.max("s.mean").alias("mean"),
+    centred = counts.select("n", F.col(column).cast("double").alias("value"), centre.alias("s"))
+    squares = F.expr("sum(n * (value - s.mean) * (value - s.mean))")
+    spread = centred.agg(F.sqrt(F.try_divide(squares, F.expr("max(s.value_count) - 1")))).scalar()
+    z, iqr = policy.value_z, policy.iqr_multiplier
+    return centred.withColumn("deviation", spread).agg(
+        F.expr("coalesce(max(s.value_count), 0)").alias("value_count"),
+        F.expr("max(s.mean)").alias("mean"),
         F.max("deviation").alias("deviation"),
-        F.max("s.q1").alias("q1"),
-        F.max("s.q3").alias("q3"),
-        counted((F.col("deviation") > 0) & (z > policy.value_z)).alias("z_outliers"),
-        counted((F.col("s.q3") > F.col("s.q1")) & outside).alias("iqr_outliers"),
-        counted(F.col("value") == 0).alias("zero_values"),
-        counted(F.col("value") < 0).alias("negative_values"),
+        F.expr("max(s.q1)").alias("q1"),
+        F.expr("max(s.q3)").alias("q3"),
+        *[
+            F.expr(f"coalesce(sum(CASE WHEN {condition} THEN n END), 0)").alias(name)
+            for name, condition in {
+                "z_outliers": f"deviation > 0 AND abs(try_divide(value - s.mean, deviation)) > {z}",
+                "iqr_outliers": f"s.q3 > s.q1 AND (value > s.q3 + {iqr} * (s.q3 - s.q1) "
+                f"OR value < s.q1 - {iqr} * (s.q3 - s.q1))",
+                "zero_values": "value = 0",
+                "negative_values": "value < 0",
+            }.items()
+        ],
     )

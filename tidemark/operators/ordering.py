@@ -28,7 +28,8 @@ def magnitude_bucket(key: Column) -> Column:
     bits = F.length(F.bin(size))
     lead = F.call_function("shiftright", size, F.greatest(bits - _LEADING_BITS, F.lit(0)))
     bucket = bits * F.lit(2**_LEADING_BITS) + lead.cast("int")
-    return F.when(key < 0, -bucket).otherwise(bucket)
+    # Never null, so that no null test is pushed into one of two scans that are otherwise equal.
+    return F.coalesce(F.when(key < 0, -bucket).otherwise(bucket), F.lit(0))
 
 
 def hundredths(value: Column) -> Column:
@@ -37,17 +38,17 @@ def hundredths(value: Column) -> Column:
     return scaled.cast("bigint")
 
 
-def value_positions(df: DataFrame, value: str, descending: bool = False) -> DataFrame:
-    """(value, n, before, total) for every distinct non-null value.
+def value_counts(df: DataFrame, value: str) -> DataFrame:
+    """(value, n) for every distinct non-null value. Equal values combine before the shuffle."""
+    return df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def value_positions(counts: DataFrame, value: str, descending: bool = False) -> DataFrame:
+    """(value, n, before, total) from ``value_counts``.
 
     ``before`` counts the rows that come earlier in the order, ``total`` all rows.
     """
-    counted = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", magnitude_bucket(hundredths(F.col(value))))
-    )
+    counted = counts.withColumn("bucket", magnitude_bucket(hundredths(F.col(value))))
     direction = F.desc if descending else F.asc
     earlier = (Window.unboundedPreceding, -1)
     buckets = (
@@ -90,7 +91,7 @@ def rank_by_total(df: DataFrame, value: str, rank_name: str) -> DataFrame:
     ``df`` is staged first because both the ranking and the result read it.
     """
     staged = stage(df, "ranked")
-    positions = value_positions(staged, value, descending=True).select(
+    positions = value_positions(value_counts(staged, value), value, descending=True).select(
         value, (F.col("before") + 1).cast("int").alias(rank_name)
     )
     last = F.coalesce(staged.agg(F.count(value).alias("n")).select("n").scalar(), F.lit(0)) + 1

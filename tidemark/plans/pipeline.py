@@ -112,20 +112,21 @@ def run_quality(
 
 def run_strict_quality(store: TableStore, ctx: RunContext, tables: Iterable[str] = TABLES) -> DataFrame:
     """Run the strict checks on bronze, append their violations, return the outcomes."""
-    parts = []
+    parts, bronze_tables = [], BronzeTables(store)
     for table in tables:
-        spec = TABLES[table]
         checks = {
-            "strict_duplicate_check": lambda df: quality.strict_duplicate_outcome(df, spec),
-            "strict_null_check": lambda df: quality.strict_null_outcome(df, spec),
-            "strict_staleness_check": lambda df: quality.strict_staleness_outcome(df, spec, ctx.as_of),
-            "strict_value_check": lambda df: quality.strict_value_outcome(df, spec),
+            ("strict_duplicate_check",): lambda: quality.strict_duplicate_outcomes(bronze_tables, [table]),
+            ("strict_null_check", "strict_staleness_check"): lambda: quality.strict_profile_outcomes(
+                bronze_tables, [table], ctx.as_of
+            ),
         }
-        for name, check in checks.items():
+        if TABLES[table].value_columns:
+            checks[("strict_value_check",)] = lambda: quality.strict_value_outcomes(bronze_tables, [table])
+        for names, check in checks.items():
             try:
-                parts.append(stage(check(BronzeTables(store)[table]), "strict"))
+                parts.append(stage(check(), "strict"))
             except Exception as failure:  # reported as ERROR, never as a silent pass
-                parts.append(quality.error_outcomes(store.spark, [name], spec.bronze, str(failure)))
+                parts.append(quality.error_outcomes(store.spark, names, TABLES[table].bronze, str(failure)))
     outcomes = parts[0]
     for part in parts[1:]:
         outcomes = outcomes.unionByName(part)

@@ -32,6 +32,8 @@ OUTCOME_DDL = f"""check_name STRING, table_name STRING, status STRING, rows_scan
     error_message STRING, findings array<{FINDING}>"""
 MICROS_PER_HOUR = 3_600_000_000
 
+Tables = Mapping[str, DataFrame]
+
 
 def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -149,15 +151,26 @@ def _volume_outcome(policy: QualityPolicy) -> Column:
     return _outcome("volume_check", F.col("table_name"), F.when(least > 0, rows).otherwise(0), findings)
 
 
+def _profiles(tables: Tables, names: Iterable[str]) -> DataFrame:
+    """One profile row per table: each table is scanned once for all profile checks."""
+    return _union([profile.table_profile(tables[name], TABLES[name]) for name in names])
+
+
 def profile_outcomes(
-    df: DataFrame, spec: TableSpec, as_of: str, policy: QualityPolicy = QualityPolicy()
+    tables: Tables, names: Iterable[str], as_of: str, policy: QualityPolicy = QualityPolicy()
 ) -> DataFrame:
-    """Null, staleness and volume outcomes of one table from one scan."""
+    """Null, staleness and volume outcomes, from one scan per table."""
     checks = F.array(_null_outcome(policy), _staleness_outcome(policy, as_of), _volume_outcome(policy))
-    return profile.table_profile(df, spec).select(F.inline(checks))
+    return _profiles(tables, names).select(F.inline(checks))
 
 
-def duplicate_outcome(df: DataFrame, spec: TableSpec, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
+def duplicate_outcomes(
+    tables: Tables, names: Iterable[str], policy: QualityPolicy = QualityPolicy()
+) -> DataFrame:
+    summaries = [
+        duplicates.duplicate_summary(tables[name]).withColumn("table_name", F.lit(TABLES[name].bronze))
+        for name in names
+    ]
     extra = F.col("extra_rows")
     finding = _finding(
         None,
@@ -165,8 +178,9 @@ def duplicate_outcome(df: DataFrame, spec: TableSpec, policy: QualityPolicy = Qu
         extra,
         F.format_string("%d repeated rows, %d rows too many", F.col("duplicate_groups"), extra),
     )
-    outcome = _outcome("duplicate_check", spec.bronze, F.col("row_count"), _findings((extra > 0, finding)))
-    return duplicates.duplicate_summary(df).select(F.inline(F.array(outcome)))
+    found = _findings((extra > 0, finding))
+    outcome = _outcome("duplicate_check", F.col("table_name"), F.col("row_count"), found)
+    return _union(summaries).select(F.inline(F.array(outcome)))
 
 
 def revenue_outcome(
@@ -204,7 +218,7 @@ def error_outcomes(spark: SparkSession, checks: Iterable[str], table: str, messa
 # ---- Strict family ------------------------------------------------------------------------
 
 
-def strict_null_outcome(df: DataFrame, spec: TableSpec, policy: StrictPolicy = StrictPolicy()) -> DataFrame:
+def _strict_null_outcome(policy: StrictPolicy) -> Column:
     rows = F.col("row_count")
 
     def finding(entry: Column) -> Column:
@@ -223,14 +237,10 @@ def strict_null_outcome(df: DataFrame, spec: TableSpec, policy: StrictPolicy = S
 
     hit = F.transform(F.filter("nulls", lambda entry: entry["null_count"] > 0), finding)
     empty = F.array(_finding(None, "CRITICAL", F.lit(0), F.lit("the table has no rows")))
-    findings = F.when(rows == 0, empty).otherwise(hit)
-    outcome = _outcome("strict_null_check", spec.bronze, rows, findings)
-    return profile.table_profile(df, spec).select(F.inline(F.array(outcome)))
+    return _outcome("strict_null_check", F.col("table_name"), rows, F.when(rows == 0, empty).otherwise(hit))
 
 
-def strict_staleness_outcome(
-    df: DataFrame, spec: TableSpec, as_of: str, policy: StrictPolicy = StrictPolicy()
-) -> DataFrame:
+def _strict_staleness_outcome(policy: StrictPolicy, as_of: str) -> Column:
     """Staleness by exact age; every row of a stale table is affected. No load time, no check."""
     age, rows = _age(as_of), F.col("row_count")
     beyond = lambda hours: age > F.lit(hours * MICROS_PER_HOUR)
@@ -252,23 +262,39 @@ def strict_staleness_outcome(
             _finding(None, F.when(beyond(policy.stale_critical_hours), "CRITICAL").otherwise("WARNING"), rows, text),
         ),
     )
-    outcome = _outcome("strict_staleness_check", spec.bronze, rows, findings)
-    return profile.table_profile(df, spec).select(F.inline(F.array(outcome)))
+    return _outcome("strict_staleness_check", F.col("table_name"), rows, findings)
 
 
-def strict_duplicate_outcome(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Repeated rows and, where the table has a business key, keys with conflicting rows."""
+def strict_profile_outcomes(
+    tables: Tables, names: Iterable[str], as_of: str, policy: StrictPolicy = StrictPolicy()
+) -> DataFrame:
+    """Strict null and staleness outcomes, from one scan per table."""
+    checks = F.array(_strict_null_outcome(policy), _strict_staleness_outcome(policy, as_of))
+    return _profiles(tables, names).select(F.inline(checks))
+
+
+def _strict_duplicate_row(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """row_count, duplicate_groups, extra_rows, conflicts and the key of one table.
+
+    Without row hashes or without a complete business key there is nothing to compare.
+    """
+    none = F.lit(0).cast("bigint")
     if ROW_HASH not in df.columns:
-        nothing = F.array().cast(f"array<{FINDING}>")
-        outcome = _outcome("strict_duplicate_check", spec.bronze, F.col("row_count"), nothing)
-        return df.agg(F.count(F.lit(1)).alias("row_count")).select(F.inline(F.array(outcome)))
-    summary = duplicates.duplicate_summary(df)
-    with_key = bool(spec.business_key) and all(key in df.columns for key in spec.business_key)
-    conflicts = (
-        duplicates.key_conflicts(df, spec.business_key).agg(F.count(F.lit(1)).alias("n")).scalar()
-        if with_key
-        else F.lit(0).cast("bigint")
+        counted = df.agg(F.count(F.lit(1)).alias("row_count"))
+        counted = counted.withColumns({"duplicate_groups": none, "extra_rows": none, "conflicts": none})
+    else:
+        keyed = bool(spec.business_key) and all(key in df.columns for key in spec.business_key)
+        conflicts = (
+            duplicates.key_conflicts(df, spec.business_key).agg(F.count(F.lit(1))).scalar() if keyed else none
+        )
+        counted = duplicates.duplicate_summary(df).withColumn("conflicts", conflicts)
+    return counted.withColumns(
+        {"table_name": F.lit(spec.bronze), "business_key": F.lit(",".join(spec.business_key))}
     )
+
+
+def strict_duplicate_outcomes(tables: Tables, names: Iterable[str]) -> DataFrame:
+    """Repeated rows and, where the table has a business key, keys with conflicting rows."""
     extra, groups, keys = F.col("extra_rows"), F.col("duplicate_groups"), F.col("conflicts")
     findings = _findings(
         (
@@ -278,72 +304,87 @@ def strict_duplicate_outcome(df: DataFrame, spec: TableSpec) -> DataFrame:
         (
             keys > 0,
             _finding(
-                ",".join(spec.business_key) or None,
+                F.col("business_key"),
                 "WARNING",
                 keys,
                 F.format_string("%d keys have rows with different values", keys),
             ),
         ),
     )
-    outcome = _outcome("strict_duplicate_check", spec.bronze, F.col("row_count"), findings)
-    return summary.withColumn("conflicts", conflicts).select(F.inline(F.array(outcome)))
+    outcome = _outcome("strict_duplicate_check", F.col("table_name"), F.col("row_count"), findings)
+    rows = _union([_strict_duplicate_row(tables[name], TABLES[name]) for name in names])
+    return rows.select(F.inline(F.array(outcome)))
 
 
-def value_findings(stats: Column | str, column: str, policy: StrictPolicy = StrictPolicy()) -> Column:
-    """Findings about one value column from the fields of its ``value_profile``."""
-    of = lambda name: F.col(f"{stats}.{name}")
-    enough = of("value_count") >= policy.min_values
-    text = lambda form, name: F.format_string(form, of(name))
-    return _findings(
-        (
-            enough & (of("z_outliers") > 0),
-            _finding(column, "WARNING", of("z_outliers"), text("%d values are far from the mean", "z_outliers")),
-        ),
-        (
-            enough & (of("iqr_outliers") > 0),
-            _finding(column, "WARNING", of("iqr_outliers"), text("%d values are outside the quartile fences", "iqr_outliers")),
-        ),
-        (
-            enough & (of("zero_values") > 0),
-            _finding(column, "INFO", of("zero_values"), text("%d values are zero", "zero_values")),
-        ),
-        (
-            enough & (of("negative_values") > 0),
-            _finding(column, "WARNING", of("negative_values"), text("%d values are negative", "negative_values")),
-        ),
-    )
+# ---- Fixed values: value findings, their severity and text -------------------------------
+VALUE_FINDINGS = {
+    "z_outliers": ("WARNING", "%d values are far from the mean"),
+    "iqr_outliers": ("WARNING", "%d values are outside the quartile fences"),
+    "zero_values": ("INFO", "%d values are zero"),
+    "negative_values": ("WARNING", "%d values are negative"),
+}
 
 
-def strict_value_outcome(df: DataFrame, spec: TableSpec, policy: StrictPolicy = StrictPolicy()) -> DataFrame:
-    """Outliers, zeros and negatives in the value columns of one table."""
-    columns = [name for name in spec.value_columns if name in df.columns]
-    profiles = {name: anomalies.value_profile(df, name, policy) for name in columns}
-    one = df.sparkSession.range(1).select(
-        F.lit(0).alias("unused"),
-        *[p.select(F.struct(*p.columns)).scalar().alias(name) for name, p in profiles.items()],
+def strict_value_outcomes(
+    tables: Tables, names: Iterable[str], policy: StrictPolicy = StrictPolicy()
+) -> DataFrame:
+    """Outliers, zeros and negatives in the value columns: one outcome per table that has any."""
+    profiles = [
+        anomalies.value_profile(tables[name], column, policy).withColumns(
+            {"table_name": F.lit(TABLES[name].bronze), "column_name": F.lit(column)}
+        )
+        for name in names
+        for column in TABLES[name].value_columns
+        if column in tables[name].columns
+    ]
+    enough = F.col("value_count") >= policy.min_values
+    findings = _findings(
+        *[
+            (
+                enough & (F.col(field) > 0),
+                _finding(F.col("column_name"), severity, F.col(field), F.format_string(text, F.col(field))),
+            )
+            for field, (severity, text) in VALUE_FINDINGS.items()
+        ]
+    )
+    # One row per value column of the configuration is grouped here, never data rows.
+    per_table = (
+        _union(profiles)
+        .select("table_name", "value_count", findings.alias("found"))
+        .groupBy("table_name")
+        .agg(F.max("value_count").alias("value_count"), F.flatten(F.collect_list("found")).alias("found"))
     )
-    findings = F.flatten(F.array(*[value_findings(name, name, policy) for name in columns]))
-    if not columns:
-        findings = F.array().cast(f"array<{FINDING}>")
-    rows = F.greatest(F.lit(0), F.lit(0), *[F.col(f"{name}.value_count") for name in columns])
-    return one.select(F.inline(F.array(_outcome("strict_value_check", spec.bronze, rows, findings))))
+    outcome = _outcome("strict_value_check", F.col("table_name"), F.col("value_count"), F.col("found"))
+    return per_table.select(F.inline(F.array(outcome)))
 
 
-# ---- Runs ---------------------------------------------------------------------------------
+def with_value_columns(names: Iterable[str]) -> list[str]:
+    return [name for name in names if TABLES[name].value_columns]
 
-Tables = Mapping[str, DataFrame]
+
+def strict_outcomes(
+    tables: Tables, as_of: str, names: Iterable[str] = TABLES, policy: StrictPolicy = StrictPolicy()
+) -> DataFrame:
+    """All strict outcomes of the named tables."""
+    names = tuple(names)
+    return _union(
+        [
+            strict_duplicate_outcomes(tables, names),
+            strict_profile_outcomes(tables, names, as_of, policy),
+            strict_value_outcomes(tables, with_value_columns(names), policy),
+        ]
+    )
 
 
+# ---- Runs ---------------------------------------------------------------------------------
+
 def table_outcomes(
     tables: Tables, table: str, as_of: str, policy: QualityPolicy = QualityPolicy()
 ) -> dict[tuple[str, ...], Callable[[], DataFrame]]:
     """The standard checks of one table, grouped by the scan that answers them."""
-    spec = TABLES[table]
     return {
-        ("duplicate_check",): lambda: duplicate_outcome(tables[table], spec, policy),
-        ("null_check", "staleness_check", "volume_check"): lambda: profile_outcomes(
-            tables[table], spec, as_of, policy
-        ),
+        ("duplicate_check",): lambda: duplicate_outcomes(tables, [table], policy),
+        ("null_check", "staleness_check", "volume_check"): lambda: profile_outcomes(tables, [table], as_of, policy),
     }
 
 
@@ -351,9 +392,14 @@ def outcomes(
     tables: Tables, as_of: str, core: Iterable[str] = CORE_TABLES, policy: QualityPolicy = QualityPolicy()
 ) -> DataFrame:
     """All standard outcomes as one lazy DataFrame: four per table and the revenue check."""
-    parts = [make() for table in core for make in table_outcomes(tables, table, as_of, policy).values()]
-    parts.append(revenue_outcome(tables["order_payments"], tables["orders"], policy))
-    return _union(parts)
+    core = tuple(core)
+    return _union(
+        [
+            duplicate_outcomes(tables, core, policy),
+            profile_outcomes(tables, core, as_of, policy),
+            revenue_outcome(tables["order_payments"], tables["orders"], policy),
+        ]
+    )
 
 
 def isolated_outcomes(

@@ -7,7 +7,7 @@ range). Each table is one scan; only the nation names are joined in.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import LOADED_AT, ROW_HASH, SOURCE_FILE, TABLES, VERSION
@@ -15,188 +15,175 @@ from tidemark.functions.clean import row_hash
 from tidemark.sources.schemas import source_columns
 
 LOAD_INSTANT = "2024-01-31 06:00:00"
-# Hours between the load instant and the newest row of each table.
+# Hours between the load instant and the newest batch of each table.
 LOAD_LAG_HOURS = {
     "orders": 0, "order_items": 7, "order_payments": 31, "customers": 55,
     "products": 79, "sellers": 0, "order_reviews": 26, "geolocation": 0,
 }
 
+# Declared so that opening a table starts no job.
+STAR_DDL = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+_TIMES = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """A star table; its zone-less times are read as session-zone timestamps."""
-    df = spark.read.parquet(f"{folder}/{table}.parquet")
-    times = [name for name, kind in df.dtypes if kind == "timestamp_ntz"]
-    return df.withColumns({name: F.col(name).cast("timestamp") for name in times}) if times else df
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _unless(broken: Column, value: Column) -> Column:
-    return F.when(~broken, value)
-
-
-def _moment(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-
-
-def _day(value: Column) -> Column:
-    return F.date_format(value, "yyyy-MM-dd")
-
-
-def _after(start: Column, days: Column | int = 0, hours: Column | int = 0) -> Column:
-    as_int = lambda v: F.lit(v) if isinstance(v, int) else v.cast("int")
-    return start + F.make_dt_interval(as_int(days), as_int(hours))
-
-
-def orders(spark: SparkSession, folder: str) -> DataFrame:
-    key, day = F.col("o_orderkey"), F.col("o_orderdate")
-    bought = _after(day, hours=key % 24)
-    canceled = F.col("o_orderstatus") == "P"
-    # One order in 500 arrives twice.
-    copies = F.when(key % 500 == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    return read(spark, folder, "orders").select(
-        _text("o_orderkey").alias("order_id"),
-        _unless(key % 211 == 0, _text("o_custkey")).alias("customer_id"),
-        F.when(canceled, "canceled")
-        .when(F.col("o_orderstatus") == "F", " Delivered ")
-        .otherwise("SHIPPED")
-        .alias("order_status"),
-        _unless(key % 307 == 0, _moment(bought)).alias("order_purchase_timestamp"),
-        F.when(key % 97 == 0, "bad").otherwise(_moment(_after(bought, hours=1))).alias("order_approved_at"),
-        _day(_after(day, 2)).alias("order_delivered_carrier_date"),
-        _unless(canceled, _moment(_after(day, key % 20, 10))).alias("order_delivered_customer_date"),
-        _day(_after(day, 12)).alias("order_estimated_delivery_date"),
-        F.explode(copies).alias("copy"),
-    ).drop("copy")
-
-
-def order_items(spark: SparkSession, folder: str) -> DataFrame:
-    return read(spark, folder, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _text("l_partkey").alias("product_id"),
-        _text("l_suppkey").alias("seller_id"),
-        _moment(F.col("l_shipdate")).alias("shipping_limit_date"),
-        _unless(F.col("l_orderkey") % 101 == 0, F.col("l_extendedprice")).alias("price"),
-        F.when(F.col("l_tax") == 0, 0.0).otherwise(F.col("l_quantity")).alias("freight_value"),
-    )
-
-
-def order_payments(spark: SparkSession, folder: str) -> DataFrame:
-    flag = F.col("l_returnflag")
-    missing = (F.col("l_orderkey") % 103 == 0) & (F.col("l_linenumber") == 1)
-    return read(spark, folder, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        F.when(flag == "A", " Credit_Card").when(flag == "N", "BOLETO").otherwise("voucher ").alias("payment_type"),
-        (F.col("l_partkey") % 4 + 1).cast("int").alias("payment_installments"),
-        _unless(missing, F.col("l_extendedprice")).alias("payment_value"),
-    )
-
-
-def _nation(spark: SparkSession, folder: str, key: str) -> DataFrame:
-    return read(spark, folder, "nation").select(F.col("n_nationkey").alias(key), "n_name")
-
-
-def _zip(nation: str, key: str) -> Column:
-    return F.concat(F.lit(" "), (F.col(nation) * 40 + F.col(key) % 40).cast("string"))
-
-
-def customers(spark: SparkSession, folder: str) -> DataFrame:
-    named = read(spark, folder, "customer").join(_nation(spark, folder, "c_nationkey"), "c_nationkey", "left")
-    return named.select(
-        _text("c_custkey").alias("customer_id"),
-        _unless(F.col("c_custkey") % 113 == 0, F.col("c_name")).alias("customer_unique_id"),
-        _zip("c_nationkey", "c_custkey").alias("customer_zip_code_prefix"),
-        F.concat(F.lit("  "), F.col("c_mktsegment")).alias("customer_city"),
-        F.concat(F.lower("n_name"), F.lit(" ")).alias("customer_state"),
-    )
+STAMP, DAY = "'yyyy-MM-dd HH:mm:ss'", "'yyyy-MM-dd'"
 
 
-def products(spark: SparkSession, folder: str) -> DataFrame:
-    size = F.col("p_size")
-    return read(spark, folder, "part").select(
-        _text("p_partkey").alias("product_id"),
-        _unless(F.col("p_partkey") % 10 == 0, F.concat(F.lit(" "), F.upper("p_type"))).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        (size * 10).alias("product_description_lenght"),
-        (size % 5).alias("product_photos_qty"),
-        (size * 100).cast("double").alias("product_weight_g"),
-        size.cast("double").alias("product_length_cm"),
-        (size * 0.5).cast("double").alias("product_height_cm"),
-        (size * 0.25).cast("double").alias("product_width_cm"),
-    )
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A star table; its zone-less time is read as a session-zone timestamp."""
+    df = spark.read.schema(STAR_DDL[table]).parquet(f"{folder}/{table}.parquet")
+    time = _TIMES.get(table)
+    return df.withColumn(time, F.col(time).cast("timestamp")) if time else df
 
 
-def sellers(spark: SparkSession, folder: str) -> DataFrame:
-    named = read(spark, folder, "supplier").join(_nation(spark, folder, "s_nationkey"), "s_nationkey", "left")
-    return named.select(
-        _text("s_suppkey").alias("seller_id"),
-        _zip("s_nationkey", "s_suppkey").alias("seller_zip_code_prefix"),
-        F.concat(F.lit(" City "), (F.col("s_suppkey") % 37).cast("string")).alias("seller_city"),
-        F.concat(F.lower("n_name"), F.lit(" ")).alias("seller_state"),
-    )
+def _later(start: str, days: str = "0", hours: str = "0") -> str:
+    return f"{start} + make_dt_interval(cast({days} AS INT), cast({hours} AS INT))"
 
 
-def order_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    key, day, priority = F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderpriority")
-    numbers = F.when(key % 11 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
-    numbered = read(spark, folder, "orders").withColumn("number", F.explode(numbers))
-    first = F.col("number") == 1
-    score = F.when(first, _unless(key % 13 == 0, key % 7)).otherwise(key % 5 + 1)
-    return numbered.select(
-        F.concat(F.lit("r"), _text("o_orderkey"), F.lit("-"), _text("number")).alias("review_id"),
-        _text("o_orderkey").alias("order_id"),
-        score.cast("int").alias("review_score"),
-        _unless(key % 3 == 0, F.concat(F.lit(" Title "), _text("o_custkey"), F.lit(" "))).alias(
-            "review_comment_title"
-        ),
-        F.when(priority == "1-URGENT", F.lit(None).cast("string"))
-        .when(priority == "2-HIGH", "   ")
-        .otherwise(F.concat(F.lit("  "), priority, F.lit(" ok ")))
-        .alias("review_comment_message"),
-        _day(_after(day, 1)).alias("review_creation_date"),
-        F.when(key % 89 == 0, "bad").otherwise(_moment(_after(day, key % 4 + 1, 9))).alias("review_answer_timestamp"),
-    )
+def _zip(nation: str, key: str) -> str:
+    return f"concat(' ', cast({nation} * 40 + {key} % 40 AS STRING))"
 
 
-def geolocation(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    degree = (key % 45).cast("double")
-    part = (key % 8).cast("double") * 0.125
-    return read(spark, folder, "customer").select(
-        _zip("c_nationkey", "c_custkey").alias("geolocation_zip_code_prefix"),
-        (part - degree).alias("geolocation_lat"),
-        (F.lit(-34.0) - degree + part).alias("geolocation_lng"),
-        F.concat(F.col("c_mktsegment"), F.lit(" ")).alias("geolocation_city"),
-        F.lit(" sp ").alias("geolocation_state"),
-    )
+_BOUGHT = _later("o_orderdate", hours="o_orderkey % 24")
 
+# Source columns as SQL expressions over the star table.
+COLUMNS: dict[str, tuple[str, dict[str, str]]] = {
+    "orders": (
+        "orders",
+        {
+            "order_id": "cast(o_orderkey AS STRING)",
+            "customer_id": "CASE WHEN o_orderkey % 211 <> 0 THEN cast(o_custkey AS STRING) END",
+            "order_status": """CASE o_orderstatus WHEN 'P' THEN 'canceled' WHEN 'F' THEN ' Delivered '
+                ELSE 'SHIPPED' END""",
+            "order_purchase_timestamp": f"CASE WHEN o_orderkey % 307 <> 0 THEN date_format({_BOUGHT}, {STAMP}) END",
+            "order_approved_at": f"""CASE WHEN o_orderkey % 97 = 0 THEN 'bad'
+                ELSE date_format({_later(_BOUGHT, hours="1")}, {STAMP}) END""",
+            "order_delivered_carrier_date": f"date_format({_later('o_orderdate', '2')}, {DAY})",
+            "order_delivered_customer_date": f"""CASE WHEN o_orderstatus <> 'P'
+                THEN date_format({_later('o_orderdate', 'o_orderkey % 20', '10')}, {STAMP}) END""",
+            "order_estimated_delivery_date": f"date_format({_later('o_orderdate', '12')}, {DAY})",
+        },
+    ),
+    "order_items": (
+        "lineitem",
+        {
+            "order_id": "cast(l_orderkey AS STRING)",
+            "order_item_id": "l_linenumber",
+            "product_id": "cast(l_partkey AS STRING)",
+            "seller_id": "cast(l_suppkey AS STRING)",
+            "shipping_limit_date": f"date_format(l_shipdate, {STAMP})",
+            "price": "CASE WHEN l_orderkey % 101 <> 0 THEN l_extendedprice END",
+            "freight_value": "CASE WHEN l_tax = 0 THEN 0D ELSE l_quantity END",
+        },
+    ),
+    "order_payments": (
+        "lineitem",
+        {
+            "order_id": "cast(l_orderkey AS STRING)",
+            "payment_sequential": "l_linenumber",
+            "payment_type": "CASE l_returnflag WHEN 'A' THEN ' Credit_Card' WHEN 'N' THEN 'BOLETO' ELSE 'voucher ' END",
+            "payment_installments": "cast(l_partkey % 4 + 1 AS INT)",
+            "payment_value": "CASE WHEN NOT (l_orderkey % 103 = 0 AND l_linenumber = 1) THEN l_extendedprice END",
+        },
+    ),
+    "customers": (
+        "customer",
+        {
+            "customer_id": "cast(c_custkey AS STRING)",
+            "customer_unique_id": "CASE WHEN c_custkey % 113 <> 0 THEN c_name END",
+            "customer_zip_code_prefix": _zip("c_nationkey", "c_custkey"),
+            "customer_city": "concat('  ', c_mktsegment)",
+            "customer_state": "concat(lower(n_name), ' ')",
+        },
+    ),
+    "products": (
+        "part",
+        {
+            "product_id": "cast(p_partkey AS STRING)",
+            "product_category_name": "CASE WHEN p_partkey % 10 <> 0 THEN concat(' ', upper(p_type)) END",
+            "product_name_lenght": "length(p_name)",
+            "product_description_lenght": "p_size * 10",
+            "product_photos_qty": "p_size % 5",
+            "product_weight_g": "cast(p_size * 100 AS DOUBLE)",
+            "product_length_cm": "cast(p_size AS DOUBLE)",
+            "product_height_cm": "p_size / 2D",
+            "product_width_cm": "p_size / 4D",
+        },
+    ),
+    "sellers": (
+        "supplier",
+        {
+            "seller_id": "cast(s_suppkey AS STRING)",
+            "seller_zip_code_prefix": _zip("s_nationkey", "s_suppkey"),
+            "seller_city": "concat(' City ', cast(s_suppkey % 37 AS STRING))",
+            "seller_state": "concat(lower(n_name), ' ')",
+        },
+    ),
+    "order_reviews": (
+        "orders",
+        {
+            "review_id": "concat('r', cast(o_orderkey AS STRING), '-', cast(copy AS STRING))",
+            "order_id": "cast(o_orderkey AS STRING)",
+            "review_score": """cast(CASE WHEN copy = 2 THEN o_orderkey % 5 + 1
+                WHEN o_orderkey % 13 <> 0 THEN o_orderkey % 7 END AS INT)""",
+            "review_comment_title": "CASE WHEN o_orderkey % 3 <> 0 THEN concat(' Title ', cast(o_custkey AS STRING), ' ') END",
+            "review_comment_message": """CASE o_orderpriority WHEN '1-URGENT' THEN NULL WHEN '2-HIGH' THEN '   '
+                ELSE concat('  ', o_orderpriority, ' ok ') END""",
+            "review_creation_date": f"date_format({_later('o_orderdate', '1')}, {DAY})",
+            "review_answer_timestamp": f"""CASE WHEN o_orderkey % 89 = 0 THEN 'bad'
+                ELSE date_format({_later('o_orderdate', 'o_orderkey % 4 + 1', '9')}, {STAMP}) END""",
+        },
+    ),
+    "geolocation": (
+        "customer",
+        {
+            "geolocation_zip_code_prefix": _zip("c_nationkey", "c_custkey"),
+            "geolocation_lat": "(c_custkey % 8) / 8D - (c_custkey % 45)",
+            "geolocation_lng": "-34D - (c_custkey % 45) + (c_custkey % 8) / 8D",
+            "geolocation_city": "concat(c_mktsegment, ' ')",
+            "geolocation_state": "' sp '",
+        },
+    ),
+}
 
-_MAKERS = {
-    "orders": orders, "order_items": order_items, "order_payments": order_payments,
-    "customers": customers, "products": products, "sellers": sellers,
-    "order_reviews": order_reviews, "geolocation": geolocation,
+# One order in 500 arrives twice; one in 11 has a second review.
+_COPIES = {
+    "orders": "explode(CASE WHEN o_orderkey % 500 = 7 THEN array(1, 2) ELSE array(1) END) AS copy",
+    "order_reviews": "explode(CASE WHEN o_orderkey % 11 = 0 THEN array(1, 2) ELSE array(1) END) AS copy",
 }
+_NATION_KEY = {"customers": "c_nationkey", "sellers": "s_nationkey"}
 
 
 def source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One source table, as a file of it would be read."""
-    return _MAKERS[table](spark, folder)
+    star, columns = COLUMNS[table]
+    df = read(spark, folder, star)
+    if table in _COPIES:
+        df = df.selectExpr("*", _COPIES[table])
+    if table in _NATION_KEY:
+        nation = read(spark, folder, "nation")
+        df = df.join(nation, df[_NATION_KEY[table]] == nation["n_nationkey"], "left")
+    return df.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
 def bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    """One bronze table: the source table with load metadata that grows older row by row."""
-    df = source(spark, folder, table)
-    hashed = row_hash(source_columns(table))
-    # Rows were loaded over three days; the newest batch decides how fresh the table is.
-    batch = F.conv(F.substring(ROW_HASH, 1, 4), 16, 10).cast("int") % 3
-    newest = F.expr(f"timestamp '{LOAD_INSTANT}' - interval '{LOAD_LAG_HOURS[table]}' hour")
-    return df.withColumn(ROW_HASH, hashed).withColumns(
+    """One bronze table: the source table with load metadata from three daily batches."""
+    first = source_columns(table)[0]
+    newest = f"timestamp '{LOAD_INSTANT}' - interval '{LOAD_LAG_HOURS[table]}' hour"
+    return source(spark, folder, table).withColumns(
         {
-            LOADED_AT: newest - F.make_dt_interval(batch),
+            ROW_HASH: row_hash(source_columns(table)),
+            LOADED_AT: F.expr(f"{newest} - make_dt_interval(length({first}) % 3)"),
             SOURCE_FILE: F.lit(TABLES[table].source_file()),
             VERSION: F.lit("1.0.0"),
         }

@@ -87,7 +87,7 @@ def bronze(table: str) -> str:
     """The bronze table: source columns plus the four metadata columns."""
     return f"""
         SELECT *, TIMESTAMP '{LOAD_INSTANT}' - to_hours({LOAD_LAG_HOURS[table]})
-                  - to_days(CAST(('0x' || substr(_row_hash, 1, 4)) AS INTEGER) % 3) AS _ingestion_timestamp,
+                  - to_days(CAST(length({source_columns(table)[0]}) % 3 AS INTEGER)) AS _ingestion_timestamp,
                'olist_{table}_dataset.csv' AS _source_file, '1.0.0' AS _pipeline_version
         FROM (SELECT *, {row_hash(table)} AS _row_hash FROM ({SOURCE[table]}))"""
 

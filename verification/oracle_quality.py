@@ -250,10 +250,10 @@ def drift_row(table: str) -> str:
 
 VIOLATION_HISTORY = """
     SELECT 'null_check' AS check_name, date_trunc('month', o_orderdate) AS check_timestamp,
-           CASE WHEN nulls * 100 > total THEN 'CRITICAL' ELSE 'WARNING' END AS severity, nulls AS violation_count,
+           CASE WHEN nulls * 5 > total THEN 'CRITICAL' ELSE 'WARNING' END AS severity, nulls AS violation_count,
            o_orderpriority AS table_name
     FROM (SELECT date_trunc('month', o_orderdate) AS o_orderdate, o_orderpriority, count(*) AS total,
-                 count(*) FILTER (o_orderkey % 97 = 0) AS nulls FROM orders GROUP BY 1, 2)
+                 count(*) FILTER (o_orderkey % 5 = 3) AS nulls FROM orders GROUP BY 1, 2)
     WHERE nulls > 0"""
 
 EVENTS_PER_DAY = "SELECT CAST(ts AS DATE) AS day, count(*) AS row_count FROM events GROUP BY 1"

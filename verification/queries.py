@@ -200,19 +200,12 @@ def _findings(outcome: DataFrame) -> DataFrame:
     return outcome.select("check_name", "table_name", "rows_scanned", F.inline("findings"))
 
 
-def _per_table(check: Callable[..., DataFrame], *args: object) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        tables = StarBronze(spark, folder)
-        return _findings(_union([check(tables[t], spec, *args) for t, spec in TABLES.items()]))
-
-    return run
+def _check(outcomes: Callable[..., DataFrame], *args: object, name: str | None = None) -> Query:
+    """Findings of one check over all tables."""
 
-
-def _profile_check(name: str) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        tables = StarBronze(spark, folder)
-        parts = [quality.profile_outcomes(tables[t], spec, AS_OF) for t, spec in TABLES.items()]
-        return _findings(_union(parts).where(F.col("check_name") == name))
+        outcome = outcomes(StarBronze(spark, folder), tuple(TABLES), *args)
+        return _findings(outcome.where(F.col("check_name") == name) if name else outcome)
 
     return run
 
@@ -293,14 +286,7 @@ def dq_violation_samples(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_strict_violations(spark: SparkSession, folder: str) -> DataFrame:
-    tables, parts = StarBronze(spark, folder), []
-    for table, spec in TABLES.items():
-        parts.append(quality.strict_duplicate_outcome(tables[table], spec))
-        parts.append(quality.strict_null_outcome(tables[table], spec))
-        parts.append(quality.strict_staleness_outcome(tables[table], spec, AS_OF))
-        if spec.value_columns:
-            parts.append(quality.strict_value_outcome(tables[table], spec))
-    return _without_samples(_union(parts))
+    return _without_samples(quality.strict_outcomes(StarBronze(spark, folder), AS_OF))
 
 
 # ---- Over time ----------------------------------------------------------------------------
@@ -328,12 +314,12 @@ def _violation_history(spark: SparkSession, folder: str) -> DataFrame:
     """A violations table in which every month of orders is one run of a null check."""
     month = F.date_trunc("month", "o_orderdate").alias("check_timestamp")
     counted = star.read(spark, folder, "orders").groupBy(month, "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.col("o_orderkey") % 97 == 0).alias("violation_count")
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("o_orderkey") % 5 == 3).alias("violation_count")
     )
     return counted.where(F.col("violation_count") > 0).select(
         F.lit("null_check").alias("check_name"),
         F.col("o_orderpriority").alias("table_name"),
-        F.when(F.col("violation_count") * 100 > F.col("total"), "CRITICAL").otherwise("WARNING").alias("severity"),
+        F.when(F.col("violation_count") * 5 > F.col("total"), "CRITICAL").otherwise("WARNING").alias("severity"),
         "violation_count",
         "check_timestamp",
     )
@@ -381,13 +367,13 @@ QUERIES: dict[str, Query] = {
     "dup_key_conflicts": lambda spark, folder: duplicates.key_conflicts(
         star.bronze(spark, folder, "order_payments"), TABLES["order_payments"].business_key
     ),
-    "duplicate_check": _per_table(quality.duplicate_outcome),
-    "null_check_a": _profile_check("null_check"),
-    "null_check_b": _per_table(quality.strict_null_outcome),
+    "duplicate_check": _check(quality.duplicate_outcomes),
+    "null_check_a": _check(quality.profile_outcomes, AS_OF, name="null_check"),
+    "null_check_b": _check(quality.strict_profile_outcomes, AS_OF, name="strict_null_check"),
     "null_row_sample": null_row_sample,
-    "staleness_a": _profile_check("staleness_check"),
-    "staleness_b": _per_table(quality.strict_staleness_outcome, AS_OF),
-    "volume_check": _profile_check("volume_check"),
+    "staleness_a": _check(quality.profile_outcomes, AS_OF, name="staleness_check"),
+    "staleness_b": _check(quality.strict_profile_outcomes, AS_OF, name="strict_staleness_check"),
+    "volume_check": _check(quality.profile_outcomes, AS_OF, name="volume_check"),
     "revenue_anomaly_days": revenue_anomaly_days,
     "value_outliers_z": _values("value_count", "z_outliers"),
     "value_outliers_iqr": _values("q1", "q3", "iqr_outliers"),
