@@ -43,6 +43,16 @@ def _revenue_orders(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_status").isin(*REVENUE_STATUSES))
 
 
+def _spread(key: str) -> Column:
+    """A second grouping key that follows from the first, so it changes no group.
+
+    A side grouped by ``key`` alone is already partitioned for a join by ``key`` and joins
+    without a shuffle of its own. Adaptive execution splits a dominant key only between two
+    plain shuffles, so where the other side may hold such a key this side is grouped by both.
+    """
+    return F.crc32(F.col(key)).alias("spread")
+
+
 # ---- One row per key --------------------------------------------------------------------
 
 
@@ -73,7 +83,7 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
-def delivery_per_order(orders: DataFrame, *more_keys: str) -> DataFrame:
+def delivery_per_order(orders: DataFrame, *more_keys: str | Column) -> DataFrame:
     return orders.groupBy("order_id", *more_keys).agg(
         _rows().alias("copies"),
         N("delivery_days").alias("delivery_n"),
@@ -237,7 +247,8 @@ def top_categories(silver: Silver, n: int = 10) -> DataFrame:
 def zip_positions(geolocation: DataFrame) -> DataFrame:
     """Weights per zip code: a zip has one geolocation row per spelling of its city."""
     lat, lng = F.col("geolocation_lat").cast("decimal(18,6)"), F.col("geolocation_lng").cast("decimal(18,6)")
-    return geolocation.groupBy(F.col("geolocation_zip_code_prefix").alias("customer_zip_code_prefix")).agg(
+    zips = geolocation.withColumnRenamed("geolocation_zip_code_prefix", "customer_zip_code_prefix")
+    return zips.groupBy("customer_zip_code_prefix", _spread("customer_zip_code_prefix")).agg(
         _rows().alias("geo_rows"),
         N("geolocation_lat").alias("lat_n"),
         F.sum(lat).alias("lat_sum"),
@@ -367,6 +378,14 @@ def customer_satisfaction(silver: Silver) -> DataFrame:
 # ---- Seller performance -----------------------------------------------------------------
 
 
+def _items_per_seller(items: DataFrame) -> DataFrame:
+    return items.groupBy("order_id", "seller_id").agg(
+        _rows().alias("item_rows"),
+        N("price").alias("price_n"),
+        F.sum(money("price")).alias("price_sum"),
+    )
+
+
 def _sellers_listed(sellers: DataFrame) -> DataFrame:
     return sellers.groupBy("seller_id", "seller_city", "seller_state").agg(_rows().alias("listings"))
 
@@ -374,25 +393,18 @@ def _sellers_listed(sellers: DataFrame) -> DataFrame:
 def seller_totals(silver: Silver) -> DataFrame:
     """Unranked seller KPIs; an item counts once per review of its order.
 
-    Seller attributes join after the reduction to one row per seller, so a dominant seller
-    is one row by then.
+    What is known per order is joined first, so items of an order with very many sellers meet
+    it in a single join that can be split. Seller attributes join after the reduction to one
+    row per seller, so a dominant seller is one row by then.
     """
-    items = silver["order_items"].groupBy("order_id", "seller_id").agg(
-        _rows().alias("item_rows"),
-        N("price").alias("price_n"),
-        F.sum(money("price")).alias("price_sum"),
-    )
-    orders = delivery_per_order(_revenue_orders(silver["orders"]))
-    reviews = silver["order_reviews"].groupBy("order_id").agg(
+    orders = delivery_per_order(_revenue_orders(silver["orders"]), _spread("order_id"))
+    reviews = silver["order_reviews"].groupBy("order_id", _spread("order_id")).agg(
         _rows().alias("rev_rows"),
         N("review_score").alias("score_n"),
         F.sum("review_score").alias("score_sum"),
     )
-    joined = (
-        items.join(orders, "order_id")
-        .join(reviews, "order_id", "left")
-        .withColumn("rev_rows", _or_one("rev_rows"))
-    )
+    facts = orders.join(reviews, ["order_id", "spread"], "left").withColumn("rev_rows", _or_one("rev_rows"))
+    joined = _items_per_seller(silver["order_items"]).join(facts, "order_id")
     item_rows, copies, rev_rows = F.col("item_rows"), F.col("copies"), F.col("rev_rows")
     per_seller = joined.groupBy("seller_id").agg(
         F.sum(F.col("price_sum") * copies * rev_rows).alias("price_sum"),
@@ -446,18 +458,14 @@ def seller_performance(silver: Silver) -> DataFrame:
 
 def seller_performance_order_grain(silver: Silver) -> DataFrame:
     """Seller KPIs with every item counted once and review scores averaged per order."""
-    items = silver["order_items"].groupBy("order_id", "seller_id").agg(
-        _rows().alias("item_rows"),
-        N("price").alias("price_n"),
-        F.sum(money("price")).alias("price_sum"),
-    )
-    orders = _revenue_orders(silver["orders"]).groupBy("order_id").agg(
+    orders = _revenue_orders(silver["orders"]).groupBy("order_id", _spread("order_id")).agg(
         F.bool_or("delivered_on_time").alias("on_time")
     )
-    reviews = silver["order_reviews"].groupBy("order_id").agg(
+    reviews = silver["order_reviews"].groupBy("order_id", _spread("order_id")).agg(
         N("review_score").alias("score_n"), F.sum("review_score").alias("score_sum")
     )
-    joined = items.join(orders, "order_id").join(reviews, "order_id", "left")
+    facts = orders.join(reviews, ["order_id", "spread"], "left")
+    joined = _items_per_seller(silver["order_items"]).join(facts, "order_id")
     per_seller = joined.groupBy("seller_id").agg(
         amount(F.sum("price_sum")).alias("revenue"),
         N("order_id").alias("order_count"),

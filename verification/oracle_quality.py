@@ -249,10 +249,10 @@ def drift_row(table: str) -> str:
 
 
 VIOLATION_HISTORY = """
-    SELECT 'null_check' AS check_name, date_trunc('month', o_orderdate) AS check_timestamp,
+    SELECT 'null_check' AS check_name, date_trunc('quarter', o_orderdate) AS check_timestamp,
            CASE WHEN nulls * 5 > total THEN 'CRITICAL' ELSE 'WARNING' END AS severity, nulls AS violation_count,
            o_orderpriority AS table_name
-    FROM (SELECT date_trunc('month', o_orderdate) AS o_orderdate, o_orderpriority, count(*) AS total,
+    FROM (SELECT date_trunc('quarter', o_orderdate) AS o_orderdate, o_orderpriority, count(*) AS total,
                  count(*) FILTER (o_orderkey % 5 = 3) AS nulls FROM orders GROUP BY 1, 2)
     WHERE nulls > 0"""
 
@@ -389,5 +389,5 @@ QUERIES: dict[str, str] = {
                      CAST(sum(violation_count) AS BIGINT) AS affected_rows FROM ({VIOLATION_HISTORY}) GROUP BY 1, 2, 3)""",
     "open_critical": f"""
         SELECT check_name, table_name, check_timestamp, violation_count FROM ({VIOLATION_HISTORY})
-        WHERE severity = 'CRITICAL' AND check_timestamp = (SELECT date_trunc('month', max(o_orderdate)) FROM orders)""",
+        WHERE severity = 'CRITICAL' AND check_timestamp = (SELECT date_trunc('quarter', max(o_orderdate)) FROM orders)""",
 }

@@ -311,9 +311,9 @@ def cross_batch_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _violation_history(spark: SparkSession, folder: str) -> DataFrame:
-    """A violations table in which every month of orders is one run of a null check."""
-    month = F.date_trunc("month", "o_orderdate").alias("check_timestamp")
-    counted = star.read(spark, folder, "orders").groupBy(month, "o_orderpriority").agg(
+    """A violations table in which every quarter of orders is one run of a null check."""
+    quarter = F.date_trunc("quarter", "o_orderdate").alias("check_timestamp")
+    counted = star.read(spark, folder, "orders").groupBy(quarter, "o_orderpriority").agg(
         F.count(F.lit(1)).alias("total"), F.count_if(F.col("o_orderkey") % 5 == 3).alias("violation_count")
     )
     return counted.where(F.col("violation_count") > 0).select(
@@ -326,7 +326,7 @@ def _violation_history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def open_critical(spark: SparkSession, folder: str) -> DataFrame:
-    runs = star.read(spark, folder, "orders").select(F.date_trunc("month", "o_orderdate").alias("run_timestamp"))
+    runs = star.read(spark, folder, "orders").select(F.date_trunc("quarter", "o_orderdate").alias("run_timestamp"))
     return quality.open_critical(_violation_history(spark, folder), runs).select(
         "check_name", "table_name", "check_timestamp", "violation_count"
     )
