@@ -31,7 +31,7 @@ def test_positions_count_the_rows_before(spark, descending):
     drawn = values(2)
     df = spark.createDataFrame([(v,) for v in drawn], "v double")
     known = sorted((v for v in drawn if v is not None), reverse=descending)
-    out = value_positions(value_counts(df, "v"), "v", descending).collect()
+    out = value_positions(value_counts(df, "v"), "v", descending=descending).collect()
     assert sum(r["n"] for r in out) == len(known)
     for r in out:
         assert known.index(r["v"]) == r["before"] and r["total"] == len(known)

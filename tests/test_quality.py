@@ -215,7 +215,7 @@ def test_repeated_orders_weigh_in(spark):
 def test_value_profile_against_python(spark):
     rng = random.Random(6)
     drawn = [round(rng.gauss(50, 5), 2) for _ in range(2000)] + [500.0, 900.0, 0.0, 0.0, -3.0, None]
-    row = anomalies.value_profile(spark.createDataFrame([(v,) for v in drawn], "v double"), "v").first()
+    row = anomalies.value_profiles({"t": (spark.createDataFrame([(v,) for v in drawn], "v double"), ["v"])}).first()
     known = sorted(v for v in drawn if v is not None)
     mean, deviation = statistics.fmean(known), statistics.stdev(known)
     q1, q3 = known[-(-len(known) // 4) - 1], known[-(-3 * len(known) // 4) - 1]
@@ -228,7 +228,7 @@ def test_value_profile_against_python(spark):
 
 @pytest.mark.parametrize("drawn", [[], [None, None], [5.0], [5.0] * 40])
 def test_value_profile_without_spread(spark, drawn):
-    row = anomalies.value_profile(spark.createDataFrame([(v,) for v in drawn], "v double"), "v").first()
+    row = anomalies.value_profiles({"t": (spark.createDataFrame([(v,) for v in drawn], "v double"), ["v"])}).first()
     assert row["value_count"] == len([v for v in drawn if v is not None])
     assert (row["z_outliers"], row["iqr_outliers"], row["zero_values"]) == (0, 0, 0)
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from fractions import Fraction
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,39 +58,63 @@ def unusual_days(days: DataFrame, policy: QualityPolicy = QualityPolicy()) -> Da
     )
 
 
-def value_profile(df: DataFrame, column: str, policy: StrictPolicy = StrictPolicy()) -> DataFrame:
-    """One row about the non-null values of ``column``.
+# ---- Fixed values: what counts as an outlier, a zero and a negative value -----------------
+def _value_tests(policy: StrictPolicy) -> dict[str, str]:
+    z, iqr = policy.value_z, policy.iqr_multiplier
+    return {
+        "z_outliers": f"deviation > 0 AND abs(try_divide(value - mean, deviation)) > {z}",
+        "iqr_outliers": f"q3 > q1 AND (value > q3 + {iqr} * (q3 - q1) OR value < q1 - {iqr} * (q3 - q1))",
+        "zero_values": "value = 0",
+        "negative_values": "value < 0",
+    }
+
+
+def _long_values(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(table_name, column_name, value) for every row and value column, from one scan."""
+    each = ", ".join(f"struct('{c}' AS column_name, cast(`{c}` AS DOUBLE) AS value)" for c in columns)
+    return df.select(F.lit(table).alias("table_name"), F.expr(f"inline(array({each}))"))
+
+
+def value_profiles(
+    sources: Mapping[str, tuple[DataFrame, Sequence[str]]], policy: StrictPolicy = StrictPolicy()
+) -> DataFrame:
+    """One row per value column about its non-null values: {table name: (table, columns)} in.
 
     value_count, mean, deviation, exact quartiles, and how many values are z-score outliers,
-    outside the IQR fences, zero or negative. The column is scanned and shuffled once into a
-    staged (value, count) table; the statistics are passes over that much smaller table.
+    outside the IQR fences, zero or negative. Every table is scanned once, for all its columns,
+    into one staged (table, column, value, n) table; the statistics are passes over that much
+    smaller table.
     """
-    counts = stage(value_counts(df, column), "values")
-    first = value_positions(counts, column).agg(
-        F.max("total").alias("value_count"),
-        (F.sum(F.expr(f"n * cast({column} AS DOUBLE)")) / F.max("total")).alias("mean"),
-        at_fraction(Fraction(1, 4), column).cast("double").alias("q1"),
-        at_fraction(Fraction(3, 4), column).cast("double").alias("q3"),
+    by = ["table_name", "column_name"]
+    values = reduce(DataFrame.unionByName, [_long_values(t, df, columns) for t, (df, columns) in sources.items()])
+    counts = stage(value_counts(values, "value", *by), "values")
+    first = (
+        value_positions(counts, "value", *by)
+        .groupBy(*by)
+        .agg(
+            F.max("total").alias("value_count"),
+            F.expr("sum(n * value) / max(total)").alias("mean"),
+            at_fraction(Fraction(1, 4), "value").alias("q1"),
+            at_fraction(Fraction(3, 4), "value").alias("q3"),
+        )
     )
-    centre = first.select(F.struct("value_count", "mean", "q1", "q3")).scalar()
-    centred = counts.select("n", F.col(column).cast("double").alias("value"), centre.alias("s"))
-    squares = F.expr("sum(n * (value - s.mean) * (value - s.mean))")
-    spread = centred.agg(F.sqrt(F.try_divide(squares, F.expr("max(s.value_count) - 1")))).scalar()
-    z, iqr = policy.value_z, policy.iqr_multiplier
-    return centred.withColumn("deviation", spread).agg(
-        F.expr("coalesce(max(s.value_count), 0)").alias("value_count"),
-        F.expr("max(s.mean)").alias("mean"),
-        F.max("deviation").alias("deviation"),
-        F.expr("max(s.q1)").alias("q1"),
-        F.expr("max(s.q3)").alias("q3"),
-        *[
-            F.expr(f"coalesce(sum(CASE WHEN {condition} THEN n END), 0)").alias(name)
-            for name, condition in {
-                "z_outliers": f"deviation > 0 AND abs(try_divide(value - s.mean, deviation)) > {z}",
-                "iqr_outliers": f"s.q3 > s.q1 AND (value > s.q3 + {iqr} * (s.q3 - s.q1) "
-                f"OR value < s.q1 - {iqr} * (s.q3 - s.q1))",
-                "zero_values": "value = 0",
-                "negative_values": "value < 0",
-            }.items()
-        ],
+    # One row per value column: small enough to send along with the next pass.
+    centred = counts.join(F.broadcast(first), by)
+    spread = centred.groupBy(*by).agg(
+        F.expr("sqrt(try_divide(sum(n * (value - mean) * (value - mean)), max(value_count) - 1))").alias("deviation")
+    )
+    tested = (
+        centred.join(F.broadcast(spread), by)
+        .groupBy(*by)
+        .agg(
+            *[F.max(c).alias(c) for c in ("value_count", "mean", "deviation", "q1", "q3")],
+            *[
+                F.expr(f"coalesce(sum(CASE WHEN {test} THEN n END), 0)").alias(name)
+                for name, test in _value_tests(policy).items()
+            ],
+        )
     )
+    # A column without any value still has a row.
+    named = [(table, column) for table, (_, columns) in sources.items() for column in columns]
+    listed = counts.sparkSession.createDataFrame(named, "table_name string, column_name string")
+    return listed.join(tested, by, "left").fillna({name: 0 for name in ("value_count", *_value_tests(policy))})

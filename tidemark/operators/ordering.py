@@ -38,34 +38,35 @@ def hundredths(value: Column) -> Column:
     return scaled.cast("bigint")
 
 
-def value_counts(df: DataFrame, value: str) -> DataFrame:
-    """(value, n) for every distinct non-null value. Equal values combine before the shuffle."""
-    return df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+def value_counts(df: DataFrame, value: str, *by: str) -> DataFrame:
+    """(by, value, n) for every distinct non-null value. Equal values combine before the shuffle."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_positions(counts: DataFrame, value: str, descending: bool = False) -> DataFrame:
-    """(value, n, before, total) from ``value_counts``.
+def value_positions(counts: DataFrame, value: str, *by: str, descending: bool = False) -> DataFrame:
+    """(by, value, n, before, total) from ``value_counts``.
 
-    ``before`` counts the rows that come earlier in the order, ``total`` all rows.
+    ``before`` counts the rows that come earlier in the order, ``total`` all rows, both within
+    ``by`` (names of a short list, such as column names).
     """
     counted = counts.withColumn("bucket", magnitude_bucket(hundredths(F.col(value))))
     direction = F.desc if descending else F.asc
     earlier = (Window.unboundedPreceding, -1)
-    buckets = (
-        counted.groupBy("bucket")
-        .agg(F.sum("n").alias("bucket_n"))
-        # One row per bucket: a bounded list, whatever the data size.
-        .select(
-            "bucket",
-            F.sum("bucket_n").over(Window.orderBy(direction("bucket")).rowsBetween(*earlier)).alias("offset"),
-            F.sum("bucket_n").over(Window.partitionBy()).alias("total"),
-        )
+    # One row per bucket: a bounded list, whatever the data size.
+    buckets = counted.groupBy(*by, "bucket").agg(F.sum("n").alias("bucket_n"))
+    listed = Window.partitionBy(*by)
+    buckets = buckets.select(
+        *by,
+        "bucket",
+        F.sum("bucket_n").over(listed.orderBy(direction("bucket")).rowsBetween(*earlier)).alias("offset"),
+        F.sum("bucket_n").over(listed).alias("total"),
     )
-    inside = Window.partitionBy("bucket").orderBy(direction(value)).rowsBetween(*earlier)
+    inside = Window.partitionBy(*by, "bucket").orderBy(direction(value)).rowsBetween(*earlier)
     return (
         counted.withColumn("local", F.sum("n").over(inside))
-        .join(F.broadcast(buckets), "bucket")
+        .join(F.broadcast(buckets), [*by, "bucket"])
         .select(
+            *by,
             value,
             "n",
             (F.coalesce("offset", F.lit(0)) + F.coalesce("local", F.lit(0))).alias("before"),

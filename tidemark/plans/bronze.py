@@ -60,7 +60,8 @@ def load_table(
 ) -> str:
     """Load one source file. Returns SUCCESS, PARTIAL or FAILED; the audit log has the details.
 
-    Rows and unreadable values are counted while writing, so the data is read once.
+    Rows and unreadable values are counted while writing, so the data is read once. The job is
+    one stage from file to table, so a task that runs again counts once.
     """
     spark, load_id = store.spark, load_id or uuid.uuid4().hex
     source_file = source_path.rstrip("/").rsplit("/", 1)[-1]

@@ -39,6 +39,11 @@ def _or_one(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(1))
 
 
+def _times(total: Column, weight: Column) -> Column:
+    """``total`` counted ``weight`` times; the usual weight of one costs no decimal product."""
+    return F.when(weight == 1, total.cast("decimal(38,0)")).otherwise(total * weight)
+
+
 def _revenue_orders(orders: DataFrame) -> DataFrame:
     return orders.where(F.col("order_status").isin(*REVENUE_STATUSES))
 
@@ -133,12 +138,12 @@ def daily_revenue(silver: Silver) -> DataFrame:
     )
     copies, rows = F.col("copies"), F.col("pay_rows")
     days = joined.groupBy(*DAY_KEYS).agg(
-        amount(F.sum(copies * F.col("pay_sum"))).alias("revenue"),
+        amount(F.sum(_times(F.col("pay_sum"), copies))).alias("revenue"),
         # One row per (order, day) is left, so this counts distinct orders.
         N("order_id").alias("order_count"),
         F.sum(copies * F.col("pay_n")).alias("pay_n"),
-        F.sum(copies * F.col("pay_sum")).alias("pay_sum"),
-        amount(F.sum(copies * rows * F.col("freight"))).alias("freight"),
+        F.sum(_times(F.col("pay_sum"), copies)).alias("pay_sum"),
+        amount(F.sum(_times(F.col("freight"), copies * rows))).alias("freight"),
         F.sum(rows * F.col("delivery_sum")).alias("delivery_sum"),
         F.sum(rows * F.col("delivery_n")).alias("delivery_n"),
         F.sum(rows * F.col("on_time")).alias("on_time_deliveries"),
@@ -199,9 +204,9 @@ def revenue_by_category(silver: Silver) -> DataFrame:
         .groupBy("order_id", "product_category_name")
         .agg(
             F.sum(F.when(F.col("product_id").isNotNull(), weight).otherwise(0)).alias("sold"),
-            F.sum(weight * money("price")).alias("price_sum"),
+            F.sum(_times(money("price"), weight)).alias("price_sum"),
             F.sum(F.when(F.col("price").isNotNull(), weight)).alias("price_n"),
-            F.sum(weight * money("freight_value")).alias("freight"),
+            F.sum(_times(money("freight_value"), weight)).alias("freight"),
         )
     )
     orders = _revenue_orders(silver["orders"]).groupBy("order_id").agg(_rows().alias("copies"))
@@ -210,12 +215,12 @@ def revenue_by_category(silver: Silver) -> DataFrame:
         items.join(orders, "order_id")
         .groupBy("product_category_name")
         .agg(
-            amount(F.sum(copies * F.col("price_sum"))).alias("revenue"),
+            amount(F.sum(_times(F.col("price_sum"), copies))).alias("revenue"),
             N("order_id").alias("order_count"),
             F.sum(copies * F.col("sold")).alias("items_sold"),
-            F.sum(copies * F.col("price_sum")).alias("price_sum"),
+            F.sum(_times(F.col("price_sum"), copies)).alias("price_sum"),
             F.sum(copies * F.col("price_n")).alias("price_n"),
-            amount(F.sum(copies * F.col("freight"))).alias("freight"),
+            amount(F.sum(_times(F.col("freight"), copies))).alias("freight"),
         )
     )
     # A category list is a small code table, so its ranking may use one task.
@@ -286,9 +291,9 @@ def revenue_by_state(silver: Silver) -> DataFrame:
     )
     places, rows = F.col("places"), F.col("pay_rows")
     totals = joined.groupBy("customer_state").agg(
-        amount(F.sum(places * F.col("pay_sum"))).alias("revenue"),
+        amount(F.sum(_times(F.col("pay_sum"), places))).alias("revenue"),
         N("order_id").alias("order_count"),
-        F.sum(places * F.col("pay_sum")).alias("pay_sum"),
+        F.sum(_times(F.col("pay_sum"), places)).alias("pay_sum"),
         F.sum(places * F.col("pay_n")).alias("pay_n"),
         *[F.sum(rows * F.col(c)).alias(c) for c in ("lat_sum", "lat_n", "lng_sum", "lng_n")],
     )
@@ -406,11 +411,12 @@ def seller_totals(silver: Silver) -> DataFrame:
     facts = orders.join(reviews, ["order_id", "spread"], "left").withColumn("rev_rows", _or_one("rev_rows"))
     joined = _items_per_seller(silver["order_items"]).join(facts, "order_id")
     item_rows, copies, rev_rows = F.col("item_rows"), F.col("copies"), F.col("rev_rows")
+    times = copies * rev_rows
     per_seller = joined.groupBy("seller_id").agg(
-        F.sum(F.col("price_sum") * copies * rev_rows).alias("price_sum"),
-        F.sum(F.col("price_n") * copies * rev_rows).alias("price_n"),
+        F.sum(_times(F.col("price_sum"), times)).alias("price_sum"),
+        F.sum(F.col("price_n") * times).alias("price_n"),
         N("order_id").alias("order_count"),
-        F.sum(item_rows * copies * rev_rows).alias("items_sold"),
+        F.sum(item_rows * times).alias("items_sold"),
         F.sum(item_rows * copies * F.col("score_sum")).alias("score_sum"),
         F.sum(item_rows * copies * F.col("score_n")).alias("score_n"),
         F.sum(item_rows * rev_rows * F.col("delivery_sum")).alias("delivery_sum"),

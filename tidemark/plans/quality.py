@@ -329,14 +329,11 @@ def strict_value_outcomes(
     tables: Tables, names: Iterable[str], policy: StrictPolicy = StrictPolicy()
 ) -> DataFrame:
     """Outliers, zeros and negatives in the value columns: one outcome per table that has any."""
-    profiles = [
-        anomalies.value_profile(tables[name], column, policy).withColumns(
-            {"table_name": F.lit(TABLES[name].bronze), "column_name": F.lit(column)}
-        )
+    present = {
+        TABLES[name].bronze: (tables[name], [c for c in TABLES[name].value_columns if c in tables[name].columns])
         for name in names
-        for column in TABLES[name].value_columns
-        if column in tables[name].columns
-    ]
+    }
+    profiles = anomalies.value_profiles({name: pair for name, pair in present.items() if pair[1]}, policy)
     enough = F.col("value_count") >= policy.min_values
     findings = _findings(
         *[
@@ -349,8 +346,7 @@ def strict_value_outcomes(
     )
     # One row per value column of the configuration is grouped here, never data rows.
     per_table = (
-        _union(profiles)
-        .select("table_name", "value_count", findings.alias("found"))
+        profiles.select("table_name", "value_count", findings.alias("found"))
         .groupBy("table_name")
         .agg(F.max("value_count").alias("value_count"), F.flatten(F.collect_list("found")).alias("found"))
     )

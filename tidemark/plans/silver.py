@@ -201,14 +201,14 @@ def typed(table: str, bronze: DataFrame) -> DataFrame:
     return TYPED[table](bronze).drop(*METADATA_COLUMNS)
 
 
-def finish(table: str, kept: DataFrame) -> DataFrame:
-    """Last step after the row filter: only the geolocation table is regrouped."""
-    return mean_position(kept) if table == "geolocation" else kept
+# Tables that get a new grain after the row filter.
+REGROUPED: dict[str, Callable[[DataFrame], DataFrame]] = {"geolocation": mean_position}
 
 
 def clean(table: str, bronze: DataFrame) -> DataFrame:
     """The silver table of ``table``."""
-    return finish(table, typed(table, bronze).where(keep_condition(table)))
+    kept = typed(table, bronze).where(keep_condition(table))
+    return REGROUPED[table](kept) if table in REGROUPED else kept
 
 
 class CleanTables(Mapping[str, DataFrame]):

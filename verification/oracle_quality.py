@@ -220,7 +220,7 @@ LOAD_STATUS = union(
 
 AUDIT = """
     SELECT event_type || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS audit_id, event_type AS table_name,
-           CASE WHEN count(*) FILTER (user_id % 97 = 0) >= 2 THEN 'FAILED' WHEN count(*) < 66 THEN 'PARTIAL' ELSE 'SUCCESS' END AS load_status,
+           CASE WHEN count(*) FILTER (user_id % 97 = 0) * 50 > count(*) THEN 'FAILED' WHEN count(*) < 66 THEN 'PARTIAL' ELSE 'SUCCESS' END AS load_status,
            count(*) AS rows_loaded, CAST(66 AS BIGINT) AS rows_expected_min, max(ts) AS ingestion_timestamp,
            'load-' || strftime(CAST(ts AS DATE), '%Y%m%d') AS load_id,
            CASE WHEN day(CAST(ts AS DATE)) % 7 = 1 THEN 'overwrite' ELSE 'append' END AS write_mode

@@ -179,7 +179,7 @@ def _event_audit(spark: SparkSession, folder: str) -> DataFrame:
     return grouped.select(
         F.concat_ws("-", "event_type", F.col("day").cast("string")).alias("audit_id"),
         F.col("event_type").alias("table_name"),
-        F.when(F.col("faults") >= 2, "FAILED")
+        F.when(F.col("faults") * 50 > F.col("rows_loaded"), "FAILED")
         .when(F.col("rows_loaded") < 66, "PARTIAL")
         .otherwise("SUCCESS")
         .alias("load_status"),
@@ -246,20 +246,12 @@ def revenue_anomaly_days(spark: SparkSession, folder: str) -> DataFrame:
 def _value_profiles(spark: SparkSession, folder: str) -> DataFrame:
     tables = StarBronze(spark, folder)
     columns = {
-        ("order_payments", "payment_value"): tables["order_payments"],
-        ("order_items", "price"): tables["order_items"],
-        ("order_items", "freight_value"): tables["order_items"],
-        ("events", "value"): star.read(spark, folder, "events"),
-        ("customer", "c_acctbal"): star.read(spark, folder, "customer"),
+        "order_payments": (tables["order_payments"], ["payment_value"]),
+        "order_items": (tables["order_items"], ["price", "freight_value"]),
+        "events": (star.read(spark, folder, "events"), ["value"]),
+        "customer": (star.read(spark, folder, "customer"), ["c_acctbal"]),
     }
-    return _union(
-        [
-            anomalies.value_profile(df, column).select(
-                F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "*"
-            )
-            for (table, column), df in columns.items()
-        ]
-    )
+    return anomalies.value_profiles(columns)
 
 
 def _values(*names: str, found: str | None = None) -> Query:
