@@ -191,6 +191,17 @@ def test_append_counts_the_batch_not_the_table(store, tmp_path):
     assert bronze.load_table(store, spec, second, ctx("2024-01-02"), "append") == "PARTIAL"
 
 
+def test_undeclared_table_is_inferred(store, tmp_path):
+    spec = ORDERS.__class__("coupons", 1, ("code",))
+    path = text_file(tmp_path, "c.csv", "code,worth", "a,5", "b,7")
+    assert bronze.load_table(store, spec, path, ctx()) == "SUCCESS"
+    log = bronze.read_audit(store).first()
+    loaded = store.read_loads("bronze_coupons", [log["load_id"]])
+    assert dict(loaded.dtypes)["worth"] == "int" and loaded.count() == 2 and log["schema_drift_detected"] is None
+    bad = ORDERS.__class__("coupons", 1, ("missing",))
+    assert bronze.load_table(store, bad, path, ctx("2024-01-02")) == "FAILED"
+
+
 def test_failed_audit_write_does_not_fail_the_load(store, tmp_path, monkeypatch):
     monkeypatch.setattr(TableStore, "append", lambda *a: 1 / 0)
     path = orders_csv(tmp_path, "1.csv", line("a"))

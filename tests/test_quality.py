@@ -245,7 +245,7 @@ def test_value_checks_need_thirty_values(spark, rows, found):
 
 
 def outcome_frame(spark, rows):
-    return spark.createDataFrame([(c, "t", s, 1, None, [(None, "INFO", 1, "x")] * n) for c, s, n in rows], quality.OUTCOME_DDL)
+    return spark.createDataFrame([(c, "t", s, 1, None, [(None, "INFO", 1, "x", None)] * n) for c, s, n in rows], quality.OUTCOME_DDL)
 
 
 def test_rollup_and_summary(spark):
@@ -287,6 +287,19 @@ def test_samples_hold_rows_as_json(spark, small):
     assert sorted(r["violation_id"] for r in again) == sorted(r["violation_id"] for r in found)
 
 
+def test_strict_samples(spark):
+    a, b = orders(2)
+    df = loaded(frame(spark, "orders", [a, b, (*b[:2], "shipped", *b[3:])]))
+    values = [("o", i, "x", 1, 10.0 + i % 3) for i in range(60)] + [("o", 99, "x", 1, 5000.0), ("o", 98, "x", 1, -4000.0)]
+    tables = {"orders": df, "order_payments": loaded(frame(spark, "order_payments", values))}
+    outcome = quality.strict_duplicate_outcomes(tables, ["orders"]).unionByName(quality.strict_value_outcomes(tables, ["order_payments"]))
+    found = quality.violations(outcome, CTX, quality.samples(tables, ("orders",), "strict_")).collect()
+    texts = {(r["column_name"], r["violation_detail"].split(" ", 1)[1]): json.loads(r["sample_records"]) for r in found}
+    assert [json.loads(t) for t in texts[("order_id", "keys have rows with different values")]] == [{"order_id": "o1", "row_count": 2}]
+    assert texts[("payment_value", "values are far from the mean")] == [-4000.0, 5000.0]
+    assert texts[("payment_value", "values are negative")] == []
+
+
 def test_default_run_has_twenty_one_checks(spark):
     tables = {t: loaded(frame(spark, t, [])) for t in CORE_TABLES}
     assert quality.outcomes(tables, NOW).count() == 21

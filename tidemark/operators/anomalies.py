@@ -58,6 +58,9 @@ def unusual_days(days: DataFrame, policy: QualityPolicy = QualityPolicy()) -> Da
     )
 
 
+OUTLIERS = ("z_outliers", "iqr_outliers")
+
+
 # ---- Fixed values: what counts as an outlier, a zero and a negative value -----------------
 def _value_tests(policy: StrictPolicy) -> dict[str, str]:
     z, iqr = policy.value_z, policy.iqr_multiplier
@@ -81,7 +84,8 @@ def value_profiles(
     """One row per value column about its non-null values: {table name: (table, columns)} in.
 
     value_count, mean, deviation, exact quartiles, and how many values are z-score outliers,
-    outside the IQR fences, zero or negative. Every table is scanned once, for all its columns,
+    outside the IQR fences, zero or negative, and the lowest and highest outlier of either kind
+    (``<kind>_min``, ``<kind>_max``). Every table is scanned once, for all its columns,
     into one staged (table, column, value, n) table; the statistics are passes over that much
     smaller table.
     """
@@ -112,6 +116,11 @@ def value_profiles(
                 F.expr(f"coalesce(sum(CASE WHEN {test} THEN n END), 0)").alias(name)
                 for name, test in _value_tests(policy).items()
             ],
+            *[
+                F.expr(f"{bound}(CASE WHEN {_value_tests(policy)[name]} THEN value END)").alias(f"{name}_{bound}")
+                for name in OUTLIERS
+                for bound in ("min", "max")
+            ],
         )
     )
     # A column without any value still has a row.

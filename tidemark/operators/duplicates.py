@@ -13,11 +13,6 @@ def _hash_key() -> Column:
     return F.coalesce(F.unhex(ROW_HASH), F.encode(ROW_HASH, "UTF-8"))
 
 
-def _hash_words() -> list[Column]:
-    """The 32 hex digits of the row hash as three numbers, so that min and max stay cheap."""
-    return [F.conv(F.substring(ROW_HASH, start, size), 16, 10).cast("bigint") for start, size in ((1, 15), (16, 15), (31, 2))]
-
-
 def _copies(df: DataFrame) -> DataFrame:
     return df.groupBy(_hash_key().alias("hash_key")).agg(F.count(F.lit(1)).alias("copies"))
 
@@ -54,18 +49,13 @@ def duplicate_sample(df: DataFrame, limit: int = 5) -> DataFrame:
 def key_conflicts(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Business keys that occur in several rows with different content: (keys, row_count).
 
-    Different content shows as a smallest and a largest hash word that differ, which needs
-    one shuffle and combines before it, where a distinct count would shuffle every hash.
+    Different content shows as a smallest and a largest row hash that differ, which combines
+    before the one shuffle; a distinct count would shuffle every hash.
     """
-    words = _hash_words()
-    bounds = [f(w).alias(f"{n}{i}") for i, w in enumerate(words) for n, f in (("low", F.min), ("high", F.max))]
-    differs = F.col("low0") != F.col("high0")
-    for i in range(1, len(words)):
-        differs = differs | (F.col(f"low{i}") != F.col(f"high{i}"))
     return (
         df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("row_count"), *bounds)
-        .where((F.col("row_count") > 1) & differs)
+        .agg(F.count(F.lit(1)).alias("row_count"), F.min(ROW_HASH).alias("low"), F.max(ROW_HASH).alias("high"))
+        .where((F.col("row_count") > 1) & (F.col("low") != F.col("high")))
         .select(*keys, "row_count")
     )
 

@@ -14,7 +14,7 @@ from tidemark.functions.clean import row_hash, row_hash_strict
 from tidemark.operators import drift
 from tidemark.plans import audit
 from tidemark.sources.files import TableStore, read_csv
-from tidemark.sources.schemas import source_schema
+from tidemark.sources.schemas import SOURCE_DDL, source_schema
 
 log = logging.getLogger(__name__)
 AUDIT_TABLE = "bronze_ingestion_audit"
@@ -44,8 +44,13 @@ def read_source(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFr
     """A source file as text by header name, and its drift from the declared columns.
 
     With a declared schema Spark would map columns by position, so a renamed or moved column
-    would pass unseen; names are therefore taken from the header.
+    would pass unseen; names are therefore taken from the header. A table without a declared
+    schema gets inferred types.
     """
+    if spec.name not in SOURCE_DDL:
+        inferred = read_csv(spark, path, multiline=spec.multiline, infer=True)
+        missing = tuple(name for name in spec.critical if name not in inferred.columns)
+        return inferred, drift.Drift(spec.bronze, missing_columns=missing, critical_missing=missing)
     text = read_csv(spark, path, multiline=spec.multiline)
     return text, drift.header_drift(text, source_schema(spec.name), spec.bronze, spec.critical)
 
@@ -70,7 +75,8 @@ def load_table(
         text, found = read_source(spark, spec, source_path)
         if found.critical_missing:
             raise CriticalColumnsMissing(f"critical columns missing: {', '.join(found.critical_missing)}")
-        expected = source_schema(spec.name)
+        # Inferred columns are what they are declared to be.
+        expected = source_schema(spec.name) if spec.name in SOURCE_DDL else text.schema
         counts = Observation()
         observed = text.observe(
             counts,

@@ -104,6 +104,14 @@ def run_gold(store: TableStore) -> DataFrame:
     return _report(store.spark, _each(gold.GOLD, build))
 
 
+def _samples(tables: quality.Tables, names: Iterable[str], family: str) -> DataFrame | None:
+    try:
+        return stage(quality.samples(tables, names, family), "samples")
+    except Exception as failure:  # violations are worth having without samples
+        log.error("no samples: %s", failure)
+        return None
+
+
 def run_quality(
     store: TableStore, ctx: RunContext, core: Iterable[str] = CORE_TABLES, with_samples: bool = True
 ) -> DataFrame:
@@ -111,19 +119,17 @@ def run_quality(
     core = tuple(core)
     tables = BronzeTables(store)
     outcomes = stage(quality.isolated_outcomes(store.spark, tables, ctx.as_of, core), "run")
-    sample = None
-    if with_samples:
-        try:
-            sample = stage(quality.samples(tables, core), "samples")
-        except Exception as failure:  # violations are worth having without samples
-            log.error("no samples: %s", failure)
+    sample = _samples(tables, core, "") if with_samples else None
     store.append(quality.violations(outcomes, ctx, sample).coalesce(1), "quality", "dq_violations")
     store.append(quality.summary(outcomes, ctx).coalesce(1), "quality", "dq_summary")
     return outcomes
 
 
-def run_strict_quality(store: TableStore, ctx: RunContext, tables: Iterable[str] = TABLES) -> DataFrame:
+def run_strict_quality(
+    store: TableStore, ctx: RunContext, tables: Iterable[str] = TABLES, with_samples: bool = True
+) -> DataFrame:
     """Run the strict checks on bronze, append their violations, return the outcomes."""
+    tables = tuple(tables)
     parts, bronze_tables = [], BronzeTables(store)
     for table in tables:
         checks = {
@@ -142,5 +148,6 @@ def run_strict_quality(store: TableStore, ctx: RunContext, tables: Iterable[str]
     outcomes = parts[0]
     for part in parts[1:]:
         outcomes = outcomes.unionByName(part)
-    store.append(quality.violations(outcomes, ctx).coalesce(1), "quality", "dq_violations")
+    sample = _samples(bronze_tables, tables, "strict_") if with_samples else None
+    store.append(quality.violations(outcomes, ctx, sample).coalesce(1), "quality", "dq_violations")
     return outcomes

@@ -27,10 +27,11 @@ from tidemark.functions.exact import half_up_ratio, percent
 from tidemark.operators import anomalies, duplicates, profile
 from tidemark.session import stage
 
-FINDING = "struct<column_name:string,severity:string,violation_count:bigint,violation_detail:string>"
+FINDING = "struct<column_name:string,severity:string,violation_count:bigint,violation_detail:string,sample_records:string>"
 OUTCOME_DDL = f"""check_name STRING, table_name STRING, status STRING, rows_scanned BIGINT,
     error_message STRING, findings array<{FINDING}>"""
 MICROS_PER_HOUR = 3_600_000_000
+SAMPLE_KEYS = 3
 
 Tables = Mapping[str, DataFrame]
 
@@ -39,7 +40,9 @@ def _union(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _finding(column: Column | str | None, severity: Column | str, count: Column, detail: Column) -> Column:
+def _finding(
+    column: Column | str | None, severity: Column | str, count: Column, detail: Column, sample: Column | None = None
+) -> Column:
     name = F.lit(column) if column is None or isinstance(column, str) else column
     level = F.lit(severity) if isinstance(severity, str) else severity
     return F.struct(
@@ -47,6 +50,7 @@ def _finding(column: Column | str | None, severity: Column | str, count: Column,
         level.alias("severity"),
         count.cast("bigint").alias("violation_count"),
         detail.alias("violation_detail"),
+        (F.lit(None) if sample is None else sample).cast("string").alias("sample_records"),
     ).cast(FINDING)
 
 
@@ -335,11 +339,17 @@ def strict_value_outcomes(
     }
     profiles = anomalies.value_profiles({name: pair for name, pair in present.items() if pair[1]}, policy)
     enough = F.col("value_count") >= policy.min_values
+
+    def extremes(field: str) -> Column | None:
+        if field not in anomalies.OUTLIERS:
+            return None
+        return F.to_json(F.array_distinct(F.array(f"{field}_min", f"{field}_max")))
+
     findings = _findings(
         *[
             (
                 enough & (F.col(field) > 0),
-                _finding(F.col("column_name"), severity, F.col(field), F.format_string(text, F.col(field))),
+                _finding(F.col("column_name"), severity, F.col(field), F.format_string(text, F.col(field)), extremes(field)),
             )
             for field, (severity, text) in VALUE_FINDINGS.items()
         ]
@@ -427,35 +437,42 @@ def isolated_outcomes(
     return _union(parts)
 
 
-def samples(tables: Tables, core: Iterable[str] = CORE_TABLES) -> DataFrame:
-    """Sample rows per (check, table, column) for the checks that point at rows."""
+def samples(tables: Tables, core: Iterable[str] = CORE_TABLES, family: str = "") -> DataFrame:
+    """Sample rows per (check, table, column) for the checks that point at rows.
+
+    ``family="strict_"`` gives those of the strict checks, with sample keys for conflicts.
+    """
     parts = []
     for table in core:
         df, spec = tables[table], TABLES[table]
-        label = lambda check: [F.lit(check).alias("check_name"), F.lit(spec.bronze).alias("table_name")]
-        repeated = profile.as_sample(
-            duplicates.duplicate_sample(df).withColumn("column_name", F.lit(None).cast("string")), "column_name"
-        )
-        nulls = profile.as_sample(profile.null_rows(df, spec), "column_name")
-        parts.append(repeated.select(*label("duplicate_check"), "column_name", "sample_records"))
-        parts.append(nulls.select(*label("null_check"), "column_name", "sample_records"))
+
+        def add(check: str, rows: DataFrame) -> None:
+            sample = profile.as_sample(rows, "column_name")
+            label = [F.lit(f"{family}{check}").alias("check_name"), F.lit(spec.bronze).alias("table_name")]
+            parts.append(sample.select(*label, "column_name", "sample_records"))
+
+        no_column = F.lit(None).cast("string")
+        add("duplicate_check", duplicates.duplicate_sample(df).withColumn("column_name", no_column))
+        add("null_check", profile.null_rows(df, spec))
+        if family and spec.business_key:
+            keys = duplicates.key_conflicts(df, spec.business_key).orderBy(*spec.business_key).limit(SAMPLE_KEYS)
+            add("duplicate_check", keys.withColumn("column_name", F.lit(",".join(spec.business_key))))
     return _union(parts)
 
 
 def violations(outcome: DataFrame, ctx: RunContext, sample: DataFrame | None = None) -> DataFrame:
     """One row per finding, in the layout of the violations table."""
     found = outcome.select("check_name", "table_name", F.inline("findings"))
-    if sample is None:
-        found = found.withColumn("sample_records", F.lit("[]"))
-    else:
+    if sample is not None:
+        named = sample.select("check_name", "table_name", "column_name", F.col("sample_records").alias("rows"))
         same = (
-            (found["check_name"] == sample["check_name"])
-            & (found["table_name"] == sample["table_name"])
-            & found["column_name"].eqNullSafe(sample["column_name"])
+            (found["check_name"] == named["check_name"])
+            & (found["table_name"] == named["table_name"])
+            & found["column_name"].eqNullSafe(named["column_name"])
         )
-        found = found.join(sample, same, "left").select(
-            *[found[c] for c in found.columns],
-            F.coalesce(sample["sample_records"], F.lit("[]")).alias("sample_records"),
+        found = found.join(named, same, "left").select(
+            *[found[c] for c in found.columns if c != "sample_records"],
+            F.coalesce(found["sample_records"], named["rows"]).alias("sample_records"),
         )
     # Derived, not random: a run that is repeated produces the same ids.
     identity = F.md5(
@@ -471,7 +488,7 @@ def violations(outcome: DataFrame, ctx: RunContext, sample: DataFrame | None = N
         "severity",
         "violation_count",
         "violation_detail",
-        "sample_records",
+        F.coalesce("sample_records", F.lit("[]")).alias("sample_records"),
         F.lit(ctx.as_of).cast("timestamp").alias("check_timestamp"),
         F.lit(ctx.environment).alias("environment"),
     )

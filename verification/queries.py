@@ -197,7 +197,7 @@ def _event_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _findings(outcome: DataFrame) -> DataFrame:
-    return outcome.select("check_name", "table_name", "rows_scanned", F.inline("findings"))
+    return outcome.select("check_name", "table_name", "rows_scanned", F.inline("findings")).drop("sample_records")
 
 
 def _check(outcomes: Callable[..., DataFrame], *args: object, name: str | None = None) -> Query:
