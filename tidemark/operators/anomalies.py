@@ -102,8 +102,9 @@ def value_profiles(
             at_fraction(Fraction(3, 4), "value").alias("q3"),
         )
     )
-    # One row per value column: small enough to send along with the next pass.
-    centred = counts.join(F.broadcast(first), by)
+    # One row per value column, staged because both passes below need it: small enough to send
+    # along with them.
+    centred = counts.join(F.broadcast(stage(first, "quartiles")), by)
     spread = centred.groupBy(*by).agg(
         F.expr("sqrt(try_divide(sum(n * (value - mean) * (value - mean)), max(value_count) - 1))").alias("deviation")
     )
