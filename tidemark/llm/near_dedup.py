@@ -35,6 +35,9 @@ from tidemark.llm.common import map_rows, stage, worker_cache
 SIDE = 8
 PER_HALF = 2
 BLOCK = 1024
+#: Names of candidates (8 bytes each) that are broadcast to pick out their texts; more are joined
+#: by a shuffle of the texts.
+BROADCAST_ROWS = 1 << 20
 NUMERATOR, DENOMINATOR = 80, 100
 #: Word hashes kept per task; the cache is emptied when full, which changes no result.
 CACHE = 1 << 19
@@ -248,17 +251,29 @@ def _by_width(bits: list[bytes]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _block_pairs(group: pa.Table) -> pa.Table:
-    rid, label, n, bits = (group.column(c).to_pylist() for c in ("rid", "label", "n", "bits"))
-    own, p, q = group.column("own").to_pylist(), group.column("p")[0].as_py(), group.column("q")[0].as_py()
-    left = [i for i, o in enumerate(own) if o == p]
-    right = left if p == q else [i for i, o in enumerate(own) if o == q]
-    pairs = possible([n[i] for i in left], [bits[i] for i in left], [n[i] for i in right], [bits[i] for i in right])
-    out = {
-        (min(rid[x], rid[y]), max(rid[x], rid[y]))
-        for x, y in ((left[i], right[j]) for i, j in pairs)
-        if label[x] != label[y]
-    }
-    return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+    """Pairs of one block pair of a table key that may be similar and lie in two components.
+
+    A pair is given by the first table key that its members share only, so not once per table.
+    That key is here too: keys with two members were compared as hub and member, and one whose
+    members all lie in one component cannot hold the pair.
+    """
+    read = lambda name: group.column(name).to_numpy()
+    rid, label, n, own = read("rid"), read("label"), read("n"), read("own")
+    key, p, q = group.column("key")[0].as_py(), group.column("p")[0].as_py(), group.column("q")[0].as_py()
+    u, v = (group.column(c).combine_chunks().flatten().to_numpy().reshape(-1, SIDE) for c in ("u", "v"))
+    bits = group.column("bits").to_pylist()
+    left = np.flatnonzero(own == p)
+    right = left if p == q else np.flatnonzero(own == q)
+    pairs = possible(n[left], [bits[i] for i in left], n[right], [bits[i] for i in right])
+    out = set()
+    if pairs:
+        x, y = left[[i for i, _ in pairs]], right[[j for _, j in pairs]]
+        apart = label[x] != label[y]
+        x, y = x[apart], y[apart]
+        i, j = (u[x] == u[y]).argmax(axis=1), (v[x] == v[y]).argmax(axis=1)
+        first = (u[x, i] ^ v[x, j]) == key
+        out = {(min(a, b), max(a, b)) for a, b in zip(rid[x[first]].tolist(), rid[y[first]].tolist())}
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def with_components(docs: DataFrame) -> DataFrame:
@@ -273,7 +288,7 @@ def with_components(docs: DataFrame) -> DataFrame:
     keys = nodes.select(
         "rid",
         F.explode(
-            F.flatten(F.transform("u", lambda x: F.transform("v", lambda y: F.xxhash64(x, y))))
+            F.flatten(F.transform("u", lambda x: F.transform("v", lambda y: x.bitwiseXOR(y))))
         ).alias("key"),
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
@@ -286,7 +301,9 @@ def with_components(docs: DataFrame) -> DataFrame:
         .select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct(),
         "stars",
     )
-    named = stars.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    named = stage(stars.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "named")
+    if named.count() <= BROADCAST_ROWS:
+        named = F.broadcast(named)
     wanted = docs.select(
         F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("rid"), F.col("text").cast("binary").alias("text")
     ).join(named, "rid", "left_semi")
@@ -300,10 +317,10 @@ def with_components(docs: DataFrame) -> DataFrame:
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     dealt = (
         labelled.join(open_keys, "key", "left_semi")
-        .join(nodes.select("rid", "n", "bits"), "rid")
+        .join(nodes.select("rid", "n", "u", "v", "bits"), "rid")
         .withColumn("blocks", blocks).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", "rid", "label", "n", "bits", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+        .select("key", "rid", "label", "n", "u", "v", "bits", "own", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
     )
     more = stage(dealt.groupBy("key", "p", "q").applyInArrow(_block_pairs, "a bigint, b bigint").distinct().join(stars, ["a", "b"], "left_anti"), "more-pairs")
     more_links = stage(verified(more, sets), "more-links")
