@@ -25,7 +25,7 @@ from tidemark.llm.common import numbered, stage
 WEIGHTS = (1, 2, 3)
 MAX_REPEAT = 3
 #: Documents in one range of keys, on average.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 4_096
 _GAP = "[\\x20\\x09-\\x0D]+"
 
 
