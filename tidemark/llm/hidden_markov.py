@@ -26,9 +26,11 @@ know one unseen token.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,55 +53,83 @@ PRIOR = 100.0
 
 # ---- Chunks: dictionaries and sequences ---------------------------------------------------
 
-_CHUNK_SCHEMA = "kind int, chunk bigint, word string, local int, n bigint, doc_id bigint, held_out boolean, seq binary"
+_CHUNK_SCHEMA = (
+    "kind int, chunk bigint, word bigint, local int, n bigint, ending int, doc_id bigint, held_out boolean, seq binary"
+)
+
+
+class Numbers(dict):
+    """Positions of words in the order of their first use; the end of a text is first."""
+
+    def __init__(self) -> None:
+        super().__init__({b"": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
+def narrow(codes: np.ndarray) -> bytes:
+    """Numbers below 2**24, three bytes each."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), dtype=np.uint8)
+    out[:, :3] = np.frombuffer(data, dtype=np.uint8).reshape(-1, 3)
+    return out.view("<u4").reshape(-1)
 
 
 def _chunks(batches):
+    """Dictionary rows (kind 0) and documents (kind 1) of each chunk.
+
+    A word goes by a 64-bit hash, so the dictionaries stay small where they meet.
+    """
     task = TaskContext.get()
     part = task.partitionId() if task else 0
-    made = 0
-    words: dict[bytes, int] = {b"": 0}
-    held: list[tuple] = []
-    tokens = 0
+    names = [c.split()[0] for c in _CHUNK_SCHEMA.split(", ")]
+    made, tokens, words, held = 0, 0, Numbers(), []
 
     def flush():
         chunk = (part << 24) + made
         counts = np.zeros(len(words), dtype=np.int64)
-        for _, out, seq in held:
-            if not out:
-                counts += np.bincount(seq, minlength=len(words)) if len(seq) > len(words) else 0
-                if len(seq) <= len(words):
-                    np.add.at(counts, seq, 1)
+        training = [seq for _, out, seq in held if not out]
+        if training:
+            counts += np.bincount(np.concatenate(training), minlength=len(words))
         w, d = len(words), len(held)
-        nulls = lambda n, kind: pa.nulls(n, kind)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=w).view(np.int64)
+        endings = np.fromiter((zlib.crc32(x.decode()[-ENDING_CHARS:].encode()) % ENDINGS for x in words), dtype=np.int32, count=w)
         rows = [
-            [pa.array([0] * w, pa.int32()), pa.array([chunk] * w, pa.int64()), pa.array(list(words), pa.binary()).cast(pa.string()),
-             pa.array(np.arange(w, dtype=np.int32)), pa.array(counts), nulls(w, pa.int64()), nulls(w, pa.bool_()), nulls(w, pa.binary())],
-            [pa.array([1] * d, pa.int32()), pa.array([chunk] * d, pa.int64()), nulls(d, pa.string()), nulls(d, pa.int32()), nulls(d, pa.int64()),
-             pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.bool_()),
-             pa.array([x[2].tobytes() for x in held], pa.binary())],
+            [pa.array(np.zeros(w, np.int32)), pa.array(np.full(w, chunk)), pa.array(hashes), pa.array(np.arange(w, dtype=np.int32)),
+             pa.array(counts), pa.array(endings), pa.nulls(w, pa.int64()), pa.nulls(w, pa.bool_()), pa.nulls(w, pa.binary())],
+            [pa.array(np.ones(d, np.int32)), pa.array(np.full(d, chunk)), pa.nulls(d, pa.int64()), pa.nulls(d, pa.int32()),
+             pa.nulls(d, pa.int64()), pa.nulls(d, pa.int32()), pa.array([x[0] for x in held], pa.int64()),
+             pa.array([x[1] for x in held], pa.bool_()), pa.array([narrow(x[2]) for x in held], pa.binary())],
         ]
-        names = [c.split()[0] for c in _CHUNK_SCHEMA.split(", ")]
         return [pa.RecordBatch.from_arrays(r, names=names) for r in rows]
 
     for batch in batches:
         for doc_id, out, text in zip(*(c.to_pylist() for c in batch.columns)):
-            found = (text or b"").lower().split()
-            codes = list(map(words.get, found))
-            if None in codes:
-                codes = [words.setdefault(w, len(words)) for w in found]
+            codes = list(map(words.__getitem__, (text or b"").lower().split()))
             codes.append(0)
             held.append((doc_id, out, np.array(codes, dtype=np.int32)))
             tokens += len(codes)
             if tokens >= CHUNK_TOKENS:
                 yield from flush()
-                made, tokens, held, words = made + 1, 0, [], {b"": 0}
+                made, tokens, held, words = made + 1, 0, [], Numbers()
     if held:
         yield from flush()
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """``stage`` with the denser codec, for tables of packed numbers."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(chunk, word, local, n) and (chunk, doc_id, held_out, seq), written once."""
+    """(chunk, word, local, n, ending) and (chunk, doc_id, held_out, seq), written once."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(remainder("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
@@ -107,19 +137,21 @@ def chunked(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     spark = docs.sparkSession
     path = scratch_path(spark, "chunks")
-    rows.mapInArrow(_chunks, _CHUNK_SCHEMA).write.partitionBy("kind").parquet(path)
+    rows.mapInArrow(_chunks, _CHUNK_SCHEMA).write.option("compression", "zstd").parquet(path)
     read = lambda kind: spark.read.schema(_CHUNK_SCHEMA).parquet(path).where(F.col("kind") == kind)
-    return read(0).select("chunk", "word", "local", "n"), read(1).select("chunk", "doc_id", "held_out", "seq")
+    return read(0).select("chunk", "word", "local", "n", "ending"), read(1).select("chunk", "doc_id", "held_out", "seq")
 
 
 def word_classes(dictionary: DataFrame) -> DataFrame:
-    """(word, c, cls) of every word that occurs; the commonest get classes from 0."""
-    counts = stage(dictionary.groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    top = counts.where("c > 0").orderBy(F.col("c").desc(), "word").limit(TOP).select("word")
-    places = top.agg(F.sort_array(F.collect_list("word")).alias("w")).select(F.posexplode("w").alias("cls", "word"))  # TOP words
-    ending = F.pmod(F.xxhash64(F.substring("word", -ENDING_CHARS, ENDING_CHARS)), F.lit(ENDINGS)).cast("int") + TOP
+    """(word, c, cls) of every word that occurs; the commonest get classes of their own."""
+    counts = stage(dictionary.groupBy("word").agg(F.sum("n").alias("c"), F.min("ending").alias("ending")), "counts")
+    top = counts.where("c > 0").orderBy(F.col("c").desc(), "word").limit(TOP)
+    places = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("c")).alias("low"), "word"))).alias("w")).select(
+        F.posexplode("w").alias("cls", "w")
+    ).select("cls", F.col("w.word").alias("word"))  # TOP rows
     return stage(
-        counts.join(F.broadcast(places), "word", "left").select("word", "c", F.coalesce("cls", ending).alias("cls")), "classes"
+        counts.join(F.broadcast(places), "word", "left").select("word", "c", F.coalesce("cls", F.col("ending") + TOP).alias("cls")),
+        "classes",
     )
 
 
@@ -142,7 +174,7 @@ def _recode(total: int, distinct: int, class_total: np.ndarray, class_distinct:
         known = c > 0
         out: dict[str, list] = {k.split()[0]: [] for k in _SEQUENCES.split(", ")}
         for doc_id, held, seq in zip(*(sequences.column(n).to_pylist() for n in ("doc_id", "held_out", "seq"))):
-            seq = np.frombuffer(seq, dtype=np.int32)
+            seq = widened(seq)
             terms, kinds = count[seq], cls[seq]
             for key, value in zip(out, (
                 doc_id, held, len(seq), int(known[seq].sum()), float(terms.sum() - len(seq) * base),
@@ -332,7 +364,7 @@ def scored(docs: DataFrame) -> DataFrame:
         totals[row["cls"]], distinct[row["cls"]] = row["c"], row["v"]
     n, v = int(totals.sum()), int(distinct.sum())
     coded = dictionary.select("chunk", "local", "word").join(words, "word").select("chunk", "local", "c", "cls")
-    recoded = stage(
+    recoded = _written(
         sequences.groupBy("chunk").cogroup(coded.groupBy("chunk")).applyInArrow(_recode(n, v, totals, distinct), _SEQUENCES),
         "sequences",
     )
