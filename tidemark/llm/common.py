@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from tidemark.session import stage
 
@@ -32,16 +34,16 @@ def remainder(column: str, by: int) -> Column:
 
 
 def map_rows(
-    df: DataFrame, make: Callable[[], Callable[[list], Iterable]], schema: str, rows: int = ROWS_PER_BATCH
+    df: DataFrame, make: Callable[[], Callable[[list], Iterable]], schema: str | StructType, rows: int = ROWS_PER_BATCH
 ) -> DataFrame:
     """Rows of ``df`` through Python, a slice of at most ``rows`` at a time.
 
     ``make()`` is called once in each task and returns a function from the list of column lists
     to an iterable of output column lists; its caches live as long as the task.
     """
-    target = df.sparkSession.createDataFrame([], schema).schema
+    target = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     names = [f.name for f in target.fields]
-    kinds = [_arrow(f.dataType.simpleString()) for f in target.fields]
+    kinds = [to_arrow_type(f.dataType) for f in target.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
@@ -63,14 +65,6 @@ def worker_cache(key: str, make: Callable):
     return kept[key]
 
 
-def _arrow(kind: str) -> pa.DataType:
-    plain = {
-        "bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "double": pa.float64(),
-        "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "float": pa.float32(),
-    }
-    return pa.list_(_arrow(kind[6:-1])) if kind.startswith("array<") else plain[kind]
-
-
 def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:
     """Adds the global position (from 0) in ``order`` without sorting everything in one task.
 

@@ -33,12 +33,15 @@ KEY = "example-key"
 #: Candidate formats, tried in this order at each place. Possessive repeats and the look-behinds
 #: keep the scan linear.
 _MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])"
+_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [0-9]{1,3})?)(?![A-Za-z0-9])"
 _IP = r"(?<![0-9.A-Za-z])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
-_DATE = r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}([./])[0-9]{2}\1[0-9]{4})(?![0-9A-Za-z])"
+_DATE = r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}(?<ds>[./])[0-9]{2}\k<ds>[0-9]{4})(?![0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _PHONE = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
-_CARD = r"(?<![0-9A-Za-z+.-])[0-9](?:[ -]?[0-9]){12,18}+(?![0-9A-Za-z])"
+_CARD = (
+    r"(?<![0-9A-Za-z+.-])(?:[0-9]{13,19}|[0-9]{4}(?<cs>[ -])[0-9]{4}\k<cs>[0-9]{4}\k<cs>[0-9]{1,7}"
+    r"|[0-9]{4}(?<as>[ -])[0-9]{6}\k<as>[0-9]{5})(?![0-9A-Za-z])"
+)
 CANDIDATE = "|".join((_MAIL, _IBAN, _IP, _DATE, _SSN, _PHONE, _CARD))
 
 

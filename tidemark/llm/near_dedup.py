@@ -337,6 +337,8 @@ def with_components(docs: DataFrame) -> DataFrame:
 
 def kept_documents(docs: DataFrame) -> DataFrame:
     """One document of each component, with all its columns; equal rows of one id stay together."""
-    keep = with_components(docs).where("kept").select(F.col("rid").alias("_rid")).distinct()
-    name = F.xxhash64(F.col("doc_id").cast("long"), F.col("text"))
-    return docs.withColumn("_rid", name).join(keep, "_rid", "left_semi").drop("_rid")
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, names))
+    keep = with_components(docs).where("kept").select("rid").distinct()
+    rid = F.xxhash64(F.col(at["doc_id"]).cast("long"), F.col(at["text"]))
+    return docs.toDF(*names).withColumn("rid", rid).join(keep, "rid", "left_semi").select(*names).toDF(*docs.columns)

@@ -124,13 +124,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     chosen = F.broadcast(chosen_p.unionByName(chosen_u))  # bounded by the two parameters
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("kind", "doc_id", "text")
 
-    def learn(batches):
+    def featuriser():
         known: dict[str, list[int]] = {}
-        rows = []
-        for batch in batches:
-            for kind, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                found = np.sort(np.fromiter(document_features(text, known), dtype=np.int64))
-                rows.append((kind, doc_id, found.tobytes()))
+
+        def work(columns: list) -> list:
+            found = [np.sort(np.fromiter(document_features(t, known), dtype=np.int64)).tobytes() for t in columns[2]]
+            return [columns[0], columns[1], found]
+
+        return work
+
+    def learn(batches):
+        rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
         rows.sort()  # the order of arrival decides nothing
         positive = np.array([r[0] == 1 for r in rows], dtype=bool)
         names, weights, bias = [], [], None
@@ -142,7 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
             names=["names", "weights", "bias"],
         )
 
-    row = sample.coalesce(1).mapInArrow(learn, "names array<bigint>, weights array<double>, bias double").first()
+    features = map_rows(sample, featuriser, "kind int, doc_id bigint, features binary")
+    row = features.repartition(1).mapInArrow(learn, "names array<bigint>, weights array<double>, bias double").first()
     return row.asDict() if row else {"names": [], "weights": [], "bias": None}
 
 
@@ -201,5 +206,4 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return work
 
     inner = docs.toDF(*names)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
-    return map_rows(inner, make, schema).toDF(*docs.columns)
+    return map_rows(inner, make, inner.schema).toDF(*docs.columns)

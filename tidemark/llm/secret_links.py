@@ -172,17 +172,19 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame) -> DataFrame:
     """All rows and columns, spans replaced in ``text`` and ``n_chars`` brought up to date."""
-    others = [c for c in docs.columns if c != "text"]
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    place = docs.columns.index("text")
 
     def redactor():
         def work(columns: list) -> list:
-            return [*columns[:-1], [redact(t, all_spans(t)[1]) for t in columns[-1]]]
+            columns[place] = [redact(t, all_spans(t)[1]) for t in columns[place]]
+            return columns
 
         return work
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in others]).schema.fields)
-    out = map_rows(docs.select(*[F.col(f"`{c}`") for c in others], "text"), redactor, schema + ", text string")
-    if "n_chars" in others:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(kind))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner = docs.toDF(*names)
+    out = map_rows(inner, redactor, inner.schema)
+    if "n_chars" in docs.columns:
+        n, text = names[docs.columns.index("n_chars")], F.col(names[place])
+        out = out.withColumn(n, F.when(text.isNotNull(), F.length(text)).otherwise(F.col(n)).cast(docs.schema["n_chars"].dataType))
+    return out.toDF(*docs.columns)
