@@ -58,11 +58,15 @@ def map_rows(
 
 
 def worker_cache(key: str, make: Callable):
-    """An object kept by a Python worker from task to task; it must only save repeated work."""
+    """An object kept by a Python worker from task to task; it must only save repeated work.
+
+    Only the latest one is kept, so stages that follow each other do not add up their memory.
+    """
     kept = sys.modules.setdefault("_tidemark_worker", types.ModuleType("_tidemark_worker")).__dict__
-    if key not in kept:
-        kept[key] = make()
-    return kept[key]
+    if kept.get("key") != key:
+        kept.update(key=None, value=None)
+        kept.update(key=key, value=make())
+    return kept["value"]
 
 
 def numbered(df: DataFrame, *order: Column, name: str) -> DataFrame:

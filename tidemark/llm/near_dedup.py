@@ -40,7 +40,7 @@ BLOCK = 1024
 BROADCAST_ROWS = 1 << 20
 NUMERATOR, DENOMINATOR = 80, 100
 #: Word hashes kept per task; the cache is emptied when full, which changes no result.
-CACHE = 1 << 19
+CACHE = 1 << 18
 _MASK48 = (1 << 48) - 1
 
 

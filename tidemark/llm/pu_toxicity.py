@@ -38,7 +38,7 @@ FEATURES = 4_096
 MIN_DOCUMENTS = 5
 BITS = 20
 STEPS, RATE, PENALTY = 300, 0.05, 1e-4
-CACHE = 1 << 19
+CACHE = 1 << 18
 _EDGES = ".,;:!?#%&*$|<>()[]{}\"'`"
 
 
