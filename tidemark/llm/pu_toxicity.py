@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import map_rows, remainder, worker_cache
+from tidemark.llm.common import map_rows, remainder, stage, worker_cache
 
 FOLDS, HELD_OUT = 3, 1
 THRESHOLD = 0.7
@@ -67,33 +67,20 @@ def pu_gradient(z: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray
     return g
 
 
-def train(features: list[np.ndarray], positive: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """(feature names, weights, bias); ``features`` holds the sorted features of each document."""
-    n_p, n_u = int(positive.sum()), int((~positive).sum())
+def train(features: list[np.ndarray], positive: np.ndarray, prior: float, size: int) -> tuple[np.ndarray, float]:
+    """(weights, bias); ``features`` holds the places, below ``size``, of each document's features."""
     rows = np.repeat(np.arange(len(features)), [len(f) for f in features])
     cols = np.concatenate(features) if features else np.zeros(0, np.int64)
-    in_p = np.bincount(cols[positive[rows]], minlength=1 << BITS)
-    in_u = np.bincount(cols[~positive[rows]], minlength=1 << BITS)
-    share_p, share_u = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
-    # deviation of the positives' share from the unlabelled one, in standard errors
-    merit = np.abs(share_p - share_u) / np.sqrt(share_u * (1 - share_u) / n_p + share_p * (1 - share_p) / n_p)
-    merit[(in_p + in_u) < MIN_DOCUMENTS] = 0
-    names = np.sort(np.argsort(-merit, kind="stable")[:FEATURES])
-    names = names[merit[names] > 3]
-    place = np.full(1 << BITS, -1)
-    place[names] = np.arange(len(names))
-    cols = place[cols]
-    rows, cols = rows[cols >= 0], cols[cols >= 0]
-    w = np.zeros(len(names) + 1)
+    w = np.zeros(size + 1)
     w[-1] = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
         z = np.bincount(rows, w[cols], minlength=len(features)) + w[-1]
         g = pu_gradient(z, positive, prior)
-        full = np.append(np.bincount(cols, g[rows], minlength=len(names)) + PENALTY * w[:-1], g.sum())
+        full = np.append(np.bincount(cols, g[rows], minlength=size) + PENALTY * w[:-1], g.sum())
         m, v = 0.9 * m + 0.1 * full, 0.999 * v + 0.001 * full * full
         w -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-    return names, w[:-1], float(w[-1])
+    return w[:-1], float(w[-1])
 
 
 def document_features(text: str | None, known: dict[str, list[int]]) -> set[int]:
@@ -128,27 +115,67 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
         known: dict[str, list[int]] = {}
 
         def work(columns: list) -> list:
-            found = [np.sort(np.fromiter(document_features(t, known), dtype=np.int64)).tobytes() for t in columns[2]]
+            found = [np.sort(np.fromiter(document_features(t, known), dtype="<i4")).tobytes() for t in columns[2]]
             return [columns[0], columns[1], found]
 
         return work
 
+    features = stage(map_rows(sample, featuriser, "kind int, doc_id bigint, features binary"), "features")
+    names = selected(features)
+
+    def chooser():
+        wanted = np.array(names, dtype=np.int64)
+
+        def work(columns: list) -> list:
+            found = [np.frombuffer(f, dtype="<i4").astype(np.int64) for f in columns[2]]
+            places = [np.searchsorted(wanted, f[np.isin(f, wanted)]).astype("<i4").tobytes() for f in found]
+            return [columns[0], columns[1], places]
+
+        return work
+
     def learn(batches):
         rows = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns))]
         rows.sort()  # the order of arrival decides nothing
         positive = np.array([r[0] == 1 for r in rows], dtype=bool)
-        names, weights, bias = [], [], None
+        weights, bias = [], None
         if positive.any() and not positive.all():
-            a, b, bias = train([np.frombuffer(r[2], dtype=np.int64) for r in rows], positive, prior)
-            names, weights = a.tolist(), b.tolist()
+            found, bias = train([np.frombuffer(r[2], dtype="<i4") for r in rows], positive, prior, len(names))
+            weights = found.tolist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights], pa.list_(pa.float64())), pa.array([bias], pa.float64())], names=["weights", "bias"]
+        )
+
+    chosen_rows = map_rows(features, chooser, "kind int, doc_id bigint, features binary")
+    row = chosen_rows.repartition(1).mapInArrow(learn, "weights array<double>, bias double").first()
+    return {"names": names if row and row["weights"] else [], "weights": row["weights"] if row else [], "bias": row["bias"] if row else None}
+
+
+def selected(features: DataFrame) -> list[int]:
+    """The features that differ most between both kinds of documents, at most ``FEATURES``.
+
+    The difference of the shares is measured in standard errors and must exceed three.
+    """
+
+    def counts(batches):
+        total = np.zeros((2, 1 << BITS), dtype=np.int64)
+        for batch in batches:
+            for kind, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                total[kind, np.frombuffer(found, dtype="<i4")] += 1
+        cells = np.flatnonzero(total.sum(axis=0))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([names], pa.list_(pa.int64())), pa.array([weights], pa.list_(pa.float64())), pa.array([bias], pa.float64())],
-            names=["names", "weights", "bias"],
+            [pa.array(cells), pa.array(total[1, cells]), pa.array(total[0, cells])], names=["cell", "p", "u"]
         )
 
-    features = map_rows(sample, featuriser, "kind int, doc_id bigint, features binary")
-    row = features.repartition(1).mapInArrow(learn, "names array<bigint>, weights array<double>, bias double").first()
-    return row.asDict() if row else {"names": [], "weights": [], "bias": None}
+    sizes = features.agg(F.count_if(F.col("kind") == 1).alias("p"), F.count_if(F.col("kind") == 0).alias("u")).first()
+    n_p, n_u = sizes["p"], sizes["u"]
+    if not n_p or not n_u:
+        return []
+    cells = features.select("kind", "features").mapInArrow(counts, "cell bigint, p bigint, u bigint")
+    summed = cells.groupBy("cell").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
+    a, b = (F.col("p") + 0.5) / F.lit(n_p + 1), (F.col("u") + 0.5) / F.lit(n_u + 1)
+    merit = F.abs(a - b) / F.sqrt(b * (1 - b) / F.lit(n_p) + a * (1 - a) / F.lit(n_p))
+    best = summed.where(F.col("p") + F.col("u") >= MIN_DOCUMENTS).select("cell", merit.alias("merit")).where("merit > 3")
+    return sorted(r["cell"] for r in best.orderBy(F.col("merit").desc(), "cell").limit(FEATURES).collect())
 
 
 def _scorer(model: dict):
