@@ -6,6 +6,8 @@ Every micro-batch becomes one appended bronze load with its own audit row.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -22,13 +24,19 @@ def _already_logged(store: TableStore, table: str, load_id: str) -> bool:
     return not read_audit(store).where((F.col("table_name") == table) & (F.col("load_id") == load_id)).isEmpty()
 
 
+def _query_id(store: TableStore, checkpoint: str) -> str:
+    """The id that the checkpoint gives its query; another checkpoint has another one."""
+    return json.loads(store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def load_new_files(
     store: TableStore, spec: TableSpec, folder: str, ctx: RunContext, checkpoint: str, files_per_batch: int = 1000
 ) -> int:
     """Append the files in ``folder`` that no earlier call has loaded. Returns the batches run.
 
     A file whose header differs from the declared columns stops the stream. A batch that is
-    replayed after a failure rewrites its own load and is logged once.
+    replayed after a failure rewrites its own load and is logged once. Load ids hold the checkpoint's
+    query id, so several checkpoints can feed one table.
     """
     source = (
         store.spark.readStream.options(**CSV_DIALECT)
@@ -41,7 +49,7 @@ def load_new_files(
     done: list[int] = []
 
     def load(batch: DataFrame, number: int) -> None:
-        load_id, counts = f"stream-{number}", Observation()
+        load_id, counts = f"stream-{_query_id(store, checkpoint)}-{number}", Observation()
         loaded = with_load_metadata(batch, folder.rstrip("/").rsplit("/", 1)[-1], ctx.as_of, ctx.pipeline_version)
         store.write_load(loaded.observe(counts, F.count(F.lit(1)).alias("rows")), spec.bronze, load_id)
         if not _already_logged(store, spec.bronze, load_id):
