@@ -64,8 +64,10 @@ def search_block(query_ids, queries, query_table, ids, vectors, table, k: int =
         bound += 1e-9 * (norms_q[row] + norms) + 1e-6
         order = np.argsort(-bound, kind="stable")
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
-        for at in range(0, len(order), STEP):
-            part = order[at : at + STEP]
+        at, step = 0, STEP
+        while at < len(order):  # steps double, so a query that stops late has few of them
+            part = order[at : at + step]
+            at, step = at + step, step * 2
             if len(best) == k and bound[part[0]] < best[-1]:
                 break
             part = part[ids[part] != query_ids[row]]
