@@ -56,13 +56,23 @@ def pivots(dims: int) -> np.ndarray:
 
 
 def search_block(query_ids, queries, query_table, ids, vectors, table, k: int = K):
-    """(query position, id, score) of the best k candidates of each query in one block."""
+    """(query position, id, score) of the best k candidates of each query in one block.
+
+    Pivot distances are compared as single floats, less a slack above their rounding. Scores are
+    single floats only where every sum stays below 2**24 and is exact.
+    """
     norms_q, norms = (queries * queries).sum(1), (vectors * vectors).sum(1)
+    kind = np.float32 if norms_q.max() * norms.max() < 2.0**48 else np.float64
+    queries, vectors = queries.astype(kind), vectors.astype(kind)
+    slack = np.float32(max(table.max(), query_table.max()) * 2.0**-21)
+    by_pivot, query_table = np.ascontiguousarray(table.T, dtype=np.float32), query_table.astype(np.float32)
+    apart = np.empty_like(by_pivot)
     for row in range(len(queries)):
-        low = np.abs(table - query_table[row]).max(axis=1)
+        np.abs(np.subtract(by_pivot, query_table[row][:, None], out=apart), out=apart)
+        low = np.maximum(apart.max(axis=0) - slack, 0).astype(np.float64)
         bound = (norms_q[row] + norms - low * low) / 2
-        bound += 1e-9 * (norms_q[row] + norms) + 1e-6
-        order = np.argsort(-bound, kind="stable")
+        bound += 1e-6 * (norms_q[row] + norms) + 1e-6
+        order = np.argsort(-bound.astype(np.float32))  # the margin is above the rounding of the keys
         best_ids, best = np.zeros(0, np.int64), np.zeros(0)
         at, step = 0, STEP
         while at < len(order):  # steps double, so a query that stops late has few of them
@@ -70,15 +80,19 @@ def search_block(query_ids, queries, query_table, ids, vectors, table, k: int =
             at, step = at + step, step * 2
             if len(best) == k and bound[part[0]] < best[-1]:
                 break
-            part = part[ids[part] != query_ids[row]]
-            best_ids = np.concatenate([best_ids, ids[part]])
-            best = np.concatenate([best, vectors[part] @ queries[row]])
+            scores = vectors[part] @ queries[row]
+            if len(best) == k:
+                near = np.flatnonzero(scores >= best[-1])
+                part, scores = part[near], scores[near]
+            other = ids[part] != query_ids[row]
+            best_ids = np.concatenate([best_ids, ids[part][other]])
+            best = np.concatenate([best, scores[other].astype(np.float64)])
             keep = np.lexsort((best_ids, -best))[:k]
             best_ids, best = best_ids[keep], best[keep]
         yield row, best_ids, best
 
 
-def _packer(width: int):
+def _packer():
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("vec_id").to_numpy()
         flat = group.column("v").combine_chunks().flatten().to_numpy()
@@ -86,7 +100,8 @@ def _packer(width: int):
         order = np.lexsort((*v.T[::-1], ids)) if len(ids) else np.arange(0)
         ids, v = ids[order], v[order]
         p = pivots(v.shape[1])
-        table = np.sqrt(np.maximum(0, ((v[:, None, :] - p[None, :, :]) ** 2).sum(2))) if width else None
+        square = (v * v).sum(1)[:, None] + (p * p).sum(1) - 2 * (v @ p.T)
+        table = np.sqrt(np.maximum(0, square))
         return pa.table(
             {
                 "dims": pa.array([v.shape[1]], pa.int32()), "block": pa.array([group.column("block")[0].as_py()], pa.int64()),
@@ -105,7 +120,7 @@ def packed(vectors: DataFrame, rows: int) -> DataFrame:
         vectors.withColumn("dims", F.size("v"))
         .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
         .groupBy("dims", "block")
-        .applyInArrow(_packer(PIVOTS), "dims int, block bigint, ids binary, v binary, t binary")
+        .applyInArrow(_packer(), "dims int, block bigint, ids binary, v binary, t binary")
     )
 
 
