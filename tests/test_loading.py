@@ -225,7 +225,7 @@ def test_views_preview_and_shape(store, spark, sample):
     store.overwrite(sample, "silver", "some_orders")
     store.register("silver", ["some_orders"])
     assert spark.sql("SELECT count(*) FROM some_orders").first()[0] == 2
-    assert [r["order_id"] for r in preview(sample, 1).collect()] == ["A-17"]
+    assert [r["order_id"] for r in preview(sample, 1, ["order_id"]).collect()] == ["A-17"]
     row = table_shape(bronze.with_load_metadata(sample, "f", "2024-01-01"), "orders").first()
     assert (row["row_count"], row["column_count"], len(row["metadata_columns"].split(","))) == (2, 12, 4)
 
@@ -255,3 +255,30 @@ def test_all_layers(spark, tmp_path, store):
 def test_a_failing_layer_table_does_not_stop_the_others(store):
     report = {r["table_name"]: r["status"] for r in pipeline.run_gold(store).collect()}
     assert set(report.values()) == {"FAILED"} and len(report) == 5
+
+
+def test_equal_reported_times_are_ordered_by_commit(store, sample, tmp_path):
+    for name, load in (("one", "zz"), ("two", "aa")):
+        path = str(tmp_path / name)
+        write_csv(sample.withColumn("order_status", F.lit(name)), path)
+        assert bronze.load_table(store, ORDERS, path, ctx(), load_id=load) != "FAILED"
+    assert {r["order_status"] for r in bronze.read_bronze(store, "orders").collect()} == {"two"}
+
+
+def test_files_of_one_folder_with_other_headers_fail(store, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    names = source_columns("orders")
+    swapped = [names[1], names[0], *names[2:]]
+    for file, header in (("a.csv", names), ("b.csv", swapped)):
+        text_file(folder, file, ",".join(header), ",".join(f"{name}-1" for name in header))
+    assert bronze.load_table(store, ORDERS, str(folder), ctx()) == "FAILED"
+    assert "/mixed/" in bronze.read_audit(store).first()["error_message"]  # names the file
+
+
+def test_only_a_missing_path_is_a_missing_table(store, spark):
+    assert not store.exists("quality", "dq_summary")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    store.append_new(rows, "quality", "things", "k")
+    store.append_new(rows.unionByName(spark.createDataFrame([("c", 3)], "k string, n int")), "quality", "things", "k")
+    assert sorted(r["k"] for r in store.read("quality", "things").collect()) == ["a", "b", "c"]

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordering import (
-    at_fraction, hundredths, magnitude_bucket, rank_by_total, value_counts, value_positions,
-)
+from tidemark.functions.exact import money
+from tidemark.operators import ordering
+from tidemark.operators.ordering import at_fraction, rank_by_total, value_counts, value_positions
 
 
 def values(seed):
@@ -19,11 +19,22 @@ def values(seed):
     return drawn + [0.0, -0.0, 1e17, -1e17, 1e-9, -1e-9] + [7.5] * 1500
 
 
-def test_buckets_follow_the_order_of_values(spark):
-    drawn = sorted(v for v in values(1) if v is not None)
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(drawn)], "i int, v double")
-    buckets = [r[1] for r in df.select("i", magnitude_bucket(hundredths(F.col("v")))).orderBy("i").collect()]
-    assert buckets == sorted(buckets)
+@pytest.mark.parametrize("low, high", [(0, 0.01), (1000, 1001)])
+def test_values_in_a_narrow_range_are_split(spark, monkeypatch, low, high):
+    kept = []
+
+    def keep(df, label):
+        kept.append(label)
+        return stage(df, label)
+
+    stage = ordering.stage
+    monkeypatch.setattr(ordering, "stage", keep)
+    df = spark.range(20_000).select((F.lit(float(low)) + F.col("id") * (high - low) / 20_000).alias("v"))
+    out = value_positions(value_counts(df, "v"), "v")
+    assert kept == ["ranges"]
+    ranges = [r["n"] for r in spark.read.parquet(*out.inputFiles()).groupBy("bucket").agg(F.count("*").alias("n")).collect()]
+    assert len(ranges) > 1 and max(ranges) < 2 * 20_000 / len(ranges)
+    assert out.agg(F.countDistinct("before")).first()[0] == 20_000
 
 
 @pytest.mark.parametrize("descending", [False, True])
@@ -59,3 +70,9 @@ def test_rank_of_nothing(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "i int, t decimal(22,2)")
     assert {r["r"] for r in rank_by_total(df, "t", "r").collect()} == {1}
     assert rank_by_total(df.limit(0), "t", "r").count() == 0
+
+
+def test_money_keeps_a_run_alive(spark):
+    df = spark.createDataFrame([(1.005,), (2e15,), (float("nan"),), (1e300,), (None,)], "v double")
+    got = [r[0] for r in df.select(money("v")).collect()]
+    assert got == [10050, 20_000_000_000_000_000_000, None, None, None]

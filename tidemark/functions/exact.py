@@ -20,8 +20,15 @@ DEGREES = DecimalType(18, 14)
 
 
 def money(name: str) -> Column:
-    """A money column in whole units, as a decimal so that no sum of it can overflow."""
-    return F.rint(F.col(name) * F.lit(float(UNITS))).cast("bigint").cast("decimal(20,0)")
+    """A money column in whole units, as a decimal so that no sum of it can overflow.
+
+    Amounts below half a ten-thousandth count as zero. NaN and amounts from 1e16 on are no
+    amounts and count as null, so one bad value does not end a run.
+    """
+    units = F.rint(F.col(name).cast("double") * F.lit(float(UNITS)))
+    # A cast through BIGINT is fast; only amounts beyond its range take the slow one.
+    fits = F.abs(units) < F.lit(9.2e18)
+    return F.when(fits, units.try_cast("bigint").cast("decimal(20,0)")).otherwise(units.try_cast("decimal(20,0)"))
 
 
 def degrees(name: str) -> Column:

@@ -78,6 +78,45 @@ def _long_values(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame
     return df.select(F.lit(table).alias("table_name"), F.expr(f"inline(array({each}))"))
 
 
+def value_statistics(sources: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """One row per value column: value_count, mean, deviation, zero_values, negative_values.
+
+    One aggregate per table that combines before the shuffle; no value is shuffled.
+    """
+    return _statistics({table: _long_values(table, df, columns) for table, (df, columns) in sources.items()})
+
+
+def _statistics(values: Mapping[str, DataFrame]) -> DataFrame:
+    value = F.col("value")
+    parts = [
+        long.groupBy("table_name", "column_name").agg(
+            F.count("value").alias("value_count"),
+            F.avg("value").alias("mean"),
+            F.stddev("value").alias("deviation"),
+            F.count_if(value == 0).alias("zero_values"),
+            F.count_if(value < 0).alias("negative_values"),
+        )
+        for long in values.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def z_outliers(
+    sources: Mapping[str, tuple[DataFrame, Sequence[str]]], policy: StrictPolicy = StrictPolicy()
+) -> DataFrame:
+    """One row per value column: value_count and z_outliers. Two scans, no shuffle of values."""
+    by = ["table_name", "column_name"]
+    values = {table: _long_values(table, df, columns) for table, (df, columns) in sources.items()}
+    # One row per value column.
+    known = F.broadcast(stage(_statistics(values), "statistics"))
+    test = F.count_if(F.expr(_value_tests(policy)["z_outliers"])).alias("z_outliers")
+    parts = [
+        long.join(known, by).groupBy(*by).agg(F.max("value_count").alias("value_count"), test)
+        for long in values.values()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def value_profiles(
     sources: Mapping[str, tuple[DataFrame, Sequence[str]]], policy: StrictPolicy = StrictPolicy()
 ) -> DataFrame:

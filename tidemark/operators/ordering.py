@@ -1,8 +1,8 @@
 """Positions in a global order without a single-task sort.
 
-Values are first reduced to (value, count). Each value then falls into one of a few thousand
-magnitude buckets, a fixed monotone function of the value, so buckets can be ordered and
-summed in one small step while the values inside a bucket are ordered in parallel.
+Values are first reduced to (value, count) and dealt into ranges whose bounds Spark samples from
+the data, so ranges are even however narrow the values lie. Ranges are ordered and summed in one
+small step while the values inside a range are ordered in parallel.
 """
 
 from __future__ import annotations
@@ -14,30 +14,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import stage
 
-# Leading bits kept per power of two: 64 buckets per doubling, under 17,000 in all.
-_LEADING_BITS = 7
-_LIMIT = 9.0e18
-
-
-def magnitude_bucket(key: Column) -> Column:
-    """Monotone bucket number of a BIGINT key: sign, bit length and leading bits.
-
-    Integer operations only, so every evaluation on every machine gives the same bucket.
-    """
-    size = F.abs(key)
-    bits = F.length(F.bin(size))
-    lead = F.call_function("shiftright", size, F.greatest(bits - _LEADING_BITS, F.lit(0)))
-    bucket = bits * F.lit(2**_LEADING_BITS) + lead.cast("int")
-    # Never null, so that no null test is pushed into one of two scans that are otherwise equal.
-    return F.coalesce(F.when(key < 0, -bucket).otherwise(bucket), F.lit(0))
-
-
-def hundredths(value: Column) -> Column:
-    """Monotone BIGINT key of a number, clamped to the range of the type."""
-    scaled = F.floor(F.greatest(F.least(value.cast("double") * 100, F.lit(_LIMIT)), F.lit(-_LIMIT)))
-    return scaled.cast("bigint")
-
-
 def value_counts(df: DataFrame, value: str, *by: str) -> DataFrame:
     """(by, value, n) for every distinct non-null value. Equal values combine before the shuffle."""
     return df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
@@ -49,10 +25,14 @@ def value_positions(counts: DataFrame, value: str, *by: str, descending: bool =
     ``before`` counts the rows that come earlier in the order, ``total`` all rows, both within
     ``by`` (names of a short list, such as column names).
     """
-    counted = counts.withColumn("bucket", magnitude_bucket(hundredths(F.col(value))))
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Equal (by, value) are one row, so no value lies in two ranges. Written once: ranges that are
+    # sampled again would have other bounds.
+    ranged = counts.repartitionByRange(parts, *by, value).withColumn("bucket", F.spark_partition_id())
+    counted = stage(ranged, "ranges")
     direction = F.desc if descending else F.asc
     earlier = (Window.unboundedPreceding, -1)
-    # One row per bucket: a bounded list, whatever the data size.
+    # One row per range (and name): as many as there are shuffle partitions.
     buckets = counted.groupBy(*by, "bucket").agg(F.sum("n").alias("bucket_n"))
     listed = Window.partitionBy(*by)
     buckets = buckets.select(

@@ -41,9 +41,10 @@ def audit_row(
         "load_id": load_id,
         "write_mode": write_mode,
     }
+    own = {"ingestion_timestamp": F.col("t"), "committed_at": F.current_timestamp()}
     types = dict(part.replace("NOT NULL", "").split() for part in AUDIT_DDL.split(","))
     columns = [
-        F.col("t").alias(name) if name == "ingestion_timestamp" else F.lit(row[name]).cast(kind).alias(name)
+        own[name].alias(name) if name in own else F.lit(row[name]).cast(kind).alias(name)
         for name, kind in types.items()
     ]
     return instant.select(*columns)
@@ -71,12 +72,16 @@ def log_view(audit: DataFrame) -> DataFrame:
     ).orderBy("ingestion_timestamp", "table_name")
 
 
+def _order(audit: DataFrame) -> list[str]:
+    """Reported time, then commit time: runs may repeat with one reported time."""
+    committed = ["committed_at"] if "committed_at" in audit.columns else []
+    return ["ingestion_timestamp", *committed, "audit_id"]
+
+
 def last_status(audit: DataFrame, table: str | None = None) -> DataFrame:
     """Newest load status of one table, or of every table."""
     rows = audit if table is None else audit.where(F.col("table_name") == table)
-    newest = F.max_by(
-        F.struct("load_status", "rows_loaded"), F.struct("ingestion_timestamp", "audit_id")
-    )
+    newest = F.max_by(F.struct("load_status", "rows_loaded"), F.struct(*_order(audit)))
     return (
         rows.groupBy("table_name")
         .agg(newest.alias("last"), F.max("ingestion_timestamp").alias("loaded_at"))
@@ -89,7 +94,7 @@ def history(audit: DataFrame) -> DataFrame:
 
     The log has one row per load of a table, so a table's loads fit one task.
     """
-    order = Window.partitionBy("table_name").orderBy("ingestion_timestamp", "audit_id")
+    order = Window.partitionBy("table_name").orderBy(*_order(audit))
     return audit.where(F.col("load_status").isin(*READABLE)).select(
         "table_name",
         (F.row_number().over(order) - 1).alias("version"),

@@ -52,6 +52,8 @@ def read_source(spark: SparkSession, spec: TableSpec, path: str) -> tuple[DataFr
         missing = tuple(name for name in spec.critical if name not in inferred.columns)
         return inferred, drift.Drift(spec.bronze, missing_columns=missing, critical_missing=missing)
     text = read_csv(spark, path, multiline=spec.multiline)
+    if len(text.inputFiles()) > 1:  # names come from one file; the others must have the same header
+        text = read_csv(spark, path, text.schema, multiline=spec.multiline, same_header=True)
     return text, drift.header_drift(text, source_schema(spec.name), spec.bronze, spec.critical)
 
 

@@ -22,9 +22,15 @@ class BronzeTables(Mapping[str, DataFrame]):
     """Current bronze tables, opened on first use."""
 
     def __init__(self, store: TableStore) -> None:
-        self._store = store
+        self._store, self._opened = store, {}
 
     def __getitem__(self, table: str) -> DataFrame:
+        # Opened once: a load that commits during a run does not split it over two versions.
+        if table not in self._opened:
+            self._opened[table] = self._open(table)
+        return self._opened[table]
+
+    def _open(self, table: str) -> DataFrame:
         return bronze.read_bronze(self._store, table)
 
     def __iter__(self):
@@ -37,7 +43,7 @@ class BronzeTables(Mapping[str, DataFrame]):
 class StoredSilver(BronzeTables):
     """Written silver tables, opened on first use."""
 
-    def __getitem__(self, table: str) -> DataFrame:
+    def _open(self, table: str) -> DataFrame:
         return self._store.read("silver", TABLES[table].silver)
 
 
@@ -82,7 +88,7 @@ def _each(names: Iterable[str], run) -> list[dict]:
             results.append({"table_name": name, "status": "SUCCESS", **run(name)})
         except Exception as failure:  # one table must not stop the others
             log.error("%s: %s", name, failure)
-            results.append({"table_name": name, "status": "FAILED", "error": str(failure)[:2000]})
+            results.append({"table_name": name, "status": "FAILED", "error": str(failure)})
     return results
 
 
@@ -112,6 +118,12 @@ def _samples(tables: quality.Tables, names: Iterable[str], family: str) -> DataF
         return None
 
 
+def _record(store: TableStore, ctx: RunContext, outcomes: DataFrame, sample: DataFrame | None) -> None:
+    """Append what a run found and its summary; a run that is repeated is recorded once."""
+    store.append_new(quality.violations(outcomes, ctx, sample), "quality", "dq_violations", "violation_id")
+    store.append_new(quality.summary(outcomes, ctx), "quality", "dq_summary", "run_id", "total_checks")
+
+
 def run_quality(
     store: TableStore, ctx: RunContext, core: Iterable[str] = CORE_TABLES, with_samples: bool = True
 ) -> DataFrame:
@@ -120,15 +132,14 @@ def run_quality(
     tables = BronzeTables(store)
     outcomes = stage(quality.isolated_outcomes(store.spark, tables, ctx.as_of, core), "run")
     sample = _samples(tables, core, "") if with_samples else None
-    store.append(quality.violations(outcomes, ctx, sample).coalesce(1), "quality", "dq_violations")
-    store.append(quality.summary(outcomes, ctx).coalesce(1), "quality", "dq_summary")
+    _record(store, ctx, outcomes, sample)
     return outcomes
 
 
 def run_strict_quality(
     store: TableStore, ctx: RunContext, tables: Iterable[str] = TABLES, with_samples: bool = True
 ) -> DataFrame:
-    """Run the strict checks on bronze, append their violations, return the outcomes."""
+    """Run the strict checks on bronze, append their violations and summary, return the outcomes."""
     tables = tuple(tables)
     parts, bronze_tables = [], BronzeTables(store)
     for table in tables:
@@ -149,5 +160,5 @@ def run_strict_quality(
     for part in parts[1:]:
         outcomes = outcomes.unionByName(part)
     sample = _samples(bronze_tables, tables, "strict_") if with_samples else None
-    store.append(quality.violations(outcomes, ctx, sample).coalesce(1), "quality", "dq_violations")
+    _record(store, ctx, outcomes, sample)
     return outcomes

@@ -32,6 +32,7 @@ OUTCOME_DDL = f"""check_name STRING, table_name STRING, status STRING, rows_scan
     error_message STRING, findings array<{FINDING}>"""
 MICROS_PER_HOUR = 3_600_000_000
 SAMPLE_KEYS = 3
+SAMPLE_DAYS = 5
 
 Tables = Mapping[str, DataFrame]
 
@@ -198,6 +199,8 @@ def revenue_outcome(
         F.count(F.lit(1)).alias("day_count"),
         F.count_if(flagged).alias("flagged"),
         F.max(F.when(flagged, top)).alias("top"),
+        # at most one entry per calendar day
+        F.slice(F.sort_array(F.collect_list(F.when(flagged, top)), asc=False), 1, SAMPLE_DAYS).alias("days"),
     )
     finding = _finding(
         None,
@@ -207,6 +210,7 @@ def revenue_outcome(
             "%d unusual revenue days of %d, most unusual %s",
             F.col("flagged"), F.col("day_count"), F.coalesce(F.col("top.order_date").cast("string"), F.lit("unknown")),
         ),
+        F.to_json("days"),
     )
     enough = F.col("day_count") >= policy.min_history_days
     findings = _findings((enough & (F.col("flagged") > 0), finding))
@@ -215,7 +219,7 @@ def revenue_outcome(
 
 
 def error_outcomes(spark: SparkSession, checks: Iterable[str], table: str, message: str) -> DataFrame:
-    rows = [(check, table, "ERROR", None, message[:2000], []) for check in checks]
+    rows = [(check, table, "ERROR", None, message, []) for check in checks]
     return spark.createDataFrame(rows, OUTCOME_DDL)
 
 
@@ -560,8 +564,12 @@ def violation_trend(history: DataFrame) -> DataFrame:
 
 def open_critical(history: DataFrame, summaries: DataFrame) -> DataFrame:
     """CRITICAL violations of the newest run; a newer clean run closes all of them."""
+    critical = history.where(F.col("severity") == "CRITICAL")
+    if "run_id" in summaries.columns and "run_id" in history.columns:
+        newest = summaries.agg(F.max_by("run_id", "run_timestamp").alias("id")).select("id").scalar()
+        return critical.where(F.col("run_id") == newest)
     newest = summaries.agg(F.max("run_timestamp").alias("t")).select("t").scalar()
-    return history.where((F.col("severity") == "CRITICAL") & (F.col("check_timestamp") == newest))
+    return critical.where(F.col("check_timestamp") == newest)
 
 
 def rolling_volume(per_day: DataFrame, drop_pct: float = 50.0, days: int = 7) -> DataFrame:

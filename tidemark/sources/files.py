@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -9,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.sources.schemas import PLATFORM_DDL
+
 # ---- Fixed values: dialect of the source files -------------------------------------------
 CSV_DIALECT = {"header": "true", "encoding": "UTF-8", "escape": '"', "nullValue": ""}
 
@@ -19,15 +22,17 @@ def read_csv(
     schema: StructType | None = None,
     multiline: bool = True,
     infer: bool = False,
+    same_header: bool = False,
 ) -> DataFrame:
     """A CSV file: with a declared schema (by position), inferred, or as text by header name.
 
     A file with quoted line breaks cannot be split over tasks; pass ``multiline=False`` for
-    tables without free text.
+    tables without free text. With ``same_header`` a file whose header differs from the schema
+    ends the job; otherwise its values would be taken by position.
     """
     reader = spark.read.options(**CSV_DIALECT).option("multiLine", str(multiline).lower())
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", str(not same_header).lower())
     elif infer:
         reader = reader.option("inferSchema", "true")
     try:
@@ -61,8 +66,8 @@ class TableStore:
 
     def read(self, layer: str, name: str) -> DataFrame:
         reader = self.spark.read.format(self.table_format)
-        if self.table_format == "parquet":
-            reader = reader.option("mergeSchema", "true")
+        if self.table_format == "parquet" and name in PLATFORM_DDL:
+            reader = reader.schema(StructType.fromDDL(PLATFORM_DDL[name]))
         return reader.load(self.path(layer, name))
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
@@ -77,11 +82,19 @@ class TableStore:
             writer = writer.option("mergeSchema", "true")
         writer.save(self.path(layer, name))
 
+    def append_new(self, df: DataFrame, layer: str, name: str, *key: str) -> None:
+        """Append the rows whose key the table does not hold yet, so a repeated run adds nothing."""
+        if self.exists(layer, name):
+            df = df.join(self.read(layer, name).select(*key), list(key), "left_anti").select(*df.columns)
+        self.append(df.coalesce(1), layer, name)
+
     def exists(self, layer: str, name: str) -> bool:
         try:
             self.read(layer, name)
-        except AnalysisException:
-            return False
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in (error.getCondition() or ""):
+                return False
+            raise
         return True
 
     def write_load(self, df: DataFrame, name: str, load_id: str) -> None:
@@ -103,9 +116,9 @@ class TableStore:
             self.read(layer, name).createOrReplaceTempView(name)
 
 
-def preview(df: DataFrame, rows: int = 3) -> DataFrame:
-    """The first rows by all columns, for a quick look."""
-    return df.orderBy(*df.columns).limit(rows)
+def preview(df: DataFrame, rows: int = 3, order: Sequence[str] = ()) -> DataFrame:
+    """Some rows for a quick look; the first ones by ``order`` if columns are named."""
+    return (df.orderBy(*order) if order else df).limit(rows)
 
 
 def table_shape(df: DataFrame, table: str) -> DataFrame:

@@ -48,13 +48,14 @@ def source_columns(table: str) -> list[str]:
     return [column.split()[0] for column in SOURCE_DDL[table].split(",")]
 
 
-# One row per load attempt. The last two columns make the log the list of readable versions.
+# One row per load attempt. The last three columns make the log the list of readable versions, in the
+# order in which loads were committed; ingestion_timestamp is the time that the run reports.
 AUDIT_DDL = """
     audit_id STRING NOT NULL, pipeline_name STRING, pipeline_version STRING,
     table_name STRING NOT NULL, source_file STRING, load_status STRING NOT NULL,
     rows_loaded BIGINT, rows_expected_min BIGINT, schema_drift_detected STRING,
     error_message STRING, ingestion_timestamp TIMESTAMP NOT NULL, environment STRING,
-    load_id STRING, write_mode STRING"""
+    load_id STRING, write_mode STRING, committed_at TIMESTAMP"""
 
 # One row per violation, for both check families.
 VIOLATION_DDL = """
@@ -65,3 +66,6 @@ VIOLATION_DDL = """
 SUMMARY_DDL = """
     run_id STRING, pipeline_name STRING, total_checks BIGINT, passed BIGINT, failed BIGINT,
     warnings BIGINT, overall_status STRING, run_timestamp TIMESTAMP, environment STRING"""
+
+#: Platform tables with a declared layout; they are opened without looking at their files.
+PLATFORM_DDL = {"bronze_ingestion_audit": AUDIT_DDL, "dq_violations": VIOLATION_DDL, "dq_summary": SUMMARY_DDL}

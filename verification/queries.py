@@ -243,20 +243,19 @@ def revenue_anomaly_days(spark: SparkSession, folder: str) -> DataFrame:
     return days.select("order_date", "daily_revenue", "day_count", F.round("z_score", 4).alias("z_score"))
 
 
-def _value_profiles(spark: SparkSession, folder: str) -> DataFrame:
+def _value_columns(spark: SparkSession, folder: str) -> dict[str, tuple[DataFrame, list[str]]]:
     tables = StarBronze(spark, folder)
-    columns = {
+    return {
         "order_payments": (tables["order_payments"], ["payment_value"]),
         "order_items": (tables["order_items"], ["price", "freight_value"]),
         "events": (star.read(spark, folder, "events"), ["value"]),
         "customer": (star.read(spark, folder, "customer"), ["c_acctbal"]),
     }
-    return anomalies.value_profiles(columns)
 
 
-def _values(*names: str, found: str | None = None) -> Query:
+def _values(make: Callable[[dict], DataFrame], *names: str, found: str | None = None) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        profiles = _value_profiles(spark, folder)
+        profiles = make(_value_columns(spark, folder))
         kept = profiles.where(F.col(found) > 0) if found else profiles
         return kept.select("table_name", "column_name", *names)
 
@@ -324,6 +323,10 @@ def open_critical(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _first(df: DataFrame) -> DataFrame:
+    return preview(df, order=df.columns)
+
+
 QUERIES: dict[str, Query] = {
     **{name: _kpi(build) for name, build in gold.GOLD.items()},
     "order_status_share": order_status_share,
@@ -353,7 +356,7 @@ QUERIES: dict[str, Query] = {
     "table_shapes": lambda spark, folder: _union(
         [table_shape(df, TABLES[t].bronze) for t, df in star.all_bronze(spark, folder).items()]
     ),
-    "table_preview": lambda spark, folder: preview(_silver(spark, folder)["customers"]),
+    "table_preview": lambda spark, folder: _first(_silver(spark, folder)["customers"]),
     "dup_rows": dup_rows,
     "dup_row_sample": dup_row_sample,
     "dup_key_conflicts": lambda spark, folder: duplicates.key_conflicts(
@@ -367,10 +370,10 @@ QUERIES: dict[str, Query] = {
     "staleness_b": _check(quality.strict_profile_outcomes, AS_OF, name="strict_staleness_check"),
     "volume_check": _check(quality.profile_outcomes, AS_OF, name="volume_check"),
     "revenue_anomaly_days": revenue_anomaly_days,
-    "value_outliers_z": _values("value_count", "z_outliers"),
-    "value_outliers_iqr": _values("q1", "q3", "iqr_outliers"),
-    "zero_values": _values("zero_values", found="zero_values"),
-    "negative_values": _values("negative_values", found="negative_values"),
+    "value_outliers_z": _values(anomalies.z_outliers, "value_count", "z_outliers"),
+    "value_outliers_iqr": _values(anomalies.value_profiles, "q1", "q3", "iqr_outliers"),
+    "zero_values": _values(anomalies.value_statistics, "zero_values", found="zero_values"),
+    "negative_values": _values(anomalies.value_statistics, "negative_values", found="negative_values"),
     "dq_outcomes": _run(
         lambda o: o.select(
             "check_name", "table_name", "status", "rows_scanned", F.size("findings").cast("bigint").alias("findings")
