@@ -148,6 +148,30 @@ def test_secret_spans(spark):
     assert kinds(8) == ["access", "key"]
 
 
+def test_links_match_all_pairs():
+    rng = np.random.default_rng(7)
+    parts = ["user_id=abc{0}", "host: h{0}.example.org", "Zq8Rk2Wv7Lx4Tn9Bc{0}", "password=longenough{0}value", "AKIA" + "Q" * 14, "w" * 90, "\n", "\n \n", "plain words"]
+    within = lambda a, b: a[0] <= b[1] + secret_links.REACH and b[0] <= a[1] + secret_links.REACH
+    reported = 0
+    for _ in range(300):
+        text = " ".join(parts[k].format(int(rng.integers(1000, 9999))) for k in rng.integers(0, len(parts), 30))
+        base, spans = secret_links.all_spans(text)
+        weak = [(m.start(), m.end(), k) for k, p in zip(secret_links.WEAK, (secret_links.IDENT, secret_links.KEY, secret_links.ENDPOINT)) for m in p.finditer(text)]
+        weak = [w for w in weak if (w[2] != "key" or secret_links._mixed(text[w[0] : w[1]])) and not any(b[0] < w[1] and w[0] < b[1] for b in base)]
+        blocks = [m.start() for m in re.finditer(r"\n[ \t]*\n", text)]
+        near = lambda a, b: within(a, b) and not any(min(a[0], b[0]) < x <= max(a[0], b[0]) for x in blocks)
+        idents = [w for w in weak if w[2] == "ident"] + [b for b in base if b[2] == "access"]
+        secrets = [w for w in weak if w[2] == "key"] + [b for b in base if b[2] != "access"]
+        to_secret, to_ident = (lambda w: any(near(w, x) for x in secrets)), (lambda w: any(near(w, x) for x in idents))
+        good = {"ident": to_secret, "key": to_ident, "endpoint": lambda w: to_secret(w) and to_ident(w)}
+        expected = [w for w in weak if good[w[2]](w)]
+        assert sorted(spans) == sorted(base + expected)
+        reported += len(expected)
+    assert reported > 300
+    nested = "token=" + ".".join(["deadbeef" * 2] * 5) + ".Zq8Rk2Wv7Lx4Tn9Bc3Hd user_id=abcd"
+    assert "key" not in {k for _, _, k in secret_links.all_spans(nested)[1]}
+
+
 def test_redaction_keeps_rows_and_columns(spark, odd):
     out = secret_links.redacted(spark.createDataFrame(rows(SECRETS), SCHEMA).unionByName(odd))
     assert out.columns == odd.columns and out.count() == len(SECRETS) + odd.count()

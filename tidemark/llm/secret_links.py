@@ -9,8 +9,8 @@ endpoint in reach of both. Strong access keys serve as identifiers and strong as
 hexadecimal spans as secrets, and all strong spans stay. A weak part inside a strong span is part
 of it and not reported.
 
-The join runs per text over sorted intervals, in time proportional to the parts and links, so one
-text with very many parts is no hot key. A null text is empty. Rows are independent, so repeated
+The join runs per text over sorted intervals with one binary search a part, so one text with very
+many parts is no hot key. A null text is empty. Rows are independent, so repeated
 rows give repeated results and an empty table an empty one.
 """
 
@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -72,32 +74,44 @@ def _mixed(value: str) -> bool:
     )
 
 
-def _outside(spans: list[Span], strong: list[tuple[int, int]]) -> list[Span]:
-    starts = [s for s, _ in strong]
+def _furthest(ends: list[int]) -> list[int]:
+    """Running maxima."""
+    return list(accumulate(ends, max))
+
+
+def _outside(spans: list[Span], taken: list[tuple[int, int]]) -> list[Span]:
+    """The spans that overlap none of the taken intervals, which come sorted."""
+    starts, reached = [s for s, _ in taken], _furthest([e for _, e in taken])
     out = []
     for span in spans:
         i = bisect_left(starts, span[1])
-        if not any(e > span[0] for _, e in strong[max(0, i - 3) : i]):
+        if not i or reached[i - 1] <= span[0]:
             out.append(span)
     return out
 
 
 class _Near:
-    """Intervals of one kind, asked for those within reach of another in the same scope."""
+    """Intervals of one kind, asked whether one lies within reach of another kind's in its scope.
+
+    Of the intervals of a scope that start early enough, the one that ends last decides.
+    """
 
     def __init__(self, spans: list[Span], scope) -> None:
-        self.spans = sorted(spans)
-        self.starts = [s for s, _, _ in self.spans]
-        self.longest = max((e - s for s, e, _ in self.spans), default=0)
         self.scope = scope
+        self.starts: dict[int, list[int]] = defaultdict(list)
+        ends: dict[int, list[int]] = defaultdict(list)
+        for start, end, kind in sorted(spans):
+            place = scope((start, end, kind))
+            self.starts[place].append(start)
+            ends[place].append(end)
+        self.reached = {place: _furthest(e) for place, e in ends.items()}
 
     def __call__(self, span: Span) -> bool:
-        lo = bisect_left(self.starts, span[0] - REACH - self.longest)
-        hi = bisect_right(self.starts, span[1] + REACH)
-        return any(
-            self.spans[i][1] + REACH >= span[0] and self.spans[i] != span and self.scope(self.spans[i]) == self.scope(span)
-            for i in range(lo, hi)
-        )
+        place = self.scope(span)
+        if place not in self.reached:
+            return False
+        i = bisect_right(self.starts[place], span[1] + REACH)
+        return i > 0 and self.reached[place][i - 1] + REACH >= span[0]
 
 
 def linked_spans(text: str, base: list[Span]) -> list[Span]:
