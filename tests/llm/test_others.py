@@ -78,6 +78,13 @@ def test_what_does_not_validate_stays(pseudonyms):
     assert out == texts and not any(finds)
 
 
+def test_very_long_values(pseudonyms):
+    texts = ["m ab@" + "c." * 100_000 + "org", "a." * 100_000 + "@x.org", "1-" * 100_000, "DE00" + " ABCD" * 50_000]
+    out, finds = pseudonyms(texts)
+    assert finds == [["mail"], ["mail"], [], []]
+    assert out[0].endswith(texts[0][4:]) and len(out[1]) == len(texts[1]) and out[2:] == texts[2:]
+
+
 def test_days_are_permuted_exactly(spark):
     days = spark.range(73049).selectExpr("id AS doc_id", "CAST(date_add(DATE'1900-01-01', CAST(id AS INT)) AS STRING) AS text")
     out = feistel_pii.pseudonymised(days, "k")
