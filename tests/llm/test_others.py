@@ -72,6 +72,58 @@ def test_equal_values_stay_linked_and_others_differ(pseudonyms):
     assert not set(other[0].split()) & set(first[0].split())
 
 
+def iban_of(country: str, account: str) -> str:
+    return next(f"{country}{c:02d}{account}" for c in range(2, 99) if mod97(f"{country}{c:02d}{account}") == 1)
+
+
+def grouped(value: str, sizes, sep=" ") -> str:
+    parts, at = [], 0
+    for size in sizes:
+        parts.append(value[at : at + size])
+        at += size
+    return sep.join(parts)
+
+
+def test_cards_in_every_grouping(pseudonyms):
+    shapes = [(4, 6, 4), (4, 4, 4, 4, 3), (4, 4, 4, 4, 1), (4, 3, 3, 3), (4, 5, 6), (6, 13), (4, 4, 5), (4, 6, 5), (4, 4, 4, 4), (8, 8), (5, 5, 5), (2, 12)]
+    cards = [with_check(f"{40 + i}{'73052189463051274'[: sum(s) - 3]}") for i, s in enumerate(shapes)]
+    plain, _ = pseudonyms(cards)
+    texts = [grouped(c, s, sep) for sep in " -" for c, s in zip(cards, shapes)]
+    out, finds = pseudonyms(["at " + t + ", ok" for t in texts] + ["3056 930902 5904"])
+    assert finds == [["card"]] * (len(texts) + 1)
+    assert out[:-1] == ["at " + grouped(p, s, sep) + ", ok" for sep in " -" for p, s in zip(plain, shapes)]
+
+
+def test_neighbours_of_cards_stay_apart(pseudonyms):
+    four, long, diners = with_check("411111111111111"), with_check("623456789012345678"), with_check("3056930902590")
+    cvc = next(c for c in range(100, 999) if not luhn(four + str(c)))
+    fours = grouped(four, (4, 4, 4, 4))
+    texts = [
+        f"{fours} {cvc}", f"12 {fours} {fours}", f"{grouped(long, (4, 4, 4, 4, 3))} {grouped(long, (4, 4, 4, 4, 3))} {grouped(diners, (4, 6, 4))}",
+        f"{fours} 123-45-6789", f"{fours} 234-567-8901", f"{fours} 31.01.1999", f"55 {four} 2024-01-31", "5 2024-01-31 123-45-6789", "1234567 7654321@x.org",
+    ]
+    out, finds = pseudonyms(texts)
+    assert finds == [["card"], ["card"] * 2, ["card"] * 3, ["card", "ssn"], ["card", "phone"], ["card", "date"], ["card", "date"], ["date", "ssn"], ["mail"]]
+    assert out[0].endswith(f" {cvc}") and out[1].startswith("12 ") and luhn(re.sub(" ", "", out[0])[:16]) and fours not in out[0]
+
+
+def test_national_telephone_numbers(pseudonyms):
+    texts = ["+1 (234) 567-8901", "(234) 567-8901", "(234)567-8901", "234-567-8901", "234.567.8901", "234 567 8901", "1-234-567-8901"]
+    out, finds = pseudonyms(["call " + t + "." for t in texts] + ["x234-567-8901", "234-567-89012"])
+    assert finds == [["phone"]] * len(texts) + [[], []]
+    assert len({re.sub("[^0-9]", "", t)[-10:] for t in out[:-2]}) == 1 and out[1] != "call (234) 567-8901."
+
+
+def test_ibans_with_letters_in_the_last_group(pseudonyms):
+    maltese, belgian = iban_of("MT", "MALT011000012345MTLCAST001S"), iban_of("BE", "539007547034")
+    spaced = grouped(maltese, (4, 4, 4, 4, 4, 4, 4, 3))
+    short = grouped(belgian, (4,) * 4)
+    out, finds = pseudonyms([spaced, maltese, f"{short} IS mine", f"{short} 2024-01-31"])
+    assert finds == [["iban"], ["iban"], ["iban"], ["iban", "date"]]
+    assert out[0].replace(" ", "") == out[1] != maltese and mod97(out[1]) == 1
+    assert out[2].endswith(" IS mine") and mod97(out[2][:19].replace(" ", "")) == 1 and short not in out[2]
+
+
 def test_what_does_not_validate_stays(pseudonyms):
     texts = ["4111111111111112", "300.1.2.3", "2023-02-30", "1899-12-31", "000-12-3456", "DE00370400440532013000", "x4111111111111111", "9" * 25]
     out, finds = pseudonyms(texts)

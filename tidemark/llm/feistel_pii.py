@@ -2,8 +2,11 @@
 
 Found and validated: card numbers (13 to 19 digits, Luhn), IBANs (modulus 97), IPv4 addresses,
 dates from 1900 to 2099 (2024-01-31, 31.01.2024, 31/01/2024), telephone numbers (+1 (234)
-567-8901 and the like), social security numbers (area, group and serial in range) and mail
-addresses. Each value is replaced by a keyed permutation of its own format:
+567-8901 and the like, and without the country: (234) 567-8901, 234-567-8901), social security
+numbers (area, group and serial in range) and mail addresses. Cards in the usual groups (16 and 19
+digits by fours, 4-6-5, 4-6-4, 4-5-6, 6-13, 4-4-5, 4-3-3-3) are told apart from numbers beside
+them; any other grouping with single blanks or hyphens is found where no number of its own starts
+inside it. A short group behind a card or an IBAN belongs to it where both together validate. Each value is replaced by a keyed permutation of its own format:
 
 - digits and letters of a value swap rounds between its two halves: each half is shifted by a
   keyed hash of the other, modulo its number of values, which is undone with the same key;
@@ -33,14 +36,40 @@ KEY = "example-key"
 #: Candidate formats, tried in this order at each place. Possessive repeats and the look-behinds
 #: keep the scan linear, and a domain of very many labels off the matcher's stack.
 _MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [0-9]{1,3})?)(?![A-Za-z0-9])"
+_NATIONAL = r"(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?|[0-9]{3}[ .-][0-9]{3}[ .-])[0-9]{4}(?![0-9A-Za-z])"
+#: A last short group is not the start of a date, an address or a telephone number.
+_TAIL = rf"(?!{_NATIONAL})[%s]{{1,3}}(?![0-9A-Za-z]|[./-][0-9])"
+_IBAN = (
+    r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}(?![A-Za-z0-9])"
+    rf"|(?: [A-Z0-9]{{4}}(?![A-Za-z0-9])){{2,7}}(?: {_TAIL % 'A-Z0-9'}|(?![./-][0-9])))"
+)
 _IP = r"(?<![0-9.A-Za-z])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])"
 _DATE = r"(?<![0-9A-Za-z])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}(?<ds>[./])[0-9]{2}\k<ds>[0-9]{4})(?![0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-_PHONE = r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
+_PHONE = (
+    r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
+    rf"|(?<![0-9][.-]){_NATIONAL})"
+)
+#: Card shapes by the digits of their groups, longest first. A short fifth group may be no part of the card.
+_SHAPES = (("4", "4", "4", "4", _TAIL % "0-9"), ("4", "4", "4", "1,7"), ("4", "6", "4,5"), ("4", "5", "6"), ("6", "13"), ("4", "4", "5"), ("4", "3", "3", "3"))
+
+
+def _shaped(groups: tuple[str, ...], name: str | None = None) -> str:
+    """Groups of digits with one separator, the same one throughout if it has a name."""
+    first, then = (rf"(?<{name}>[ -])", rf"\k<{name}>") if name else ("[ -]", "[ -]")
+    parts = [f"[0-9]{{{g}}}" if g[0].isdigit() else g for g in groups]
+    return parts[0] + first + then.join(parts[1:])
+
+
+#: Other groupings are taken up to the start of anything that is a candidate by itself.
+_OWN = "|".join((
+    r"[A-Za-z0-9._%+-]{1,256}+@", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9])", r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z])",
+    r"[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9A-Za-z])", r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])", _NATIONAL,
+    rf"(?:[0-9]{{13,19}}|{'|'.join(map(_shaped, _SHAPES))})(?![0-9A-Za-z])",
+))
 _CARD = (
-    r"(?<![0-9A-Za-z+.-])(?:[0-9]{13,19}|[0-9]{4}(?<cs>[ -])[0-9]{4}\k<cs>[0-9]{4}\k<cs>[0-9]{1,7}"
-    r"|[0-9]{4}(?<as>[ -])[0-9]{6}\k<as>[0-9]{5})(?![0-9A-Za-z])"
+    r"(?<![0-9A-Za-z+.-])(?:[0-9]{13,19}|" + "|".join(_shaped(g, f"s{i}") for i, g in enumerate(_SHAPES))
+    + rf"|[0-9](?:[0-9]|[ -](?!{_OWN})[0-9]){{12,18}}+)(?![0-9A-Za-z])"
 )
 CANDIDATE = "|".join((_MAIL, _IBAN, _IP, _DATE, _SSN, _PHONE, _CARD))
 
@@ -161,26 +190,46 @@ def mod97(text: Column) -> Column:
     return F.aggregate(F.split(text, ""), F.lit(0), add)
 
 
+def _first(choices: list[Column], good) -> Column:
+    """The first choice that is good; null without one."""
+    return F.coalesce(*[F.when(good(c), c) for c in choices])
+
+
+def _around(m: Column, value: Column, new) -> Column:
+    """The candidate with ``new(value)`` for the value it starts with."""
+    return _of(value, lambda v: F.concat(new(v), F.substring(m, F.length(v) + 1, F.length(m))))
+
+
 def _card(m: Column, key: str) -> tuple[Column, Column]:
-    digits = _only(m, "0-9")
+    def good(c: Column) -> Column:
+        digits = _only(c, "0-9")
+        return m.rlike("^[0-9][0-9 -]*$") & (F.length(digits) >= 13) & (luhn_sum(digits) % 10 == 0)
 
     def new(d: Column) -> Column:
         payload = permuted_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card")
         return _of(payload, lambda p: F.concat(p, ((10 - luhn_sum(F.concat(p, F.lit("0"))) % 10) % 10).cast("string")))
 
-    return m.rlike("^[0-9][0-9 -]*$") & (F.length(digits) >= 13) & (luhn_sum(digits) % 10 == 0), _of(digits, lambda d: _written(m, new(d), "0-9"))
+    four = F.when(m.rlike("^(?:[0-9]{4}[ -]){4}[0-9]{1,3}$"), F.substring(m, 1, 19))
+    value = _first([m, four], good)
+    return value.isNotNull(), _around(m, value, lambda v: _of(_only(v, "0-9"), lambda d: _written(v, new(d), "0-9")))
 
 
 def _iban(m: Column, key: str) -> tuple[Column, Column]:
-    plain = _only(m, "A-Z0-9")
     turned = lambda s: F.concat(F.substring(s, F.lit(5), F.length(s)), F.substring(s, F.lit(1), F.lit(4)))
 
+    def good(c: Column) -> Column:
+        plain = _only(c, "A-Z0-9")
+        return m.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$") & (F.length(plain) >= 15) & (mod97(turned(plain)) == 1)
+
     def new(s: Column) -> Column:
         country = F.substring(s, F.lit(1), F.lit(2))
         rest = permuted_characters(F.substring(s, F.lit(5), F.length(s)), key, "iban")
         return _of(rest, lambda r: F.concat(country, F.lpad((98 - mod97(F.concat(r, country, F.lit("00")))).cast("string"), 2, "0"), r))
 
-    return m.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9 ]+$") & (mod97(turned(plain)) == 1), _of(plain, lambda s: _written(m, new(s), "A-Z0-9"))
+    # a short last group may be a word or number that follows
+    shorter = F.when(m.rlike(" [A-Z0-9]{1,3}$"), F.regexp_replace(m, " [A-Z0-9]{1,3}$", ""))
+    value = _first([m, shorter], good)
+    return value.isNotNull(), _around(m, value, lambda v: _of(_only(v, "A-Z0-9"), lambda s: _written(v, new(s), "A-Z0-9")))
 
 
 def _ip(m: Column, key: str) -> tuple[Column, Column]:
@@ -216,7 +265,7 @@ def _phone(m: Column, key: str) -> tuple[Column, Column]:
         n = F.length(d)
         return F.concat(F.substring(d, F.lit(1), n - 10), permuted_digits(F.substring(d, n - 9, F.lit(10)), key, "phone"))
 
-    return m.startswith("+"), _of(digits, lambda d: _written(m, new(d), "0-9"))
+    return m.startswith("+") | m.rlike(f"^{_NATIONAL}$"), _of(digits, lambda d: _written(m, new(d), "0-9"))
 
 
 def _ssn(m: Column, key: str) -> tuple[Column, Column]:
