@@ -8,6 +8,9 @@ from tidemark.llm import mixing, near_dedup, pu_toxicity, secret_links, sentence
 from tidemark.llm.common import documents, stage, table
 from tidemark.llm.queries import model_path
 
+#: Words of a shingle in the near_duplicates stage; ``op6_near_duplicates`` has 2 by its contract.
+SHINGLE_WORDS = 5
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
@@ -15,8 +18,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return near_dedup.kept_documents(docs)
+    """One document of each group stays whose sets of 5-word shingles are linked at 0.8 or more."""
+    return near_dedup.kept_documents(docs, width=SHINGLE_WORDS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

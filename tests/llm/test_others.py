@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tidemark.llm import feistel_pii, pivot_search, url_filter
+from tidemark.llm import feistel_pii, near_dedup, pivot_search, url_filter
 
 # ---- pseudonyms
 
@@ -221,6 +221,29 @@ def test_bounds_spare_work():
 # ---- pipeline
 
 
+def test_near_duplicate_stage_has_shingles_of_five_words(spark):
+    base = [f"w{i}" for i in range(100)]
+    scattered, together = base.copy(), base.copy()
+    for at in (20, 40, 60, 80):
+        scattered[at] = f"n{at}"
+    together[50] = "n50"
+    texts = {0: " ".join(base), 1: " ".join(scattered), 2: " ".join(together), 3: "a b c", 4: "A  b c", 5: "a b d", 6: "a b c d e", 7: "one", 8: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+
+    def kept(width):
+        sets = {}
+        for i, t in texts.items():
+            words = t.lower().split()
+            n = min(width, len(words))
+            sets[i] = {tuple(words[a : a + n]) for a in range(len(words) - n + 1)} if words else set()
+        linked = lambda a, b: sets[a] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+        return {i for i in texts if not any(linked(i, j) for j in range(i))}
+
+    assert kept(2) == {0, 3, 5, 6, 7, 8} and kept(5) == {0, 1, 3, 5, 6, 7, 8}
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == kept(5)
+    assert {r.doc_id for r in near_dedup.kept_documents(docs).collect()} == kept(2)
+
+
 def test_pipeline_stages(spark, tmp_path):
     sentence = "ab{0} cd{0} ef{0} gh{0} ij{0} kl{0} mn{0} op{0} qr{0} st{0} uv{0} wx{0}"
     texts = {i: sentence.format(i) for i in range(60)}

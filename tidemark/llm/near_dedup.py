@@ -1,8 +1,8 @@
 """Near-duplicate documents by MinHash with tensored banding, links confirmed on full sets.
 
-A document's set holds its distinct 2-word shingles (A-Z lower-cased, words are runs without
-ASCII white space); with one word the word itself, without words the set is empty and linked
-with nothing. Documents link with Jaccard similarity of 0.8 or more.
+A document's set holds its distinct shingles of ``width`` words, 2 unless stated (A-Z lower-cased,
+words are runs without ASCII white space); with fewer words the whole sequence is one shingle,
+without words the set is empty and linked with nothing. Documents link with Jaccard similarity of 0.8 or more.
 
 Tables. Two small collections of ``SIDE`` half keys, each of two minhashes, give SIDE * SIDE
 table keys (u_i, v_j): 64 tables of 4 minhashes for the cost of 32 minhashes instead of 256.
@@ -34,6 +34,7 @@ from tidemark.llm.common import map_rows, stage, worker_cache
 
 SIDE = 8
 PER_HALF = 2
+WIDTH = 2
 BLOCK = 1024
 #: Names of candidates (8 bytes each) that are broadcast to pick out their texts; more are joined
 #: by a shuffle of the texts.
@@ -54,9 +55,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text."""
+    """Sorted distinct 64-bit hashes of a text's shingles of ``width`` words."""
 
-    def __init__(self) -> None:
+    def __init__(self, width: int = WIDTH) -> None:
+        self.width = width
         self.known: dict[bytes, int] = {}
 
     def __call__(self, text: bytes | None) -> np.ndarray:
@@ -73,9 +75,18 @@ class Shingler:
         h = np.array(codes, dtype=np.uint64)
         if len(h) < 2:
             return _mix(h + np.uint64(1))
-        pairs = _mix(h[:-1] * np.uint64(0xD6E8FEB86659FD93) + h[1:] + np.uint64(7))
-        pairs.sort()
-        return pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))]
+        width = min(self.width, len(h))
+        runs = h[: len(h) - width + 1]
+        for at in range(1, width):
+            runs = _mix(runs * np.uint64(0xD6E8FEB86659FD93) + h[at : at + len(runs)] + np.uint64(7))
+        if width < self.width:  # a short text's only shingle is none of a longer text's
+            runs = _mix(runs + np.uint64(width))
+        runs.sort()
+        return runs[np.concatenate(([True], runs[1:] != runs[:-1]))]
+
+
+def _shingler(width: int) -> Shingler:
+    return worker_cache(f"shingler-{width}", lambda: Shingler(width))
 
 
 def _multipliers() -> np.ndarray:
@@ -99,8 +110,8 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(parity)
 
 
-def _sketcher():
-    shingler, factors = worker_cache("shingler", Shingler), _multipliers()
+def _sketcher(width: int):
+    shingler, factors = _shingler(width), _multipliers()
     salts = np.arange(1, SIDE + 1, dtype=np.uint64)
 
     def work(columns: list) -> list:
@@ -127,20 +138,20 @@ def _sketcher():
     return work
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     rows = docs.select(
         F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("rid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("binary").alias("text"),
     )
     return map_rows(
-        rows, _sketcher,
+        rows, lambda: _sketcher(width),
         "rid bigint, doc_id bigint, n bigint, f1 bigint, f2 bigint, u array<bigint>, v array<bigint>, bits binary",
     )
 
 
-def _setter():
-    shingler = worker_cache("shingler", Shingler)
+def _setter(width: int):
+    shingler = _shingler(width)
 
     def work(columns: list) -> list:
         rid, texts = columns
@@ -276,9 +287,9 @@ def _block_pairs(group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
-def with_components(docs: DataFrame) -> DataFrame:
+def with_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and the row's internal name rid, for every row."""
-    known = stage(sketches(docs), "sketches")
+    known = stage(sketches(docs, width), "sketches")
     nodes = stage(
         known.where("n > 0").groupBy("f1", "f2").agg(
             F.min("rid").alias("rid"), F.min_by(F.struct("n", "u", "v", "bits"), "rid").alias("s")
@@ -307,7 +318,7 @@ def with_components(docs: DataFrame) -> DataFrame:
     wanted = docs.select(
         F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("rid"), F.col("text").cast("binary").alias("text")
     ).join(named, "rid", "left_semi")
-    sets = stage(map_rows(wanted, _setter, "rid bigint, s binary").dropDuplicates(["rid"]), "sets")
+    sets = stage(map_rows(wanted, lambda: _setter(width), "rid bigint, s binary").dropDuplicates(["rid"]), "sets")
     links = stage(verified(stars, sets), "links")
     label = components(links)
 
@@ -335,10 +346,10 @@ def with_components(docs: DataFrame) -> DataFrame:
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def kept_documents(docs: DataFrame) -> DataFrame:
+def kept_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """One document of each component, with all its columns; equal rows of one id stay together."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = dict(zip(docs.columns, names))
-    keep = with_components(docs).where("kept").select("rid").distinct()
+    keep = with_components(docs, width).where("kept").select("rid").distinct()
     rid = F.xxhash64(F.col(at["doc_id"]).cast("long"), F.col(at["text"]))
     return docs.toDF(*names).withColumn("rid", rid).join(keep, "rid", "left_semi").select(*names).toDF(*docs.columns)
