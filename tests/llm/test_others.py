@@ -208,6 +208,34 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert pivot_search.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_with_large_components(spark, monkeypatch):
+    monkeypatch.setattr(pivot_search, "BLOCK", 32)
+    rng = np.random.default_rng(4)
+    vectors = [(i, (rng.normal(0, 0.2, 4) * [1, 1e5, 3e6, 1e7][i % 4 if i < 120 else 0]).tolist()) for i in range(200)]
+    vectors += [(200, [20000.0, 0.0, 0.0, 0.0]), (201, [20000.0, 1.0, 0.0, 0.0]), (220, [3.5e6, -3.5e6, 1 / 64, 0.0]), (221, [3.5e6, -3.5e6, 2 / 64, 0.0])]
+    vectors += [(300, [float("inf"), 0.0, 0.0, 0.0])]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in vectors if i != 300}
+    expected = set()
+    for q in whole:
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)[:20]
+            assert -best[0][0] < 2**63
+            expected |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best)}
+    assert {tuple(r) for r in pivot_search.top_k(table).collect()} == expected
+
+
+def test_scores_beyond_the_long_range_are_errors(spark):
+    def run(*vectors):
+        rows = [(20 * i, list(v)) for i, v in enumerate(vectors)]
+        return pivot_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+
+    for vectors in ([(1e9, 1e9)] * 2, [(1e9, 1e9), (-1e9, -1e9)], [(1e300, 0.0), (0.0, 0.0)]):
+        with pytest.raises(Exception, match="long range"):
+            run(*vectors)
+    assert len(run((1e9, 1e9), (-1e9, -1e9), *[(0.5, -0.5)] * 20)) == 22 * 20
+
+
 def test_bounds_spare_work():
     rng = np.random.default_rng(2)
     centres = rng.normal(0, 40, (20, 16))

@@ -15,9 +15,12 @@ Distribution. Queries and candidates are packed into blocks of ``BLOCK`` vectors
 query block and a candidate block is one unit of work, and each unit's best k meet per query.
 Work is the stated queries against all rows, in blocks.
 
-Nulls and repeats. Vectors that are null, empty, or hold a null, a non-finite component or one
-beyond +-2**20 once scaled (the score would leave the long range in long vectors) take no part,
-nor do null ids. Vectors only meet vectors of their length. Rows that repeat an id are rows of
+Large components. Floats are exact for vectors shorter than 2**26 once scaled. Pairs with a longer
+one are picked by float scores with an error bound and scored in whole numbers. A component or a
+resulting score beyond the long range is an error.
+
+Nulls and repeats. Vectors that are null, empty, or hold a null or a non-finite component take no
+part, nor do null ids. Vectors only meet vectors of their length. Rows that repeat an id are rows of
 their own: a query row is matched with every row but those of its own id.
 """
 
@@ -25,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
@@ -36,17 +39,23 @@ SCALE = 64
 PIVOTS = 32
 BLOCK = 4096
 STEP = 128
-LARGEST = 1 << 20
+#: Squared lengths below this: products of two such vectors are exact as doubles.
+USUAL = 2.0**52
+LONG = 1 << 63
 
 
 def scaled(vectors: DataFrame) -> DataFrame:
     """vec_id and integer components of the vectors that take part."""
-    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * F.lit(float(SCALE))))
+    def whole(x: Column) -> Column:
+        wide = F.floor(x.cast("double") * F.lit(float(SCALE)))
+        fits = F.abs(x.cast("double") * F.lit(float(SCALE))) < F.lit(float(LONG))
+        return F.when(fits, wide).otherwise(F.raise_error(F.lit("a component leaves the long range once scaled")).cast("long"))
+
     usable = (
         F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
-        & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) <= F.lit(LARGEST / SCALE)), F.lit(False)))
+        & F.forall("embedding", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf"))), F.lit(False)))
     )
-    return vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("v"))
+    return vectors.where(usable).select(F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", whole).alias("v"))
 
 
 def pivots(dims: int) -> np.ndarray:
@@ -55,6 +64,49 @@ def pivots(dims: int) -> np.ndarray:
     return rng.choice([-float(SCALE), float(SCALE)], size=(PIVOTS, dims)) / np.sqrt(dims)
 
 
+def best_wide(query_id: int, query, norm_q: float, ids, vectors, norms, k: int = K) -> list[tuple[int, int]]:
+    """(-score, id) of the best k candidates, in whole numbers of any size.
+
+    Float scores are off by at most ``slack``; only candidates that may be among the best are
+    scored again exactly.
+    """
+    other = np.flatnonzero(ids != query_id)
+    about = vectors[other].astype(np.float64) @ query.astype(np.float64)
+    slack = (len(query) + 4) * 2.0**-52 * np.sqrt(norm_q) * np.sqrt(norms[other])
+    if len(other) > k:
+        least = np.partition(about - slack, len(other) - k)[len(other) - k]
+        other = other[about + slack >= least]
+    scores = vectors[other].astype(object) @ query.astype(object) if len(other) else []
+    return sorted(zip((-int(x) for x in scores), ids[other].tolist()))[:k]
+
+
+def search_any(query_ids, queries, query_table, ids, vectors, table, k: int = K):
+    """(query position, ids, scores, scores below the long range) of the best k of each query in one block."""
+    length = lambda v: np.square(v.astype(np.float64)).sum(1)
+    norms_q, norms = length(queries), length(vectors)
+    usual_q, usual = np.flatnonzero(norms_q < USUAL), np.flatnonzero(norms < USUAL)
+    wide = np.flatnonzero(norms >= USUAL)
+    rest = (ids[wide], vectors[wide], norms[wide])
+    found = iter(())
+    if len(usual_q) and len(usual):
+        part = lambda v, at: v if len(at) == len(v) else v[at]
+        found = search_block(
+            query_ids[usual_q], part(queries, usual_q).astype(np.float64), part(query_table, usual_q),
+            ids[usual], part(vectors, usual).astype(np.float64), part(table, usual), k,
+        )
+    if len(usual_q) == len(queries) and not len(wide):
+        yield from ((row, best_ids, best.astype(np.int64), np.zeros(len(best), bool)) for row, best_ids, best in found)
+        return
+    near = {int(usual_q[row]): list(zip((-best.astype(np.int64)).tolist(), best_ids.tolist())) for row, best_ids, best in found}
+    for row in range(len(queries)):
+        against = rest if norms_q[row] < USUAL else (ids, vectors, norms)
+        best = sorted(near.get(row, []) + best_wide(query_ids[row], queries[row], norms_q[row], *against, k))[:k]
+        if best and -best[0][0] >= LONG:
+            raise OverflowError(f"a score of query {query_ids[row]} leaves the long range")
+        under = np.array([low > LONG for low, _ in best], dtype=bool)
+        yield row, np.array([i for _, i in best], dtype=np.int64), np.array([max(-low, -LONG) for low, _ in best], dtype=np.int64), under
+
+
 def search_block(query_ids, queries, query_table, ids, vectors, table, k: int = K):
     """(query position, id, score) of the best k candidates of each query in one block.
 
@@ -100,12 +152,14 @@ def _packer():
         order = np.lexsort((*v.T[::-1], ids)) if len(ids) else np.arange(0)
         ids, v = ids[order], v[order]
         p = pivots(v.shape[1])
-        square = (v * v).sum(1)[:, None] + (p * p).sum(1) - 2 * (v @ p.T)
+        wide = v.astype(np.float64)
+        square = (wide * wide).sum(1)[:, None] + (p * p).sum(1) - 2 * (wide @ p.T)
         table = np.sqrt(np.maximum(0, square))
+        kind = "<i4" if v.min() >= -(1 << 31) and v.max() < 1 << 31 else "<i8"
         return pa.table(
             {
                 "dims": pa.array([v.shape[1]], pa.int32()), "block": pa.array([group.column("block")[0].as_py()], pa.int64()),
-                "ids": pa.array([ids.astype("<i8").tobytes()]), "v": pa.array([v.astype("<i4").tobytes()]),
+                "ids": pa.array([ids.astype("<i8").tobytes()]), "v": pa.array([v.astype(kind).tobytes()]),
                 "t": pa.array([table.astype("<f8").tobytes()]),
             }
         )
@@ -130,20 +184,22 @@ def _search(batches):
             dims = row["dims"]
             read = lambda name, kind: np.frombuffer(row[name], dtype=kind)  # noqa: E731, B023
             q_ids, ids = read("q_ids", "<i8"), read("ids", "<i8")
-            q, v = read("q_v", "<i4").reshape(-1, dims).astype(np.float64), read("v", "<i4").reshape(-1, dims).astype(np.float64)
-            out_q, out_row, out_id, out_score = [], [], [], []
-            for at, found, scores in search_block(q_ids, q, read("q_t", "<f8").reshape(-1, PIVOTS), ids, v, read("t", "<f8").reshape(-1, PIVOTS)):
+            whole = lambda name, n: read(name, f"<i{len(row[name]) // (n * dims)}").reshape(n, dims)  # noqa: E731, B023
+            q, v = whole("q_v", len(q_ids)), whole("v", len(ids))
+            out_q, out_row, out_id, out_score, out_under = [], [], [], [], []
+            for at, found, scores, under in search_any(q_ids, q, read("q_t", "<f8").reshape(-1, PIVOTS), ids, v, read("t", "<f8").reshape(-1, PIVOTS)):
                 out_q += [q_ids[at]] * len(found)
                 out_row += [at] * len(found)
                 out_id.append(found)
                 out_score.append(scores)
-            flat = lambda parts: np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, np.int64)
+                out_under.append(under)
+            flat = lambda parts, kind=np.int64: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.array(out_q, dtype=np.int64)), pa.array(np.full(len(out_q), row["q_block"], dtype=np.int64)),
-                    pa.array(np.array(out_row, dtype=np.int64)), pa.array(flat(out_id)), pa.array(flat(out_score)),
+                    pa.array(np.array(out_row, dtype=np.int64)), pa.array(flat(out_id)), pa.array(flat(out_score)), pa.array(flat(out_under, bool)),
                 ],
-                names=["query_id", "q_block", "q_row", "vec_id", "score"],
+                names=["query_id", "q_block", "q_row", "vec_id", "score", "under"],
             )
 
 
@@ -158,12 +214,13 @@ def top_k(vectors: DataFrame) -> DataFrame:
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = queries.join(blocks, "dims").repartition(parts, "q_block", "block")
     found = units.select("dims", "q_block", "q_ids", "q_v", "q_t", "ids", "v", "t").mapInArrow(
-        _search, "query_id bigint, q_block bigint, q_row bigint, vec_id bigint, score bigint"
+        _search, "query_id bigint, q_block bigint, q_row bigint, vec_id bigint, score bigint, under boolean"
     )
     # a query's partial results are at most K per candidate block
     best = found.groupBy("query_id", "q_block", "q_row").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("low"), "vec_id"))), 1, K).alias("best")
+        F.slice(F.array_sort(F.collect_list(F.struct("under", F.bitwise_not("score").alias("low"), "vec_id"))), 1, K).alias("best")
     )
+    score = F.when(F.col("b.under"), F.raise_error(F.lit("a score leaves the long range")).cast("long")).otherwise(F.bitwise_not("b.low"))
     return best.select("query_id", F.posexplode("best").alias("rank", "b")).select(
-        "query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.low")).alias("score")
+        "query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), score.alias("score")
     )
