@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    feistel_pii, hidden_markov, host_rules, mixing, near_dedup, pivot_search, pu_toxicity, secret_links, sentence_wfst,
-    url_filter,
+    count_tree, feistel_pii, hidden_markov, host_rules, mixing, near_dedup, pivot_clusters, pivot_search, pu_toxicity,
+    secret_links, sentence_wfst, turn_repair, url_filter,
 )
 from tidemark.llm.common import documents, table
 from tidemark.llm.oracle import ORACLE
@@ -66,6 +66,18 @@ def op10_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
     return hidden_markov.scored(documents(spark, folder))
 
 
+def op11_set_join(spark: SparkSession, folder: str) -> DataFrame:
+    return count_tree.with_components(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_clusters.clustered(table(spark, folder, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(table(spark, folder, "conversations")))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,7 +86,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 _OPERATORS = (
     op1_sentencepiece, op2_secrets, op3_toxicity, op4_pii, op5_host_rules, op6_near_duplicates, op7_mixture, op8_top_k,
-    op9_url_filter, op10_hidden_markov,
+    op9_url_filter, op10_hidden_markov, op11_set_join, op12_centroids, op13_turn_repair,
 )
 QUERIES = {f.__name__: f for f in _OPERATORS}
 if importlib.util.find_spec("corpus_pipeline"):
