@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.config import QualityPolicy, StrictPolicy
 from tidemark.functions.clean import parse_date
 from tidemark.functions.exact import UNITS, money
-from tidemark.operators.ordering import at_fraction, value_counts, value_positions
+from tidemark.operators.furthest import Limits, unusual
+from tidemark.operators.selection import quantiles
 from tidemark.session import stage
 
 
@@ -59,6 +60,9 @@ def unusual_days(days: DataFrame, policy: QualityPolicy = QualityPolicy()) -> Da
 
 
 OUTLIERS = ("z_outliers", "iqr_outliers")
+QUARTILES = (Fraction(1, 4), Fraction(3, 4))
+#: Values shown of each kind of outlier.
+SHOWN = 5
 
 
 # ---- Fixed values: what counts as an outlier, a zero and a negative value -----------------
@@ -120,50 +124,38 @@ def z_outliers(
 def value_profiles(
     sources: Mapping[str, tuple[DataFrame, Sequence[str]]], policy: StrictPolicy = StrictPolicy()
 ) -> DataFrame:
-    """One row per value column about its non-null values: {table name: (table, columns)} in.
+    """One row per value column about its values: {table name: (table, columns)} in.
 
-    value_count, mean, deviation, exact quartiles, and how many values are z-score outliers,
-    outside the IQR fences, zero or negative, and the lowest and highest outlier of either kind
-    (``<kind>_min``, ``<kind>_max``). Every table is scanned once, for all its columns,
-    into one staged (table, column, value, n) table; the statistics are passes over that much
-    smaller table.
+    value_count, mean, deviation, exact quartiles, how many values are z-score outliers, outside
+    the IQR fences, zero or negative, and the ``SHOWN`` furthest outliers of either kind
+    (``<kind>_top``). Nulls and NaN are no values. Quartiles are selected in place, and one more
+    scan counts the tests and keeps the furthest values; no value is shuffled beyond those.
     """
-    by = ["table_name", "column_name"]
-    values = reduce(DataFrame.unionByName, [_long_values(t, df, columns) for t, (df, columns) in sources.items()])
-    counts = stage(value_counts(values, "value", *by), "values")
-    first = (
-        value_positions(counts, "value", *by)
-        .groupBy(*by)
-        .agg(
-            F.max("total").alias("value_count"),
-            F.expr("sum(n * value) / max(total)").alias("mean"),
-            at_fraction(Fraction(1, 4), "value").alias("q1"),
-            at_fraction(Fraction(3, 4), "value").alias("q3"),
-        )
+    parts, known = [], []
+    for table, (df, columns) in sources.items():
+        profiles = quantiles(df, columns, QUARTILES)
+        limits = {}
+        for column, p in profiles.items():
+            q1, q3 = p.quantiles
+            known.append((table, column, p.count, p.mean, p.deviation, q1, q3))
+            if p.count:
+                fence = policy.iqr_multiplier * (q3 - q1)
+                spread = q3 > q1
+                limits[column] = Limits(p.mean, p.deviation, policy.value_z, q1 - fence if spread else None, q3 + fence if spread else None)
+        if limits:
+            parts.append(stage(unusual(df, limits, SHOWN), "unusual").withColumn("table_name", F.lit(table)))
+    spark = next(iter(sources.values()))[0].sparkSession
+    # one row per value column of the configuration
+    listed = spark.createDataFrame(
+        known, "table_name string, column_name string, value_count bigint, mean double, deviation double, q1 double, q3 double"
     )
-    # One row per value column, staged because both passes below need it: small enough to send
-    # along with them.
-    centred = counts.join(F.broadcast(stage(first, "quartiles")), by)
-    spread = centred.groupBy(*by).agg(
-        F.expr("sqrt(try_divide(sum(n * (value - mean) * (value - mean)), max(value_count) - 1))").alias("deviation")
-    )
-    tested = (
-        centred.join(F.broadcast(spread), by)
-        .groupBy(*by)
-        .agg(
-            *[F.max(c).alias(c) for c in ("value_count", "mean", "deviation", "q1", "q3")],
-            *[
-                F.expr(f"coalesce(sum(CASE WHEN {test} THEN n END), 0)").alias(name)
-                for name, test in _value_tests(policy).items()
-            ],
-            *[
-                F.expr(f"{bound}(CASE WHEN {_value_tests(policy)[name]} THEN value END)").alias(f"{name}_{bound}")
-                for name in OUTLIERS
-                for bound in ("min", "max")
-            ],
-        )
+    tests = _value_tests(policy)
+    if not parts:
+        none = {name: F.lit(0).cast("bigint") for name in tests} | {f"{name}_top": F.array().cast("array<double>") for name in OUTLIERS}
+        return listed.withColumns(none)
+    of = lambda name, column: F.max(F.when(F.col("test") == name, F.col(column)))
+    found = reduce(DataFrame.unionByName, parts).groupBy("table_name", "column_name").agg(
+        *[F.coalesce(of(name, "n"), F.lit(0)).alias(name) for name in tests],
+        *[of(name, "top").alias(f"{name}_top") for name in OUTLIERS],
     )
-    # A column without any value still has a row.
-    named = [(table, column) for table, (_, columns) in sources.items() for column in columns]
-    listed = counts.sparkSession.createDataFrame(named, "table_name string, column_name string")
-    return listed.join(tested, by, "left").fillna({name: 0 for name in ("value_count", *_value_tests(policy))})
+    return listed.join(found, ["table_name", "column_name"], "left").fillna({name: 0 for name in tests})

@@ -199,6 +199,7 @@ def revenue_outcome(
         F.count(F.lit(1)).alias("day_count"),
         F.count_if(flagged).alias("flagged"),
         F.max(F.when(flagged, top)).alias("top"),
+        F.max("mean_revenue").alias("mean_revenue"),
         # at most one entry per calendar day
         F.slice(F.sort_array(F.collect_list(F.when(flagged, top)), asc=False), 1, SAMPLE_DAYS).alias("days"),
     )
@@ -207,8 +208,9 @@ def revenue_outcome(
         F.when(F.col("top.z_score") > policy.revenue_critical_z, "CRITICAL").otherwise("WARNING"),
         F.col("flagged"),
         F.format_string(
-            "%d unusual revenue days of %d, most unusual %s",
+            "%d unusual revenue days of %d, most unusual %s with revenue %.2f (z-score %.1f, limit %s), mean %.2f a day",
             F.col("flagged"), F.col("day_count"), F.coalesce(F.col("top.order_date").cast("string"), F.lit("unknown")),
+            F.col("top.daily_revenue"), F.col("top.z_score"), F.lit(str(policy.revenue_z)), F.col("mean_revenue"),
         ),
         F.to_json("days"),
     )
@@ -326,13 +328,23 @@ def strict_duplicate_outcomes(tables: Tables, names: Iterable[str]) -> DataFrame
 
 # ---- Fixed values: value findings, their severity and text -------------------------------
 VALUE_FINDINGS = {
-    "z_outliers": ("WARNING", "%d values are far from the mean"),
-    "iqr_outliers": ("WARNING", "%d values are outside the quartile fences"),
+    "z_outliers": ("WARNING", "%d values with a z-score above %s (mean %.2f, deviation %.2f)"),
+    "iqr_outliers": ("WARNING", "%d values outside [%.2f, %.2f] (Q1 %.2f, Q3 %.2f, IQR %.2f)"),
     "zero_values": ("INFO", "%d values are zero"),
     "negative_values": ("WARNING", "%d values are negative"),
 }
 
 
+def _value_figures(field: str, policy: StrictPolicy) -> list[Column]:
+    """What the text of a value finding shows beside the number of values."""
+    q1, q3 = F.col("q1"), F.col("q3")
+    fence = F.lit(policy.iqr_multiplier) * (q3 - q1)
+    return {
+        "z_outliers": [F.lit(str(policy.value_z)), F.col("mean"), F.col("deviation")],
+        "iqr_outliers": [q1 - fence, q3 + fence, q1, q3, q3 - q1],
+    }.get(field, [])
+
+
 def strict_value_outcomes(
     tables: Tables, names: Iterable[str], policy: StrictPolicy = StrictPolicy()
 ) -> DataFrame:
@@ -344,16 +356,17 @@ def strict_value_outcomes(
     profiles = anomalies.value_profiles({name: pair for name, pair in present.items() if pair[1]}, policy)
     enough = F.col("value_count") >= policy.min_values
 
-    def extremes(field: str) -> Column | None:
-        if field not in anomalies.OUTLIERS:
-            return None
-        return F.to_json(F.array_distinct(F.array(f"{field}_min", f"{field}_max")))
+    def shown(field: str) -> Column | None:
+        return F.to_json(F.col(f"{field}_top")) if field in anomalies.OUTLIERS else None
 
     findings = _findings(
         *[
             (
                 enough & (F.col(field) > 0),
-                _finding(F.col("column_name"), severity, F.col(field), F.format_string(text, F.col(field)), extremes(field)),
+                _finding(
+                    F.col("column_name"), severity, F.col(field),
+                    F.format_string(text, F.col(field), *_value_figures(field, policy)), shown(field),
+                ),
             )
             for field, (severity, text) in VALUE_FINDINGS.items()
         ]

@@ -109,10 +109,12 @@ REVENUE = f"""
     SELECT 'revenue_anomaly_check' AS check_name, 'bronze_order_payments' AS table_name, day_count AS rows_scanned,
            CAST(NULL AS VARCHAR) AS column_name, CASE WHEN top_z > 5 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
            flagged AS violation_count,
-           flagged || ' unusual revenue days of ' || day_count || ', most unusual ' || top_day AS violation_detail,
+           printf('%d unusual revenue days of %d, most unusual %s with revenue %.2f (z-score %.1f, limit 3.0), mean %.2f a day',
+                  flagged, day_count, top_day, top_revenue, top_z, mean_revenue) AS violation_detail,
            day_count >= 7 AND flagged > 0 AS hit
     FROM (SELECT count(*) AS day_count, count(*) FILTER (z > 3) AS flagged, max(z) AS top_z,
-                 coalesce(CAST(arg_max(struct_pack(d := order_date), z).d AS VARCHAR), 'unknown') AS top_day
+                 coalesce(CAST(arg_max(struct_pack(d := order_date), z).d AS VARCHAR), 'unknown') AS top_day,
+                 arg_max(daily_revenue, z) AS top_revenue, max(mean_revenue) AS mean_revenue
           FROM (SELECT *, abs((daily_revenue - mean_revenue) / spread) AS z FROM ({DAYS})))"""
 
 
@@ -148,7 +150,7 @@ def check(findings: list[str], tables: tuple[str, ...]) -> str:
 
 def value_row(table: str, column: str, source: str) -> str:
     return f"""
-        SELECT '{table}' AS table_name, '{column}' AS column_name, value_count, q1, q3,
+        SELECT '{table}' AS table_name, '{column}' AS column_name, value_count, mean, deviation, q1, q3,
                count(*) FILTER (deviation > 0 AND abs((x - mean) / deviation) > 3) AS z_outliers,
                count(*) FILTER (q3 > q1 AND (x > q3 + 3 * (q3 - q1) OR x < q1 - 3 * (q3 - q1))) AS iqr_outliers,
                count(*) FILTER (x = 0) AS zero_values, count(*) FILTER (x < 0) AS negative_values
@@ -178,16 +180,20 @@ def values(columns: str, where: str = "true") -> str:
 
 def strict_value_findings(table: str) -> str:
     kinds = {
-        "z_outliers": ("WARNING", "are far from the mean"),
-        "iqr_outliers": ("WARNING", "are outside the quartile fences"),
-        "zero_values": ("INFO", "are zero"),
-        "negative_values": ("WARNING", "are negative"),
+        "z_outliers": ("WARNING", "printf('%d values with a z-score above 3.0 (mean %.2f, deviation %.2f)', z_outliers, mean, deviation)"),
+        "iqr_outliers": (
+            "WARNING",
+            "printf('%d values outside [%.2f, %.2f] (Q1 %.2f, Q3 %.2f, IQR %.2f)', iqr_outliers, "
+            "q1 - 3 * (q3 - q1), q3 + 3 * (q3 - q1), q1, q3, q3 - q1)",
+        ),
+        "zero_values": ("INFO", "zero_values || ' values are zero'"),
+        "negative_values": ("WARNING", "negative_values || ' values are negative'"),
     }
     return union(
         [
             f"""SELECT 'strict_value_check' AS check_name, '{TABLES[table].bronze}' AS table_name,
                        value_count AS rows_scanned, column_name, '{severity}' AS severity, {field} AS violation_count,
-                       {field} || ' values {text}' AS violation_detail, value_count >= 30 AND {field} > 0 AS hit
+                       {text} AS violation_detail, value_count >= 30 AND {field} > 0 AS hit
                 FROM ({value_row(table, column, f"b_{table}")})"""
             for column in TABLES[table].value_columns
             for field, (severity, text) in kinds.items()
@@ -195,6 +201,25 @@ def strict_value_findings(table: str) -> str:
     )
 
 
+def furthest_values(table: str, column: str, source: str) -> str:
+    """The five furthest values of either kind of outlier, one row each."""
+    stats = f"""(SELECT avg({column}) AS mean, stddev_samp({column}) AS deviation,
+        quantile_disc({column}, 0.25) AS q1, quantile_disc({column}, 0.75) AS q3 FROM {source})"""
+    kinds = {
+        "z_outliers": ("abs(x - mean)", "deviation > 0 AND abs((x - mean) / deviation) > 3"),
+        "iqr_outliers": (
+            "greatest(x - (q3 + 3 * (q3 - q1)), q1 - 3 * (q3 - q1) - x)",
+            "q3 > q1 AND (x > q3 + 3 * (q3 - q1) OR x < q1 - 3 * (q3 - q1))",
+        ),
+    }
+    return union([
+        f"""SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS test, CAST(place AS INTEGER) AS place, x AS value
+            FROM (SELECT x, row_number() OVER (ORDER BY {distance} DESC, x) AS place
+                  FROM (SELECT {column} AS x FROM {source} WHERE {column} IS NOT NULL), {stats} WHERE {test}) WHERE place <= 5"""
+        for kind, (distance, test) in kinds.items()
+    ])
+
+
 def strict_findings() -> str:
     parts = []
     for table, spec in TABLES.items():
@@ -351,6 +376,16 @@ QUERIES: dict[str, str] = {
     ),
     "value_outliers_z": values("value_count, z_outliers"),
     "value_outliers_iqr": values("q1, q3, iqr_outliers"),
+    "outlier_values": with_tables(
+        union([
+            furthest_values("order_payments", "payment_value", "b_order_payments"),
+            furthest_values("order_items", "price", "b_order_items"),
+            furthest_values("order_items", "freight_value", "b_order_items"),
+            furthest_values("events", "value", "events"),
+            furthest_values("customer", "c_acctbal", "customer"),
+        ]),
+        bronze_tables=("order_payments", "order_items"),
+    ),
     "zero_values": values("zero_values", "zero_values > 0"),
     "negative_values": values("negative_values", "negative_values > 0"),
     "dq_outcomes": with_tables(statuses(standard_findings()), bronze_tables=CORE),

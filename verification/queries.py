@@ -262,6 +262,17 @@ def _values(make: Callable[[dict], DataFrame], *names: str, found: str | None =
     return run
 
 
+def outlier_values(spark: SparkSession, folder: str) -> DataFrame:
+    """The five furthest values of either kind of outlier in every value column."""
+    profiles = anomalies.value_profiles(_value_columns(spark, folder))
+    return _union(
+        [
+            profiles.select("table_name", "column_name", F.lit(kind).alias("test"), F.posexplode(f"{kind}_top").alias("place", "value"))
+            for kind in anomalies.OUTLIERS
+        ]
+    ).withColumn("place", F.col("place") + 1)
+
+
 def _run(use: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, folder: use(quality.outcomes(StarBronze(spark, folder), AS_OF))
 
@@ -372,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "revenue_anomaly_days": revenue_anomaly_days,
     "value_outliers_z": _values(anomalies.z_outliers, "value_count", "z_outliers"),
     "value_outliers_iqr": _values(anomalies.value_profiles, "q1", "q3", "iqr_outliers"),
+    "outlier_values": outlier_values,
     "zero_values": _values(anomalies.value_statistics, "zero_values", found="zero_values"),
     "negative_values": _values(anomalies.value_statistics, "negative_values", found="negative_values"),
     "dq_outcomes": _run(
