@@ -28,6 +28,8 @@ HIGH_SCORE, MEDIUM_SCORE = 4.0, 3.0
 TOP_SELLER_RANK, MID_TIER_RANK = 100, 500
 
 N = F.count
+#: Items that carry their product category already; used where silver has such a table.
+CATEGORISED = "order_items_category"
 
 
 def _rows() -> Column:
@@ -108,6 +110,11 @@ def items_with_category(items: DataFrame, products: DataFrame) -> DataFrame:
     return items.join(listed, "product_id", "left").withColumn("product_weight", _or_one("product_weight"))
 
 
+def categorised_items(silver: Silver) -> DataFrame:
+    known = silver.get(CATEGORISED)
+    return items_with_category(silver["order_items"], silver["products"]) if known is None else known
+
+
 # ---- Daily revenue ----------------------------------------------------------------------
 
 DAY_KEYS = ("order_date", "order_year", "order_month", "order_quarter")
@@ -200,7 +207,7 @@ def revenue_by_category(silver: Silver) -> DataFrame:
     """Item revenue per product category; items of unknown products form a null category."""
     weight = F.col("product_weight")
     items = (
-        items_with_category(silver["order_items"], silver["products"])
+        categorised_items(silver)
         .groupBy("order_id", "product_category_name")
         .agg(
             F.sum(F.when(F.col("product_id").isNotNull(), weight).otherwise(0)).alias("sold"),
@@ -349,7 +356,7 @@ def customer_satisfaction(silver: Silver) -> DataFrame:
     reviews = reviews_per_order(silver["order_reviews"])
     orders = silver["orders"].groupBy("order_id", *PERIOD).agg(_rows().alias("copies"))
     items = (
-        items_with_category(silver["order_items"], silver["products"])
+        categorised_items(silver)
         .groupBy("order_id", "product_category_name")
         .agg(F.sum("product_weight").alias("items"))
     )
@@ -395,6 +402,11 @@ def _sellers_listed(sellers: DataFrame) -> DataFrame:
     return sellers.groupBy("seller_id", "seller_city", "seller_state").agg(_rows().alias("listings"))
 
 
+def _order_spread(silver: Silver) -> list[Column]:
+    """The second key of ``_spread``, unless the facts lie in buckets by order and nothing is shuffled."""
+    return [] if getattr(silver, "bucketed_by", None) == "order_id" else [_spread("order_id")]
+
+
 def seller_totals(silver: Silver) -> DataFrame:
     """Unranked seller KPIs; an item counts once per review of its order.
 
@@ -402,13 +414,14 @@ def seller_totals(silver: Silver) -> DataFrame:
     it in a single join that can be split. Seller attributes join after the reduction to one
     row per seller, so a dominant seller is one row by then.
     """
-    orders = delivery_per_order(_revenue_orders(silver["orders"]), _spread("order_id"))
-    reviews = silver["order_reviews"].groupBy("order_id", _spread("order_id")).agg(
+    spread = _order_spread(silver)
+    orders = delivery_per_order(_revenue_orders(silver["orders"]), *spread)
+    reviews = silver["order_reviews"].groupBy("order_id", *spread).agg(
         _rows().alias("rev_rows"),
         N("review_score").alias("score_n"),
         F.sum("review_score").alias("score_sum"),
     )
-    facts = orders.join(reviews, ["order_id", "spread"], "left").withColumn("rev_rows", _or_one("rev_rows"))
+    facts = orders.join(reviews, ["order_id", "spread"] if spread else "order_id", "left").withColumn("rev_rows", _or_one("rev_rows"))
     joined = _items_per_seller(silver["order_items"]).join(facts, "order_id")
     item_rows, copies, rev_rows = F.col("item_rows"), F.col("copies"), F.col("rev_rows")
     times = copies * rev_rows

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import replace
 from functools import reduce
@@ -13,6 +14,7 @@ from tidemark.config import LOADED_AT, ROW_HASH, TABLES
 from tidemark.functions.clean import row_hash
 from tidemark.operators import anomalies, drift, duplicates, profile
 from tidemark.plans import audit, bronze, gold, quality, silver
+from tidemark.plans.bucketed import BucketedSilver
 from tidemark.session import scratch_path
 from tidemark.sources import star
 from tidemark.sources.files import TableStore, preview, table_shape, write_csv
@@ -20,6 +22,7 @@ from tidemark.sources.schemas import source_columns, source_schema
 from verification.settings import AS_OF, CONTEXT, SCALED_DOWN, STATUS_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
+BUCKETED_KPIS = ("gold_daily_revenue", "gold_revenue_by_category", "gold_customer_satisfaction", "gold_seller_performance")
 
 
 def _silver(spark: SparkSession, folder: str) -> gold.Silver:
@@ -30,6 +33,17 @@ def _kpi(build: Callable[[gold.Silver], DataFrame]) -> Query:
     return lambda spark, folder: build(_silver(spark, folder))
 
 
+def _bucketed_kpi(name: str) -> Query:
+    """A KPI over fact tables that were written in buckets by order."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables = BucketedSilver(spark, _silver(spark, folder), f"facts_{uuid.uuid4().hex[:12]}", buckets)
+        return gold.GOLD[name](tables)
+
+    return run
+
+
 def _silver_table(table: str) -> Query:
     return lambda spark, folder: silver.clean(table, star.bronze(spark, folder, table))
 
@@ -340,6 +354,7 @@ def _first(df: DataFrame) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     **{name: _kpi(build) for name, build in gold.GOLD.items()},
+    **{name.replace("gold_", "bucketed_"): _bucketed_kpi(name) for name in BUCKETED_KPIS},
     "order_status_share": order_status_share,
     "top_seller_cities": _kpi(gold.top_seller_cities),
     "top_categories": _kpi(gold.top_categories),
