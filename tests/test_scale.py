@@ -15,7 +15,11 @@ from verification.queries import QUERIES as OWN_QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # These write and read scratch tables while they are planned.
-EAGER = {"bronze_load_audit", "snapshot_restore", "incremental_append", "header_drift_counts"}
+EAGER = {
+    "bronze_load_audit", "snapshot_restore", "incremental_append", "header_drift_counts", "layer_runs", "dq_run_records",
+    "gold_partial_rebuild", "quarantine_split", "dq_outcomes_concurrent", "bucketed_daily_revenue", "bucketed_revenue_by_category",
+    "bucketed_customer_satisfaction", "bucketed_seller_performance",
+}
 
 
 def physical(df):

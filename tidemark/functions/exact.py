@@ -12,9 +12,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Money is summed in ten-thousandths: rounding a double to a whole number of units costs a few
-# nanoseconds, where a direct cast to a decimal goes through text.
-UNITS = 10_000
+# Money is summed in whole units of ten decimal places.
+PLACES = 10
+UNITS = 10**PLACES
+# Amounts with up to four places take the fast way: rounding a double to a whole number costs a few
+# nanoseconds, where a cast to a decimal goes through text.
+_FAST = 10_000
 # Degrees keep 14 digits behind the point.
 DEGREES = DecimalType(18, 14)
 
@@ -22,13 +25,24 @@ DEGREES = DecimalType(18, 14)
 def money(name: str) -> Column:
     """A money column in whole units, as a decimal so that no sum of it can overflow.
 
-    Amounts below half a ten-thousandth count as zero. NaN and amounts from 1e16 on are no
-    amounts and count as null, so one bad value does not end a run.
+    The digits of the input are kept to ten places: a double stands for the shortest decimal that
+    reads as it. NaN and amounts from 1e24 on are no amounts: they are null here, and
+    ``left_out`` counts them, so one bad value neither ends a run nor vanishes in silence.
     """
-    units = F.rint(F.col(name).cast("double") * F.lit(float(UNITS)))
-    # A cast through BIGINT is fast; only amounts beyond its range take the slow one.
-    fits = F.abs(units) < F.lit(9.2e18)
-    return F.when(fits, units.try_cast("bigint").cast("decimal(20,0)")).otherwise(units.try_cast("decimal(20,0)"))
+    x = F.col(name).cast("double")
+    steps = F.rint(x * F.lit(float(_FAST)))
+    short = (steps / F.lit(float(_FAST)) == x) & (F.abs(steps) < F.lit(9.2e12))
+    fast = (steps.try_cast("bigint") * F.lit(UNITS // _FAST)).cast("decimal(38,0)")
+    units = F.lit(Decimal(UNITS))
+    fine = (x.try_cast("decimal(28,10)") * units).cast("decimal(38,0)")
+    # from 1e16 on a double is a whole number
+    large = (x.try_cast("decimal(26,0)").cast("decimal(27,0)") * units).cast("decimal(38,0)")
+    return F.when(short, fast).when(F.abs(x) < F.lit(1e16), fine).when(F.abs(x) < F.lit(1e24), large)
+
+
+def left_out(name: str) -> Column:
+    """Aggregate: values of a money column that no sum can hold."""
+    return F.count_if(F.col(name).isNotNull() & money(name).isNull())
 
 
 def degrees(name: str) -> Column:
@@ -37,7 +51,7 @@ def degrees(name: str) -> Column:
 
 def amount(units: Column, places: int = 2) -> Column:
     """A total in money units as an exact, rounded decimal amount."""
-    return half_up_ratio(units, F.lit(UNITS), places, scale=0)
+    return half_up_ratio(units, F.lit(Decimal(UNITS)), places, scale=0)
 
 
 def half_up_ratio(numerator: Column, denominator: Column, places: int, scale: int = 0) -> Column:
@@ -47,12 +61,14 @@ def half_up_ratio(numerator: Column, denominator: Column, places: int, scale: in
     ``scale`` is the number of decimal digits both inputs may carry.
     """
     wide = DecimalType(34, scale)
-    n = numerator.cast(wide)
+    n = numerator.try_cast(wide)
     d = denominator.cast(wide)
     doubled = F.abs(n) * F.lit(Decimal(2 * 10**places)) + F.abs(d)
-    quotient = F.call_function("div", doubled, F.nullif(F.abs(d) * F.lit(Decimal(2)), F.lit(Decimal(0))))
+    divisor = F.nullif(F.abs(d) * F.lit(Decimal(2)), F.lit(Decimal(0)))
+    # ``div`` gives a BIGINT, which large totals leave; a division without remainder does not
+    quotient = F.call_function("div", doubled, divisor) if scale else (doubled - doubled % divisor) / divisor
     signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
-    return (signed.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-places))).cast(DecimalType(22, places))
+    return (signed.try_cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-places))).cast(DecimalType(30, places))
 
 
 def mean(total: Column, count: Column, places: int, scale: int = 0) -> Column:
@@ -62,7 +78,7 @@ def mean(total: Column, count: Column, places: int, scale: int = 0) -> Column:
 
 def mean_amount(units: Column, count: Column, places: int = 2) -> Column:
     """Rounded average of a money column from its total in units, as a double."""
-    return half_up_ratio(units, count * F.lit(UNITS), places).cast("double")
+    return half_up_ratio(units, count.cast("decimal(20,0)") * F.lit(Decimal(UNITS)), places).cast("double")
 
 
 def percent(part: Column, whole: Column, places: int) -> Column:

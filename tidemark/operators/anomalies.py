@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import QualityPolicy, StrictPolicy
 from tidemark.functions.clean import parse_date
-from tidemark.functions.exact import UNITS, money
+from tidemark.functions.exact import amount, money
 from tidemark.operators.furthest import Limits, unusual
 from tidemark.operators.selection import quantiles
 from tidemark.session import stage
@@ -30,7 +30,7 @@ def revenue_days(payments: DataFrame, orders: DataFrame) -> DataFrame:
     return (
         dated.join(paid, "order_id")
         .groupBy("order_date")
-        .agg((total.cast("double") / F.lit(float(UNITS))).alias("daily_revenue"))
+        .agg(amount(total, 4).cast("double").alias("daily_revenue"))
     )
 
 

@@ -135,8 +135,8 @@ def _with_previous_day(days: DataFrame, total: str) -> DataFrame:
     )
 
 
-def daily_revenue(silver: Silver) -> DataFrame:
-    """Revenue per day; averages, on-time counts and freight are per payment row."""
+def day_totals(silver: Silver) -> DataFrame:
+    """Exact sums and counts per day, which later periods can be made of."""
     orders = delivery_per_order(_revenue_orders(silver["orders"]), *DAY_KEYS)
     joined = (
         orders.join(payments_per_order(silver["order_payments"]), "order_id", "left")
@@ -144,7 +144,7 @@ def daily_revenue(silver: Silver) -> DataFrame:
         .withColumn("pay_rows", _or_one("pay_rows"))
     )
     copies, rows = F.col("copies"), F.col("pay_rows")
-    days = joined.groupBy(*DAY_KEYS).agg(
+    return joined.groupBy(*DAY_KEYS).agg(
         amount(F.sum(_times(F.col("pay_sum"), copies))).alias("revenue"),
         # One row per (order, day) is left, so this counts distinct orders.
         N("order_id").alias("order_count"),
@@ -155,6 +155,15 @@ def daily_revenue(silver: Silver) -> DataFrame:
         F.sum(rows * F.col("delivery_n")).alias("delivery_n"),
         F.sum(rows * F.col("on_time")).alias("on_time_deliveries"),
     )
+
+
+def daily_revenue(silver: Silver) -> DataFrame:
+    """Revenue per day; averages, on-time counts and freight are per payment row."""
+    return daily_revenue_of(day_totals(silver))
+
+
+def daily_revenue_of(days: DataFrame) -> DataFrame:
+    """The KPI from ``day_totals``."""
     return _with_previous_day(days, "revenue").select(
         *DAY_KEYS,
         F.col("revenue").cast("double").alias("total_revenue"),

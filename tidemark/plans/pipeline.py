@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from tidemark.config import CORE_TABLES, TABLES, RunContext
 from tidemark.functions.clean import flag
 from tidemark.plans import bronze, gold, quality, silver
+from tidemark.plans.jobs import run_jobs
 from tidemark.session import stage
 from tidemark.sources.files import TableStore
 
 log = logging.getLogger(__name__)
-RUN_DDL = "table_name STRING, status STRING, rows_in BIGINT, rows_kept BIGINT, rows_rejected BIGINT, rows_out BIGINT, error STRING"
+RUN_DDL = "table_name STRING, status STRING, rows_in BIGINT, rows_kept BIGINT, rows_rejected BIGINT, rows_out BIGINT, seconds DOUBLE, error STRING"
 
 
 class BronzeTables(Mapping[str, DataFrame]):
@@ -47,33 +48,48 @@ class StoredSilver(BronzeTables):
         return self._store.read("silver", TABLES[table].silver)
 
 
+def split_table(store: TableStore, table: str, source: DataFrame, kept_layer: str = "silver") -> dict[str, int]:
+    """Kept and rejected rows in one write; returns the rows per outcome, counted by the same job."""
+    seen = Observation()
+    counts = silver.outcome_counts(table)
+    rows = silver.with_outcome(table, source).observe(seen, *[count.alias(f"o{i}") for i, count in enumerate(counts.values())])
+    store.write_split(rows, "reject_reason", silver.KEPT, kept_layer, "quarantine", TABLES[table].silver)
+    return {outcome: seen.get[f"o{i}"] for i, outcome in enumerate(counts)}
+
+
 def clean_table(store: TableStore, table: str, quarantine: bool = False) -> dict[str, int]:
     """Write one silver table; rows read, kept and rejected are counted in the same job.
 
-    Counters inside a job are exact only in its last stage, where a task that is run again
-    after a lost executor counts once. The one table that is regrouped before it is written
-    therefore counts its input in a job of its own.
+    With ``quarantine`` the rejected rows are a table too, and both come from one scan. Counters
+    inside a job are exact only in its last stage, where a task that is run again after a lost
+    executor counts once. The one table that is regrouped before it is written therefore counts
+    its input in a job of its own, or in the split.
     """
     source, name = BronzeTables(store)[table], TABLES[table].silver
     written = Observation()
     rows_out = F.count(F.lit(1)).alias("rows_out")
-    if table in silver.REGROUPED:
+    regrouped = table in silver.REGROUPED
+    if quarantine:
+        found = split_table(store, table, source, "cleaned" if regrouped else "silver")
+        total = sum(found.values())
+        report = {"rows_in": total, "rows_kept": found[silver.KEPT], "rows_rejected": total - found[silver.KEPT]}
+        if not regrouped:
+            return {**report, "rows_out": report["rows_kept"]}
+        store.overwrite(silver.REGROUPED[table](store.read("cleaned", name)).observe(written, rows_out), "silver", name)
+        return {**report, **written.get}
+    if regrouped:
         counted = silver.row_accounting(table, source).drop("table_name").first().asDict()
         store.overwrite(silver.clean(table, source).observe(written, rows_out), "silver", name)
-        report = {**counted, **written.get}
-    else:
-        keep = flag(silver.keep_condition(table))
-        typed = silver.typed(table, source).observe(
-            written,
-            F.count(F.lit(1)).alias("rows_in"),
-            F.count_if(keep).alias("rows_kept"),
-            F.count_if(~keep).alias("rows_rejected"),
-        )
-        store.overwrite(typed.where(silver.keep_condition(table)), "silver", name)
-        report = {**written.get, "rows_out": written.get["rows_kept"]}
-    if quarantine:
-        store.overwrite(silver.quarantine(table, source), "quarantine", name)
-    return report
+        return {**counted, **written.get}
+    keep = flag(silver.keep_condition(table))
+    typed = silver.typed(table, source).observe(
+        written,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(keep).alias("rows_kept"),
+        F.count_if(~keep).alias("rows_rejected"),
+    )
+    store.overwrite(typed.where(silver.keep_condition(table)), "silver", name)
+    return {**written.get, "rows_out": written.get["rows_kept"]}
 
 
 def _report(spark: SparkSession, results: list[dict]) -> DataFrame:
@@ -81,24 +97,29 @@ def _report(spark: SparkSession, results: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(result.get(name) for name in names) for result in results], RUN_DDL)
 
 
-def _each(names: Iterable[str], run) -> list[dict]:
+def _each(spark: SparkSession, names: Iterable[str], run, limit_s: float | None = None) -> list[dict]:
+    """Tables side by side, each with its time; one table must not stop the others."""
     results = []
-    for name in names:
-        try:
-            results.append({"table_name": name, "status": "SUCCESS", **run(name)})
-        except Exception as failure:  # one table must not stop the others
-            log.error("%s: %s", name, failure)
-            results.append({"table_name": name, "status": "FAILED", "error": str(failure)})
+    for job in run_jobs(spark, {name: lambda name=name: run(name) for name in names}, limit_s=limit_s):
+        row = {"table_name": job.name, "seconds": round(job.seconds, 3)}
+        if job.error is None:
+            results.append({**row, "status": "SUCCESS", **job.value})
+        else:
+            log.error("%s: %s", job.name, job.error)
+            results.append({**row, "status": "FAILED", "error": job.error})
     return results
 
 
-def run_silver(store: TableStore, tables: Iterable[str] = TABLES, quarantine: bool = False) -> DataFrame:
+def run_silver(
+    store: TableStore, tables: Iterable[str] = TABLES, quarantine: bool = False, limit_s: float | None = None
+) -> DataFrame:
     """Write the silver tables; returns one status row per table."""
     by_name = {TABLES[table].silver: table for table in tables}
-    return _report(store.spark, _each(by_name, lambda name: clean_table(store, by_name[name], quarantine)))
+    rows = _each(store.spark, by_name, lambda name: clean_table(store, by_name[name], quarantine), limit_s)
+    return _report(store.spark, rows)
 
 
-def run_gold(store: TableStore) -> DataFrame:
+def run_gold(store: TableStore, limit_s: float | None = None) -> DataFrame:
     """Write the KPI tables; returns one status row per table."""
 
     def build(name: str) -> dict[str, int]:
@@ -107,7 +128,7 @@ def run_gold(store: TableStore) -> DataFrame:
         store.overwrite(result, "gold", name)
         return written.get
 
-    return _report(store.spark, _each(gold.GOLD, build))
+    return _report(store.spark, _each(store.spark, gold.GOLD, build, limit_s))
 
 
 def _samples(tables: quality.Tables, names: Iterable[str], family: str) -> DataFrame | None:
@@ -118,10 +139,21 @@ def _samples(tables: quality.Tables, names: Iterable[str], family: str) -> DataF
         return None
 
 
-def _record(store: TableStore, ctx: RunContext, outcomes: DataFrame, sample: DataFrame | None) -> None:
-    """Append what a run found and its summary; a run that is repeated is recorded once."""
-    store.append_new(quality.violations(outcomes, ctx, sample), "quality", "dq_violations", "violation_id")
-    store.append_new(quality.summary(outcomes, ctx), "quality", "dq_summary", "run_id", "total_checks")
+STANDARD, STRICT = "standard", "strict"
+
+
+def record_run(store: TableStore, ctx: RunContext, outcomes: DataFrame, sample: DataFrame | None, family: str) -> None:
+    """Store what a run of one check family found and its summary.
+
+    Both replace what the run recorded for that family before, so a repeated run counts once and
+    shows its newest state, and two families of one run do not touch each other.
+    """
+    of = F.lit(family)
+    for table, rows in (("dq_violations", quality.violations(outcomes, ctx, sample)), ("dq_summary", quality.summary(outcomes, ctx))):
+        if table == "dq_violations" and rows.isEmpty():  # a clean run also clears what an earlier one found
+            store.remove_rows("quality", table, run_id=ctx.run_id, family=family)
+        else:
+            store.replace_rows(rows.withColumn("family", of), "quality", table, "run_id", "family")
 
 
 def run_quality(
@@ -132,7 +164,7 @@ def run_quality(
     tables = BronzeTables(store)
     outcomes = stage(quality.isolated_outcomes(store.spark, tables, ctx.as_of, core), "run")
     sample = _samples(tables, core, "") if with_samples else None
-    _record(store, ctx, outcomes, sample)
+    record_run(store, ctx, outcomes, sample, STANDARD)
     return outcomes
 
 
@@ -141,24 +173,17 @@ def run_strict_quality(
 ) -> DataFrame:
     """Run the strict checks on bronze, append their violations and summary, return the outcomes."""
     tables = tuple(tables)
-    parts, bronze_tables = [], BronzeTables(store)
+    bronze_tables = BronzeTables(store)
+    jobs = {}
     for table in tables:
-        checks = {
-            ("strict_duplicate_check",): lambda: quality.strict_duplicate_outcomes(bronze_tables, [table]),
-            ("strict_null_check", "strict_staleness_check"): lambda: quality.strict_profile_outcomes(
-                bronze_tables, [table], ctx.as_of
-            ),
-        }
+        name = TABLES[table].bronze
+        jobs[("strict_duplicate_check",), name] = lambda table=table: quality.strict_duplicate_outcomes(bronze_tables, [table])
+        jobs[("strict_null_check", "strict_staleness_check"), name] = lambda table=table: quality.strict_profile_outcomes(
+            bronze_tables, [table], ctx.as_of
+        )
         if TABLES[table].value_columns:
-            checks[("strict_value_check",)] = lambda: quality.strict_value_outcomes(bronze_tables, [table])
-        for names, check in checks.items():
-            try:
-                parts.append(stage(check(), "strict"))
-            except Exception as failure:  # reported as ERROR, never as a silent pass
-                parts.append(quality.error_outcomes(store.spark, names, TABLES[table].bronze, str(failure)))
-    outcomes = parts[0]
-    for part in parts[1:]:
-        outcomes = outcomes.unionByName(part)
+            jobs[("strict_value_check",), name] = lambda table=table: quality.strict_value_outcomes(bronze_tables, [table])
+    outcomes = quality.concurrent_outcomes(store.spark, jobs).drop("seconds")
     sample = _samples(bronze_tables, tables, "strict_") if with_samples else None
-    _record(store, ctx, outcomes, sample)
+    record_run(store, ctx, outcomes, sample, STRICT)
     return outcomes

@@ -25,6 +25,7 @@ from tidemark.config import (
 )
 from tidemark.functions.exact import half_up_ratio, percent
 from tidemark.operators import anomalies, duplicates, profile
+from tidemark.plans.jobs import run_jobs
 from tidemark.session import stage
 
 FINDING = "struct<column_name:string,severity:string,violation_count:bigint,violation_detail:string,sample_records:string>"
@@ -165,8 +166,21 @@ def profile_outcomes(
     tables: Tables, names: Iterable[str], as_of: str, policy: QualityPolicy = QualityPolicy()
 ) -> DataFrame:
     """Null, staleness and volume outcomes, from one scan per table."""
+    return outcomes_of_profiles(_profiles(tables, names), as_of, policy)
+
+
+def outcomes_of_profiles(profiles: DataFrame, as_of: str, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
+    """Null, staleness and volume outcomes of profile rows, wherever they come from."""
     checks = F.array(_null_outcome(policy), _staleness_outcome(policy, as_of), _volume_outcome(policy))
-    return _profiles(tables, names).select(F.inline(checks))
+    return profiles.select(F.inline(checks))
+
+
+def repeat_outcomes(counts: DataFrame, policy: QualityPolicy = QualityPolicy()) -> DataFrame:
+    """Duplicate outcomes from (table_name, row_count, extra_rows), where groups are not counted."""
+    extra = F.col("extra_rows")
+    severity = F.when(extra > policy.duplicate_critical_rows, "CRITICAL").otherwise("WARNING")
+    found = _findings((extra > 0, _finding(None, severity, extra, F.format_string("%d rows too many", extra))))
+    return counts.select(F.inline(F.array(_outcome("duplicate_check", F.col("table_name"), F.col("row_count"), found))))
 
 
 def duplicate_outcomes(
@@ -431,26 +445,34 @@ def isolated_outcomes(
     as_of: str,
     core: Iterable[str] = CORE_TABLES,
     policy: QualityPolicy = QualityPolicy(),
+    limit_s: float | None = None,
 ) -> DataFrame:
-    """Like ``outcomes``, but run check by check: one that fails becomes an ERROR outcome."""
-    jobs = [
-        (checks, TABLES[table].bronze, make)
+    """Like ``outcomes``, but every scan is a job of its own: what fails becomes an ERROR outcome.
+
+    Jobs run side by side; one that takes longer than ``limit_s`` is stopped and is an ERROR.
+    """
+    jobs = {
+        (checks, TABLES[table].bronze): make
         for table in core
         for checks, make in table_outcomes(tables, table, as_of, policy).items()
-    ]
-    jobs.append(
-        (
-            ("revenue_anomaly_check",),
-            TABLES["order_payments"].bronze,
-            lambda: revenue_outcome(tables["order_payments"], tables["orders"], policy),
-        )
+    }
+    jobs[("revenue_anomaly_check",), TABLES["order_payments"].bronze] = lambda: revenue_outcome(
+        tables["order_payments"], tables["orders"], policy
     )
+    return concurrent_outcomes(spark, jobs, limit_s).drop("seconds")
+
+
+def concurrent_outcomes(
+    spark: SparkSession, jobs: Mapping[tuple[tuple[str, ...], str], Callable[[], DataFrame]], limit_s: float | None = None
+) -> DataFrame:
+    """Outcomes of jobs named by (checks, table), with the ``seconds`` that each job took."""
+    named = {f"{table}: {', '.join(checks)}": (checks, table, make) for (checks, table), make in jobs.items()}
+    results = run_jobs(spark, {name: lambda make=make: stage(make(), "outcomes") for name, (_, _, make) in named.items()}, limit_s=limit_s)
     parts = []
-    for checks, table, make in jobs:
-        try:
-            parts.append(stage(make(), "outcomes"))
-        except Exception as error:  # any failure of a check is its result, not the run's
-            parts.append(error_outcomes(spark, checks, table, str(error)))
+    for result in results:
+        checks, table, _ = named[result.name]
+        rows = result.value if result.error is None else error_outcomes(spark, checks, table, result.error)
+        parts.append(rows.withColumn("seconds", F.lit(round(result.seconds, 3))))
     return _union(parts)
 
 
@@ -604,3 +626,46 @@ def rolling_volume(per_day: DataFrame, drop_pct: float = 50.0, days: int = 7) ->
         drop.cast("double").alias("drop_pct"),
         F.coalesce(drop > F.lit(drop_pct), F.lit(False)).alias("volume_drop"),
     )
+
+
+def rolling_volume_by_calendar(per_day: DataFrame, drop_pct: float = 50.0, days: int = 7) -> DataFrame:
+    """Like ``rolling_volume``, but over calendar days: a day without rows counts as 0 and is flagged.
+
+    The calendar runs from the first to the last day seen; one row per day, so the window is bounded.
+    """
+    known = per_day.where(F.col("day").isNotNull())
+    spine = known.agg(F.min("day").alias("a"), F.max("day").alias("b")).where("a IS NOT NULL").select(
+        F.explode(F.sequence("a", "b")).alias("day")
+    )
+    filled = spine.join(known, "day", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("bigint")))
+    return rolling_volume(filled, drop_pct, days).withColumn("missing", F.col("row_count") == 0)
+
+
+def finding_spans(history: DataFrame, runs: DataFrame, *key: str) -> DataFrame:
+    """For every finding ever seen: open since when, for how many runs, and how often it came back.
+
+    ``history`` has the findings with their run's time ``check_timestamp``, ``runs`` every run's
+    ``run_timestamp``, clean ones too. Runs are numbered; consecutive runs with the finding form an
+    island. The result has, for each key, the newest island (``since``, ``last_seen``, ``runs_in_a_row``),
+    all runs with it, the reopenings, and whether the newest run still has it.
+
+    The list of runs is short, so numbering it takes one task; findings are reduced to one row per run.
+    """
+    numbered = runs.select("run_timestamp").distinct().withColumn("run", F.row_number().over(Window.orderBy("run_timestamp")))
+    newest = numbered.agg(F.max("run").alias("newest")).select("newest").scalar()
+    seen = (
+        history.groupBy(*key, F.col("check_timestamp").alias("run_timestamp")).agg(F.sum("violation_count").alias("affected_rows"))
+        .join(F.broadcast(numbered), "run_timestamp")
+    )
+    of = Window.partitionBy(*key)
+    islands = seen.withColumn("island", F.col("run") - F.row_number().over(of.orderBy("run"))).groupBy(*key, "island").agg(
+        F.min("run_timestamp").alias("since"), F.max("run_timestamp").alias("last_seen"), F.max("run").alias("last_run"),
+        F.count(F.lit(1)).alias("runs_in_a_row"), F.max_by("affected_rows", "run").alias("affected_rows"),
+    )
+    last = F.struct("last_run", "since", "last_seen", "runs_in_a_row", "affected_rows")
+    return (
+        islands.groupBy(*key).agg(
+            F.max(last).alias("l"), F.sum("runs_in_a_row").alias("runs_seen"), (F.count(F.lit(1)) - 1).alias("reopenings")
+        )
+        .select(*key, "l.since", "l.last_seen", "l.runs_in_a_row", "l.affected_rows", "runs_seen", "reopenings", (F.col("l.last_run") == newest).alias("is_open"))
+    )

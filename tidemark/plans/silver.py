@@ -240,6 +240,20 @@ def quarantine(table: str, bronze: DataFrame) -> DataFrame:
     )
 
 
+KEPT = "kept"
+
+
+def with_outcome(table: str, bronze: DataFrame) -> DataFrame:
+    """All typed rows with ``reject_reason``: the first broken rule, or ``kept``."""
+    return typed(table, bronze).withColumn("reject_reason", F.coalesce(reject_reason(table), F.lit(KEPT)))
+
+
+def outcome_counts(table: str) -> dict[str, Column]:
+    """Aggregates over ``with_outcome``: rows per outcome, in reporting order."""
+    outcomes = [KEPT, *[reason for reason, _ in keep_rules(table)]]
+    return {outcome: F.count_if(F.col("reject_reason") == outcome) for outcome in outcomes}
+
+
 def row_accounting(table: str, bronze: DataFrame) -> DataFrame:
     """Rows read, kept and rejected for one table, in one scan."""
     keep = flag(keep_condition(table))

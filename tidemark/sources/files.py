@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -71,10 +72,68 @@ class TableStore:
         return reader.load(self.path(layer, name))
 
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
-        writer = df.write.format(self.table_format).mode("overwrite")
+        """Replace a table. Files are complete before they take the old ones' place."""
+        path = self.path(layer, name)
         if self.table_format == "delta":
-            writer = writer.option("overwriteSchema", "true")
-        writer.save(self.path(layer, name))
+            df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(path)
+            return
+        fresh = self._fresh(path)
+        df.write.format(self.table_format).save(fresh)
+        self._publish(fresh, path)
+
+    def _fresh(self, path: str) -> str:
+        return f"{path}__{uuid.uuid4().hex}"
+
+    def _publish(self, fresh: str, path: str) -> None:
+        """Rename a finished folder to ``path``; what was there goes after that."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = hadoop(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = hadoop(f"{fresh}_old")
+        files.mkdirs(hadoop(path).getParent())
+        replaced = files.exists(hadoop(path)) and files.rename(hadoop(path), old)
+        if not files.rename(hadoop(fresh), hadoop(path)):
+            if replaced:
+                files.rename(old, hadoop(path))
+            raise OSError(f"cannot rename {fresh} to {path}")
+        if replaced:
+            files.delete(old, True)
+
+    def replace_rows(self, df: DataFrame, layer: str, name: str, *key: str) -> None:
+        """Put the rows of ``df`` in place of all rows with its values of ``key``, in one commit.
+
+        The table lies in a folder per key, so nothing of it is read and other keys are not touched;
+        two runs with different keys can write at the same time.
+        """
+        df.coalesce(1).write.format(self.table_format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *key
+        ).save(self.path(layer, name))
+
+    def remove_rows(self, layer: str, name: str, **key: str) -> None:
+        """Remove the folder of one key of a table that ``replace_rows`` writes."""
+        part = "/".join(f"{column}={value}" for column, value in key.items())
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path(layer, name)}/{part}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def write_split(self, df: DataFrame, by: str, kept: str, layer: str, rest_layer: str, name: str) -> None:
+        """One write of ``df`` into two tables: rows whose ``by`` is ``kept``, and all others.
+
+        ``by`` names folders: the kept rows' table lacks it, the other table has it. Both are
+        published after the write.
+        """
+        fresh = self._fresh(self.path(rest_layer, name))
+        df.write.format("parquet").partitionBy(by).save(fresh)
+        part = f"{fresh}/{by}={kept}"
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
+        files = hadoop(part).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if files.exists(hadoop(part)):
+            self._publish(part, self.path(layer, name))
+        else:  # no row is kept: an empty table
+            self.overwrite(df.drop(by).limit(0), layer, name)
+        if files.globStatus(hadoop(f"{fresh}/{by}=*")):
+            self._publish(fresh, self.path(rest_layer, name))
+        else:
+            files.delete(hadoop(fresh), True)
+            self.overwrite(df.limit(0), rest_layer, name)
 
     def append(self, df: DataFrame, layer: str, name: str) -> None:
         writer = df.write.format(self.table_format).mode("append")

@@ -61,11 +61,12 @@ AUDIT_DDL = """
 VIOLATION_DDL = """
     violation_id STRING, run_id STRING, check_name STRING, table_name STRING,
     column_name STRING, severity STRING, violation_count BIGINT, violation_detail STRING,
-    sample_records STRING, check_timestamp TIMESTAMP, environment STRING"""
+    sample_records STRING, check_timestamp TIMESTAMP, environment STRING, family STRING"""
 
 SUMMARY_DDL = """
     run_id STRING, pipeline_name STRING, total_checks BIGINT, passed BIGINT, failed BIGINT,
-    warnings BIGINT, overall_status STRING, run_timestamp TIMESTAMP, environment STRING"""
+    warnings BIGINT, overall_status STRING, run_timestamp TIMESTAMP, environment STRING,
+    family STRING"""
 
 #: Platform tables with a declared layout; they are opened without looking at their files.
 PLATFORM_DDL = {"bronze_ingestion_audit": AUDIT_DDL, "dq_violations": VIOLATION_DDL, "dq_summary": SUMMARY_DDL}
