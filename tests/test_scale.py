@@ -18,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 EAGER = {
     "bronze_load_audit", "snapshot_restore", "incremental_append", "header_drift_counts", "layer_runs", "dq_run_records",
     "gold_partial_rebuild", "quarantine_split", "dq_outcomes_concurrent", "bucketed_daily_revenue", "bucketed_revenue_by_category",
-    "bucketed_customer_satisfaction", "bucketed_seller_performance",
+    "bucketed_customer_satisfaction", "bucketed_seller_performance", "load_outcomes", "sql_views", "isolated_failure",
 }
 
 

@@ -28,6 +28,7 @@ class JobResult:
     value: Any
     error: str | None
     seconds: float
+    failure: Exception | None = None
 
 
 def run_jobs(
@@ -35,10 +36,14 @@ def run_jobs(
 ) -> list[JobResult]:
     """Run the jobs, at most ``workers`` at a time; results in the order of ``jobs``.
 
-    ``limit_s`` bounds the time of one job from its start, not its time in the queue.
+    ``limit_s`` bounds the time of one job from its start, not its time in the queue; it holds for
+    the outermost jobs.
     """
     context = spark.sparkContext
-    groups = {name: f"{pool}-{uuid.uuid4().hex}" for name in jobs}
+    # jobs submitted from inside another job share its group, so that stopping it stops them too
+    outer = context.getLocalProperty("spark.jobGroup.id")
+    nested = bool(outer and outer.startswith(f"{pool}-"))
+    groups = {name: outer if nested else f"{pool}-{uuid.uuid4().hex}" for name in jobs}
     started: dict[str, float] = {}
     stopped: set[str] = set()
 
@@ -46,14 +51,14 @@ def run_jobs(
         context.setLocalProperty("spark.scheduler.pool", pool)
         context.setJobGroup(groups[name], name, interruptOnCancel=True)
         began = started[name] = time.monotonic()
-        value = error = None
+        value = error = cause = None
         try:
             value = jobs[name]()
         except Exception as failure:  # the failure of a job is its result
-            error = str(failure) or type(failure).__name__
+            error, cause = str(failure) or type(failure).__name__, failure
         if name in stopped:
             value, error = None, f"stopped after {limit_s:g} seconds"
-        return JobResult(name, value, error, time.monotonic() - began)
+        return JobResult(name, value, error, time.monotonic() - began, cause)
 
     with ThreadPoolExecutor(max_workers=max(1, workers), thread_name_prefix=pool) as threads:
         waiting = {threads.submit(run, name): name for name in jobs}
@@ -62,7 +67,7 @@ def run_jobs(
             ended, _ = wait(waiting, timeout=0.2 if limit_s else None, return_when=FIRST_COMPLETED)
             for future in ended:
                 done[waiting.pop(future)] = future.result()
-            for name in waiting.values() if limit_s else ():
+            for name in waiting.values() if limit_s and not nested else ():
                 if name in started and name not in stopped and time.monotonic() - started[name] > limit_s:
                     stopped.add(name)
                     # also what the job would submit later

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.config import QualityPolicy, StrictPolicy
 from tidemark.functions.clean import parse_date
 from tidemark.functions.exact import amount, money
+from tidemark.jobs import run_jobs
 from tidemark.operators.furthest import Limits, unusual
 from tidemark.operators.selection import quantiles
 from tidemark.session import stage
@@ -121,6 +122,19 @@ def z_outliers(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _scanned(table: str, df: DataFrame, columns: Sequence[str], policy: StrictPolicy) -> tuple[list[tuple], list[DataFrame]]:
+    """One row of statistics per column, and the staged counts and furthest values of the table."""
+    known, limits = [], {}
+    for column, p in quantiles(df, columns, QUARTILES).items():
+        q1, q3 = p.quantiles
+        known.append((table, column, p.count, p.mean, p.deviation, q1, q3))
+        if p.count:
+            fence, spread = policy.iqr_multiplier * (q3 - q1), q3 > q1
+            limits[column] = Limits(p.mean, p.deviation, policy.value_z, q1 - fence if spread else None, q3 + fence if spread else None)
+    found = [stage(unusual(df, limits, SHOWN), "unusual").withColumn("table_name", F.lit(table))] if limits else []
+    return known, found
+
+
 def value_profiles(
     sources: Mapping[str, tuple[DataFrame, Sequence[str]]], policy: StrictPolicy = StrictPolicy()
 ) -> DataFrame:
@@ -131,20 +145,15 @@ def value_profiles(
     (``<kind>_top``). Nulls and NaN are no values. Quartiles are selected in place, and one more
     scan counts the tests and keeps the furthest values; no value is shuffled beyond those.
     """
-    parts, known = [], []
-    for table, (df, columns) in sources.items():
-        profiles = quantiles(df, columns, QUARTILES)
-        limits = {}
-        for column, p in profiles.items():
-            q1, q3 = p.quantiles
-            known.append((table, column, p.count, p.mean, p.deviation, q1, q3))
-            if p.count:
-                fence = policy.iqr_multiplier * (q3 - q1)
-                spread = q3 > q1
-                limits[column] = Limits(p.mean, p.deviation, policy.value_z, q1 - fence if spread else None, q3 + fence if spread else None)
-        if limits:
-            parts.append(stage(unusual(df, limits, SHOWN), "unusual").withColumn("table_name", F.lit(table)))
     spark = next(iter(sources.values()))[0].sparkSession
+    scans = {table: lambda table=table: _scanned(table, *sources[table], policy) for table in sources}
+    parts, known = [], []
+    for result in run_jobs(spark, scans):  # tables side by side: each is a few scans, one after the other
+        if result.failure is not None:
+            raise result.failure
+        rows, unusual_values = result.value
+        known += rows
+        parts += unusual_values
     # one row per value column of the configuration
     listed = spark.createDataFrame(
         known, "table_name string, column_name string, value_count bigint, mean double, deviation double, q1 double, q3 double"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.config import CORE_TABLES, TABLES, RunContext
 from tidemark.functions.clean import flag
 from tidemark.plans import bronze, gold, quality, silver
-from tidemark.plans.jobs import run_jobs
+from tidemark.jobs import run_jobs
 from tidemark.session import stage
 from tidemark.sources.files import TableStore
 

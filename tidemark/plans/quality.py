@@ -25,7 +25,7 @@ from tidemark.config import (
 )
 from tidemark.functions.exact import half_up_ratio, percent
 from tidemark.operators import anomalies, duplicates, profile
-from tidemark.plans.jobs import run_jobs
+from tidemark.jobs import run_jobs
 from tidemark.session import stage
 
 FINDING = "struct<column_name:string,severity:string,violation_count:bigint,violation_detail:string,sample_records:string>"

@@ -134,11 +134,63 @@ def stream_checks(spark: SparkSession, folder: str) -> DataFrame:
     ).select("check_name", "table_name", "status", "rows_scanned", "column_name", "severity", "violation_count")
 
 
+def load_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads that go wrong or astray: a missing file, a missing critical column, a drifted header, no declared schema."""
+    files, store = scratch_path(spark, "csv"), _store(spark)
+    sources = {t: star.source(spark, folder, t) for t in ("orders", "customers", "sellers")}
+    write_csv(sources["orders"].drop("order_status"), f"{files}/{TABLES['orders'].source_file()}")
+    write_csv(sources["customers"].withColumnRenamed("customer_city", "town"), f"{files}/{TABLES['customers'].source_file()}")
+    write_csv(sources["sellers"], f"{files}/{TABLES['sellers'].source_file()}")
+    write_csv(star.read(spark, folder, "supplier").select("s_suppkey", "s_nationkey"), f"{files}/coupons.csv")
+    for table in ("orders", "customers", "sellers", "products"):  # no file of products
+        bronze.load_table(store, TABLES[table], f"{files}/{TABLES[table].source_file()}", CONTEXT)
+    bronze.load_table(store, TableSpec("coupons", 1, ("s_suppkey",)), f"{files}/coupons.csv", CONTEXT)
+    report = F.from_json("schema_drift_detected", "has_drift boolean, missing_columns array<string>, extra_columns array<string>")
+    log = bronze.read_audit(store).withColumn("report", report)
+    reason = F.when(F.col("error_message").contains("critical columns missing"), "critical").when(F.col("error_message").contains("not found"), "no file")
+    inferred = store.read("bronze", "bronze_coupons").schema["s_suppkey"].dataType.simpleString()
+    return log.select(
+        "table_name", "load_status", "rows_loaded", reason.alias("reason"), F.array_join("report.missing_columns", ",").alias("missing_columns"),
+        F.array_join("report.extra_columns", ",").alias("extra_columns"),
+        F.when(F.col("table_name") == "bronze_coupons", F.lit(inferred)).alias("inferred_type"),
+    )
+
+
+def sql_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Written tables as SQL views, and a query over two of them."""
+    store = _store(spark)
+    for table in ("orders", "order_payments"):
+        store.overwrite(silver.clean(table, star.bronze(spark, folder, table)), "silver", TABLES[table].silver)
+    store.register("silver", ["silver_orders", "silver_order_payments"])
+    return spark.sql(
+        """SELECT order_status, count(*) AS payments, count_if(is_high_value) AS high_value
+           FROM silver_orders JOIN silver_order_payments USING (order_id) GROUP BY order_status"""
+    )
+
+
+def isolated_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """A standard run in which the duplicates of one table cannot be counted."""
+    tables = {t: star.bronze(spark, folder, t) for t in TABLES}
+    tables["customers"] = tables["customers"].withColumn(ROW_HASH, F.expr("raise_error('unreadable')").cast("string"))
+    found = quality.isolated_outcomes(spark, tables, AS_OF)
+    return found.select("check_name", "table_name", "status", F.size("findings").cast("bigint").alias("findings"))
+
+
+def dq_sample_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The sample rows of the standard findings, read back from their JSON."""
+    tables = {t: star.bronze(spark, folder, t) for t in TABLES}
+    rows = quality.samples(tables).select(
+        "check_name", "table_name", "column_name", F.explode(F.from_json("sample_records", "array<string>")).alias("row")
+    )
+    return rows.select("check_name", "table_name", "column_name", F.get_json_object("row", "$._row_hash").alias("row_hash"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         money_extremes, dq_outcomes_concurrent, dq_run_records, gold_partial_rebuild, quarantine_split, layer_runs,
-        rolling_volume_calendar, finding_spans, monthly_distinct_orders, stream_checks,
+        rolling_volume_calendar, finding_spans, monthly_distinct_orders, stream_checks, load_outcomes, sql_views,
+        isolated_failure, dq_sample_rows,
     )
 }
 GOLD_NAMES = tuple(gold.GOLD)

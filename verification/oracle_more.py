@@ -41,7 +41,39 @@ _DROP = ratio("(past_rows - row_count * past_days) * 100", "past_rows", 2)
 _LOADED = "TIMESTAMP '2024-01-30 06:00:00'"
 _AGE = ratio_units(f"epoch_us(TIMESTAMP '{AS_OF}') - epoch_us({_LOADED})", "3600000000", 1)
 
+
+
+def _samples(table: str) -> str:
+    repeated = f"""
+        SELECT 'duplicate_check' AS check_name, '{TABLES[table].bronze}' AS table_name, CAST(NULL AS VARCHAR) AS column_name, _row_hash AS row_hash
+        FROM b_{table} WHERE _row_hash IN (SELECT _row_hash FROM b_{table} GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 5)
+        ORDER BY _row_hash LIMIT 5"""
+    nulls = [
+        f"""SELECT 'null_check', '{TABLES[table].bronze}', '{column}', _row_hash FROM b_{table} WHERE {column} IS NULL ORDER BY _row_hash LIMIT 5"""
+        for column in TABLES[table].critical
+    ]
+    return union([repeated, *nulls])
+
+
 QUERIES: dict[str, str] = {
+    "load_outcomes": f"""
+        SELECT 'bronze_orders' AS table_name, 'FAILED' AS load_status, CAST(NULL AS BIGINT) AS rows_loaded, 'critical' AS reason,
+               CAST(NULL AS VARCHAR) AS missing_columns, CAST(NULL AS VARCHAR) AS extra_columns, CAST(NULL AS VARCHAR) AS inferred_type
+        UNION ALL SELECT 'bronze_products', 'FAILED', NULL, 'no file', NULL, NULL, NULL
+        UNION ALL SELECT 'bronze_customers', CASE WHEN count(*) < 90000 THEN 'PARTIAL' ELSE 'SUCCESS' END, count(*), NULL, 'customer_city', 'town', NULL FROM customer
+        UNION ALL SELECT 'bronze_sellers', CASE WHEN count(*) < 3000 THEN 'PARTIAL' ELSE 'SUCCESS' END, count(*), NULL, NULL, NULL, NULL FROM supplier
+        UNION ALL SELECT 'bronze_coupons', 'SUCCESS', count(*), NULL, NULL, NULL, 'int' FROM supplier""",
+    "sql_views": with_tables(
+        """SELECT order_status, count(*) AS payments, CAST(count(*) FILTER (is_high_value) AS BIGINT) AS high_value
+           FROM s_orders JOIN s_order_payments USING (order_id) GROUP BY 1""",
+        silver_tables=("orders", "order_payments"),
+    ),
+    "isolated_failure": with_tables(
+        f"""SELECT check_name, table_name, CASE WHEN broken THEN 'ERROR' ELSE status END AS status, CASE WHEN broken THEN 0 ELSE findings END AS findings
+            FROM (SELECT *, check_name = 'duplicate_check' AND table_name = 'bronze_customers' AS broken FROM ({statuses(standard_findings())}))""",
+        bronze_tables=CORE,
+    ),
+    "dq_sample_rows": with_tables(union([_samples(t) for t in CORE]), bronze_tables=CORE),
     "money_extremes": """
         SELECT l_returnflag, CAST(CAST(
                    count(*) FILTER (k = 0) * CAST('0.0000400' AS DECIMAL(38, 7)) + count(*) FILTER (k = 1) * CAST('12345678901234568' AS DECIMAL(38, 7))
