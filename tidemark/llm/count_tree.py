@@ -106,9 +106,9 @@ def point(shingles: np.ndarray) -> np.ndarray:
 
 def fold(points: np.ndarray, width: int) -> np.ndarray:
     """Counts of ``width`` groups from counts of more; a full count stays without bound."""
-    wide = points.astype(np.int32)
+    wide = points.astype(np.int64)
     wide[points == FULL] = _UNBOUNDED
-    return wide.reshape(len(points), -1, width).sum(axis=1)
+    return np.minimum(wide.reshape(len(points), -1, width).sum(axis=1), _UNBOUNDED)
 
 
 def curve_place(shingles: np.ndarray) -> int:
@@ -318,7 +318,7 @@ def tree_search(entries: DataFrame) -> DataFrame:
     first = placed.groupBy("tree", F.crc32(F.col("tree").cast("string")).alias("spread")).agg(F.min("position").alias("first"))
     dealt = placed.join(first.drop("spread"), "tree").withColumn("page", F.floor((F.col("position") - F.col("first")) / PAGE))
     pages = stage(
-        dealt.select("tree", "page", "id", "label", "n", "point").groupBy("tree", "page").applyInArrow(_page, PAGE_DDL), "tree-pages"
+        dealt.select("tree", "page", "id", "label", "n", "point").repartition("tree", "page").groupBy("tree", "page").applyInArrow(_page, PAGE_DDL), "tree-pages"
     )
     levels = [pages.select("tree", F.col("page").alias("node"), "hi", "least")]
     top = pages.agg(F.max("page")).first()[0]  # one number
