@@ -7,12 +7,14 @@ the verdict of a logistic regression on character 3- and 4-grams of host and pat
 ``CELLS`` cells. It is trained on a small labelled table: the distinct urls that the rules decide,
 at most ``MAX_LABELLED`` by a hash of the url, with the rules' verdicts.
 
-Everything runs in DataFrame expressions. Each gradient step is one aggregate over the bounded
-table; only the ``CELLS`` weights pass through the driver.
+Everything runs in DataFrame expressions. Each evaluation of loss and gradient is one aggregate over
+the bounded table; only the ``CELLS`` weights pass through the driver, where limited-memory quasi-Newton
+steps lead to the least penalised loss, until the gradient is below ``TOLERANCE``.
 
 Nulls and repeats. A null url, or one without ``://``, has an empty host and path. Urls without
 any n-gram get the model's bias. Without labelled urls of both verdicts the verdict is the one
-there is, else allow. Rows are judged one by one, so repeated rows agree.
+there is, else allow. Rows are judged one by one, so repeated rows agree. Urls may be of any length. Only
+page_id and url are read, so further columns may have any name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ RULES = (
 )
 CELLS = 2_048
 MAX_LABELLED = 2_000
-STEPS, RATE, PENALTY = 12, 4.0, 1e-4
+PENALTY = 1e-4
+#: The largest component of the gradient at which training ends, and the evaluations it may take.
+TOLERANCE, EVALUATIONS, MEMORY = 2e-4, 80, 10
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -84,30 +88,70 @@ def _score(weights: list[float], bias: float) -> Column:
     return total / F.sqrt(F.size("cells").cast("double")) + F.lit(bias)
 
 
+def _evaluated(labelled: DataFrame, n: int, at: np.ndarray) -> tuple[float, np.ndarray]:
+    """Mean loss and gradient at ``at`` (bias first), from one aggregate over the labelled table."""
+    margin = _score(at[1:].tolist(), float(at[0]))
+    error = (1 / (1 + F.exp(-margin)) - F.col("y")) / F.lit(float(n))
+    signed = F.when(F.col("y") == 1, margin).otherwise(-margin)
+    loss = (F.greatest(-signed, F.lit(0.0)) + F.log1p(F.exp(-F.abs(signed)))) / F.lit(float(n))
+    each = labelled.select(error.alias("e"), loss.alias("loss"), "cells").select(
+        F.explode(F.concat(F.array(F.lit(-1), F.lit(0)), "cells")).alias("cell"), "e", "loss", F.sqrt(F.size("cells").cast("double")).alias("root")
+    )
+    # sums of whole billionths do not depend on the order of rows
+    part = F.when(F.col("cell") == -1, F.col("loss")).when(F.col("cell") == 0, F.col("e")).otherwise(F.col("e") / F.col("root"))
+    gradient, total = np.zeros(CELLS + 1), 0.0
+    for row in each.groupBy("cell").agg(F.sum(F.round(part * 1e12).cast("long")).alias("g")).collect():  # CELLS + 2 rows at most
+        if row["cell"] < 0:
+            total = row["g"] / 1e12
+        else:
+            gradient[row["cell"]] = row["g"] / 1e12
+    gradient[1:] += PENALTY * at[1:]
+    return total + PENALTY / 2 * float(at[1:] @ at[1:]), gradient
+
+
+def _direction(gradient: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """The quasi-Newton direction from the last steps (change of weights, change of gradient)."""
+    q, kept = gradient.copy(), []
+    for s, y in reversed(steps):
+        a = (s @ q) / (s @ y)
+        q -= a * y
+        kept.append(a)
+    if steps:
+        s, y = steps[-1]
+        q *= (s @ y) / (y @ y)
+    for (s, y), a in zip(steps, reversed(kept)):
+        q += (a - (y @ q) / (s @ y)) * s
+    return -q
+
+
 def train(labelled: DataFrame) -> tuple[list[float], float]:
-    """Weights and bias from (cells, y); plain gradient descent with momentum."""
+    """Weights and bias from (cells, y): penalised logistic loss, down to a gradient of ``TOLERANCE``.
+
+    Every evaluation is one aggregate over the labelled table; at most ``EVALUATIONS`` of them.
+    """
     size = labelled.agg(F.count("*").alias("n"), F.avg("y").alias("p")).first()
     n, share = size["n"], size["p"]
-    weights, bias = np.zeros(CELLS), 0.0
+    at = np.zeros(CELLS + 1)
     if not n or share in (0.0, 1.0):
-        return weights.tolist(), -10.0 if share == 0.0 else 10.0
-    bias = math.log(share / (1 - share))
-    speed, speed_bias = np.zeros(CELLS), 0.0
-    for _ in range(STEPS):
-        error = (1 / (1 + F.exp(-_score(weights.tolist(), bias))) - F.col("y")) / F.lit(float(n))
-        rows = labelled.select(error.alias("e"), "cells")
-        each = rows.select(
-            F.explode(F.concat(F.array(F.lit(0)), "cells")).alias("cell"), "e", F.sqrt(F.size("cells").cast("double")).alias("root")
-        )
-        # sums of whole billionths do not depend on the order of rows
-        step = F.when(F.col("cell") == 0, F.col("e")).otherwise(F.col("e") / F.col("root"))
-        gradient = np.zeros(CELLS + 1)
-        for row in each.groupBy("cell").agg(F.sum(F.round(step * 1e12).cast("long")).alias("g")).collect():  # CELLS + 1 rows at most
-            gradient[row["cell"]] = row["g"] / 1e12
-        speed = 0.9 * speed + gradient[1:] + PENALTY * weights
-        speed_bias = 0.9 * speed_bias + gradient[0]
-        weights, bias = weights - RATE * speed, bias - RATE * speed_bias
-    return weights.tolist(), bias
+        return at[1:].tolist(), -10.0 if share == 0.0 else 10.0
+    at[0] = math.log(share / (1 - share))
+    loss, gradient = _evaluated(labelled, n, at)
+    steps: list[tuple[np.ndarray, np.ndarray]] = []
+    length, used = 1.0 / max(float(np.abs(gradient).sum()), 1e-12), 1
+    while used < EVALUATIONS and np.abs(gradient).max() > TOLERANCE:
+        way = _direction(gradient, steps)
+        slope = float(gradient @ way)
+        while used < EVALUATIONS:
+            tried, used = at + length * way, used + 1
+            new_loss, new_gradient = _evaluated(labelled, n, tried)
+            if new_loss <= loss + 1e-4 * length * slope or length < 1e-6:
+                break
+            length /= 2
+        s, y = tried - at, new_gradient - gradient
+        if s @ y > 1e-14:
+            steps = [*steps[-(MEMORY - 1):], (s, y)]
+        at, loss, gradient, length = tried, new_loss, new_gradient, 1.0
+    return at[1:].tolist(), float(at[0])
 
 
 def labelled_urls(judged: DataFrame) -> DataFrame:
