@@ -11,12 +11,14 @@ pushed back up instead. The loss is logistic, so scores are class probabilities.
 Features are whole words and character 5-grams of words, present or not in the whole text. The
 ``FEATURES`` ones that differ most between positive and unlabelled documents are weighed.
 Training takes at most ``MAX_POSITIVE`` positive and ``MAX_UNLABELLED`` unlabelled documents,
-chosen by a hash of the id, in one task; scoring covers every whole text.
+in one task; scoring covers every whole text. Rows are chosen by a hash of id and text, and rows equal
+in both count once, so an id on very many rows brings no more than any other.
 
 Nulls and repeats. Null and empty texts have no features and get the score of that. Rows with a
 null doc_id are scored, never trained on. Labels that are null are no labels; a document with any
 toxic label is a positive. Without usable positives every score is 0. Repeated rows give repeated
-results.
+results. Long texts are handled one at a time; columns other than doc_id and text may have any name, and
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -103,13 +105,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     if not share:
         return {"names": [], "weights": [], "bias": None}
     prior = min(max(share, 1e-4), 0.9)
-    order = F.xxhash64(F.lit("pu"), "doc_id")
-    ids = docs.where(usable).select(F.col("doc_id").cast("long").alias("doc_id"))
-    confirmed = ids.join(marks.where("toxic = 1"), "doc_id", "left_semi").distinct()
-    chosen_p = confirmed.orderBy(order, "doc_id").limit(MAX_POSITIVE).withColumn("kind", F.lit(1))
-    chosen_u = ids.distinct().orderBy(order, "doc_id").limit(MAX_UNLABELLED).withColumn("kind", F.lit(0))
-    chosen = F.broadcast(chosen_p.unionByName(chosen_u))  # bounded by the two parameters
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id").select("kind", "doc_id", "text")
+    # rows are chosen, not ids: by a hash of id and text, so that equal rows are one candidate and a
+    # repeated id brings no more rows than any other
+    key = F.xxhash64(F.lit("pu"), F.col("doc_id"), F.col("text"))
+    rows = docs.where(usable).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("key", key)
+    keys = rows.select("doc_id", "key")
+    first = lambda df, n, kind: df.select("key").distinct().orderBy("key").limit(n).withColumn("kind", F.lit(kind))
+    confirmed = keys.join(marks.where("toxic = 1"), "doc_id", "left_semi")
+    # bounded by the two parameters
+    chosen = F.broadcast(first(confirmed, MAX_POSITIVE, 1).unionByName(first(keys, MAX_UNLABELLED, 0)))
+    sample = rows.join(chosen, "key").dropDuplicates(["kind", "key"]).select("kind", F.col("key").alias("doc_id"), "text")
 
     def featuriser():
         known: dict[str, list[int]] = {}
