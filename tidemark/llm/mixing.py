@@ -11,8 +11,8 @@ Distribution. Keys are spread evenly, so each source is cut into as many key ran
 of documents asks for; running sums are taken within ranges and over the ranges' totals. A source
 with a third of all rows is split like any other, and sources are numbered by a range sort.
 
-Nulls and repeats. A null source is one source. Rows that repeat a doc_id are ordered by size, and
-equal rows are interchangeable, so reruns agree. A source without words has the target 0.
+Nulls and repeats. A null source is one source. Keys are hashes of id and text, so rows that repeat
+a doc_id, or have none, are ordered like others; rows equal in both are interchangeable, so reruns agree. A source without words has the target 0.
 """
 
 from __future__ import annotations
@@ -64,8 +64,8 @@ def _placed(docs: DataFrame) -> DataFrame:
     sized = stage(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-            word_count(F.col("text")).alias("size"),
-        ).withColumn("key", _key()),
+            word_count(F.col("text")).alias("size"), _key().alias("key"),
+        ),
         "sizes",
     )
     totals = stage(sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("source_size")), "totals")
@@ -104,8 +104,9 @@ def _placed(docs: DataFrame) -> DataFrame:
 _POSITION = ("high", "key", "doc_id", "size")
 
 
-def _key() -> Column:
-    return F.xxhash64(F.lit("mix"), F.col("doc_id").cast("long"))
+def _key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """Of id and text: rows with one id, or without any, are spread like others."""
+    return F.xxhash64(F.lit("mix"), F.col(doc_id).cast("long"), F.col(text).cast("string"))
 
 
 def _position() -> Column:
@@ -136,8 +137,8 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     text = F.col(at["text"])
     sized = inner.select(
         "*", F.col(at["doc_id"]).cast("long").alias("doc_id"), F.col(at["source"]).cast("string").alias("source"),
-        word_count(text).alias("size"),
-    ).withColumn("key", _key())
+        word_count(text).alias("size"), _key(at["doc_id"], at["text"]).alias("key"),
+    )
     rows = sized.where("size > 0").join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn("pos", _position())
     part = (
         F.when(F.col("_last").isNull() | (F.col("pos") > F.col("_last.pos")), 0)
