@@ -12,6 +12,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import hidden_markov, host_rules, mixing, near_dedup, pu_toxicity, secret_links, sentence_wfst
 from tidemark.llm.queries import model_path
@@ -371,6 +372,32 @@ def test_labels_of_held_out_rows_are_never_used(spark, marked):
     assert scores(labels) == scores(changed)
 
 
+def test_training_rows_are_bounded_whatever_repeats(spark, monkeypatch):
+    """One id, and one whole row, on a third of the table each: the sample keeps its bounds."""
+    monkeypatch.setattr(pu_toxicity, "MAX_POSITIVE", 20)
+    monkeypatch.setattr(pu_toxicity, "MAX_UNLABELLED", 50)
+    seen = []
+    real = pu_toxicity.selected
+    monkeypatch.setattr(pu_toxicity, "selected", lambda f: (seen.append(f.groupBy("kind").count().collect()), real(f))[1])
+    texts = [(i, f"plain words number {i} here") for i in range(300)] + [(5, f"other text {i} of one id") for i in range(300)] + [(8, "same row")] * 300
+    docs = spark.createDataFrame([(*t, "en", "s", 1, None, None, None) for t in texts], SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0 or i in (5, 8))) for i in range(300)], "doc_id long, quality int, toxic int")
+    pu_toxicity.fit(docs, labels)
+    assert {r["kind"]: r["count"] for r in seen[0]} == {1: 20, 0: 50}
+
+
+def test_mixture_of_repeated_and_missing_ids(spark, monkeypatch):
+    """Rows with one id or none: ranges stay even, and the texts hold exactly the words that the mix takes."""
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 50)
+    texts = [(None if i % 3 else 7, " ".join([f"w{i}"] * 10), "a") for i in range(600)] + [(i, "u v " * 50, "b") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t), None, None, None) for i, t, s in texts], SCHEMA)
+    ranges = [r["count"] for r in mixing._placed(docs).where("source = 'a'").groupBy("range").count().collect()]
+    assert max(ranges) <= 2 * 50
+    taken = {r["source"]: r["t"] for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    words = {r["source"]: r["t"] for r in mixing.mixed_texts(docs).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("t")).collect()}
+    assert taken["a"] == words["a"] and abs(words["b"] - taken["b"]) <= 100
+
+
 def test_risk_is_non_negative():
     positive = np.array([True, True, False, False, False])
     z = np.array([-5.0, -4.0, -1.0, -1.0, -1.0])  # the corrected negative risk is above zero

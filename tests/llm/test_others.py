@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import feistel_pii, near_dedup, pivot_search, url_filter
@@ -182,6 +183,44 @@ def test_rules_and_model(spark):
     assert learnt.count("block") > len(learnt) / 2  # /de/ was mostly blocked
 
 
+def test_training_ends_at_the_least_loss(spark, monkeypatch):
+    """The weights equal those of plain numpy gradient descent run to the end."""
+    monkeypatch.setattr(url_filter, "CELLS", 64)
+    rng = np.random.default_rng(5)
+    rows = []
+    for _ in range(120):
+        cells = sorted({int(c) for c in rng.integers(1, 65, 9)})
+        rows.append((cells, float(sum(cells) / len(cells) + rng.normal(0, 4) > 32)))
+    labelled = spark.createDataFrame(rows, "cells array<int>, y double")
+    monkeypatch.setattr(url_filter, "PENALTY", 1e-2)
+    weights, bias = url_filter.train(labelled)
+    x = np.zeros((len(rows), 65))
+    for i, (cells, _) in enumerate(rows):
+        x[i, 0] = 1
+        x[i, cells] = 1 / np.sqrt(len(cells))
+    y, at, penalty = np.array([r[1] for r in rows]), np.zeros(65), np.r_[0, np.full(64, 1e-2)]
+    for _ in range(40_000):
+        at -= 0.5 * (x.T @ (1 / (1 + np.exp(-x @ at)) - y) / len(y) + penalty * at)
+    assert np.abs(np.r_[bias, weights] - at).max() < 0.05
+    assert ((x @ np.r_[bias, weights] >= 0) == (x @ at >= 0)).mean() > 0.99
+
+
+def test_model_agrees_with_the_rules_on_urls_it_has_not_seen(spark, monkeypatch):
+    judged = url_filter.ruled(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+    part = F.pmod(F.xxhash64(F.lit("split"), "host", "path"), F.lit(10))
+    weights, bias = url_filter.train(url_filter.labelled_urls(judged.where(part < 7)).cache())
+    held = judged.where((part >= 7) & F.col("rule").isNotNull()).select("host", "path", "verdict").distinct().withColumn("cells", url_filter.cells())
+    right = F.avg(((url_filter._score(weights, bias) >= 0) == (F.col("verdict") == "allow")).cast("int"))
+    assert held.agg(right).first()[0] >= 0.97
+
+
+def test_urls_of_any_length_and_clashing_columns(spark):
+    long = "https://" + "a" * 40_000 + ".org/en/" + "b" * 100_000
+    pages = spark.createDataFrame([(1, long, "x", "y"), (2, "https://b.com/de/", "x", "y")], "page_id long, url string, score string, rule string")
+    out = {r.page_id: r for r in url_filter.filtered(pages).collect()}
+    assert out[1].rule == "org/" and out[2].verdict == "block" and len(out[1].path) == 100_004
+
+
 def test_urls_without_any_rule(spark):
     pages = spark.createDataFrame([(1, "https://a.net/x")], "page_id long, url string")
     assert [r.verdict for r in url_filter.filtered(pages).collect()] == ["allow"]
@@ -208,6 +247,40 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert pivot_search.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_in_waves_with_repeated_ids(spark, monkeypatch):
+    """One id on a third of the rows: blocks stay even, every row is a row of its own, waves are small."""
+    monkeypatch.setattr(pivot_search, "BLOCK", 40)
+    monkeypatch.setattr(pivot_search, "WAVE_BYTES", 1)
+    rng = np.random.default_rng(8)
+    vectors = [(i, rng.normal(0, 0.3, 6).tolist()) for i in range(200)] + [(40, rng.normal(0, 0.3, 6).tolist()) for _ in range(100)]
+    table = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    rows = pivot_search.scaled(table)
+    sizes = [len(r["ids"]) // 8 for r in pivot_search.packed(rows, 300, *pivot_search.data_pivots(rows)).collect()]
+    assert sum(sizes) == 300 and max(sizes) <= 80
+    whole = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vectors]
+    expected = []
+    for q, x in whole:
+        if q % 20 == 0:
+            best = sorted((-int(x @ v), i) for i, v in whole if i != q)[:20]
+            expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best)]
+    assert sorted(tuple(r) for r in pivot_search.top_k(table).collect()) == sorted(expected)
+
+
+def test_earlier_results_rule_out_blocks(monkeypatch):
+    rng = np.random.default_rng(3)
+    near, far = rng.integers(90, 110, (50, 8)).astype(float), rng.integers(-110, -90, (50, 8)).astype(float)
+    p = near[:4]
+    table = lambda v: np.sqrt(((v[:, None, :] - p[None]) ** 2).sum(2))
+    q, ids = near[:3], np.arange(50)
+    first = list(pivot_search.search_block(ids[:3], q, table(q), ids, near, table(near)))
+    known = [(found, best) for _, found, best in first]
+    sorts = []
+    real = np.argsort
+    monkeypatch.setattr(pivot_search.np, "argsort", lambda *a, **b: sorts.append(1) or real(*a, **b))
+    again = list(pivot_search.search_block(ids[:3], q, table(q), ids + 100, far, table(far), known=known))
+    assert not sorts and all((a[1] == b[1]).all() and (a[2] == b[2]).all() for a, b in zip(first, again))
+
+
 def test_top_k_with_large_components(spark, monkeypatch):
     monkeypatch.setattr(pivot_search, "BLOCK", 32)
     rng = np.random.default_rng(4)

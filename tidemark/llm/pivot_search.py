@@ -11,9 +11,14 @@ Candidates are evaluated in the order of that bound, and a query stops when the
 below its k-th score, so results are exact; equal bounds are evaluated, as ties go to the smaller
 id. Bounds carry a margin for rounding.
 
-Distribution. Queries and candidates are packed into blocks of ``BLOCK`` vectors; each pair of a
-query block and a candidate block is one unit of work, and each unit's best k meet per query.
-Work is the stated queries against all rows, in blocks.
+Pivots are vectors of the data (for the commonest length; other lengths have fixed directions).
+
+Distribution. Vectors are packed into blocks of about ``BLOCK`` rows, dealt by row, so that an id on very
+many rows spreads like any other. Candidate blocks stay where they are. Queries come in waves of as
+many blocks as fit into ``WAVE_BYTES``; a wave is broadcast, every task holds it against its own candidate
+blocks one after the other and keeps each query's best k so far. Those rule out later candidates, and whole
+blocks whose pivot distances lie too far away. A task sends k rows a query, which meet under a
+row-number limit. Work is the stated queries against all rows, in blocks.
 
 Large components. Floats are exact for vectors shorter than 2**26 once scaled. Pairs with a longer
 one are picked by float scores with an error bound and scored in whole numbers. A component or a
@@ -28,7 +33,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stage
@@ -38,6 +45,8 @@ EVERY = 20
 SCALE = 64
 PIVOTS = 32
 BLOCK = 4096
+#: Size of the query blocks that are broadcast together.
+WAVE_BYTES = 64 << 20
 STEP = 128
 #: Squared lengths below this: products of two such vectors are exact as doubles.
 USUAL = 2.0**52
@@ -80,8 +89,22 @@ def best_wide(query_id: int, query, norm_q: float, ids, vectors, norms, k: int =
     return sorted(zip((-int(x) for x in scores), ids[other].tolist()))[:k]
 
 
-def search_any(query_ids, queries, query_table, ids, vectors, table, k: int = K):
-    """(query position, ids, scores, scores below the long range) of the best k of each query in one block."""
+def data_pivots(rows: DataFrame) -> tuple[int, list[list[int]]]:
+    """The commonest length and ``PIVOTS`` vectors of it, by a hash of the vector."""
+    common = rows.groupBy(F.size("v").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
+    if common is None:
+        return 0, []
+    order = F.xxhash64(F.lit("pivot"), F.col("v"))
+    chosen = rows.where(F.size("v") == common["dims"]).select("v", order.alias("h")).orderBy("h", "v").limit(PIVOTS)
+    return common["dims"], [row["v"] for row in chosen.collect()]  # PIVOTS vectors
+
+
+def search_any(query_ids, queries, query_table, ids, vectors, table, k: int = K, known=None):
+    """(query position, ids, scores, scores below the long range) of the best k of each query in one block.
+
+    ``known`` has the best (ids, scores) of each query so far, which then are candidates too; it may
+    be given where no vector is longer than usual.
+    """
     length = lambda v: np.square(v.astype(np.float64)).sum(1)
     norms_q, norms = length(queries), length(vectors)
     usual_q, usual = np.flatnonzero(norms_q < USUAL), np.flatnonzero(norms < USUAL)
@@ -93,6 +116,7 @@ def search_any(query_ids, queries, query_table, ids, vectors, table, k: int = K)
         found = search_block(
             query_ids[usual_q], part(queries, usual_q).astype(np.float64), part(query_table, usual_q),
             ids[usual], part(vectors, usual).astype(np.float64), part(table, usual), k,
+            known,
         )
     if len(usual_q) == len(queries) and not len(wide):
         yield from ((row, best_ids, best.astype(np.int64), np.zeros(len(best), bool)) for row, best_ids, best in found)
@@ -107,9 +131,11 @@ def search_any(query_ids, queries, query_table, ids, vectors, table, k: int = K)
         yield row, np.array([i for _, i in best], dtype=np.int64), np.array([max(-low, -LONG) for low, _ in best], dtype=np.int64), under
 
 
-def search_block(query_ids, queries, query_table, ids, vectors, table, k: int = K):
-    """(query position, id, score) of the best k candidates of each query in one block.
+def search_block(query_ids, queries, query_table, ids, vectors, table, k: int = K, known=None):
+    """(query position, id, score) of the best k candidates of each query in one block, ``known`` ones included.
 
+    A query whose known k-th score no vector of the block can reach, by the block's intervals of pivot
+    distances, gets nothing evaluated.
     Pivot distances are compared as single floats, less a slack above their rounding. Scores are
     single floats only where every sum stays below 2**24 and is exact.
     """
@@ -119,13 +145,20 @@ def search_block(query_ids, queries, query_table, ids, vectors, table, k: int =
     slack = np.float32(max(table.max(), query_table.max()) * 2.0**-21)
     by_pivot, query_table = np.ascontiguousarray(table.T, dtype=np.float32), query_table.astype(np.float32)
     apart = np.empty_like(by_pivot)
+    near, far = by_pivot.min(axis=1), by_pivot.max(axis=1)
+    outside = np.maximum(np.maximum(near - query_table, query_table - far).max(axis=1) - slack, 0).astype(np.float64)
+    reach = (norms_q + norms.max() - outside * outside) / 2 + 1e-6 * (norms_q + norms.max()) + 1e-6
     for row in range(len(queries)):
+        start = known[row] if known is not None else None
+        if start is not None and len(start[0]) == k and reach[row] < start[1][-1]:
+            yield row, start[0], start[1]
+            continue
         np.abs(np.subtract(by_pivot, query_table[row][:, None], out=apart), out=apart)
         low = np.maximum(apart.max(axis=0) - slack, 0).astype(np.float64)
         bound = (norms_q[row] + norms - low * low) / 2
         bound += 1e-6 * (norms_q[row] + norms) + 1e-6
         order = np.argsort(-bound.astype(np.float32))  # the margin is above the rounding of the keys
-        best_ids, best = np.zeros(0, np.int64), np.zeros(0)
+        best_ids, best = start if start is not None else (np.zeros(0, np.int64), np.zeros(0))
         at, step = 0, STEP
         while at < len(order):  # steps double, so a query that stops late has few of them
             part = order[at : at + step]
@@ -144,14 +177,15 @@ def search_block(query_ids, queries, query_table, ids, vectors, table, k: int =
         yield row, best_ids, best
 
 
-def _packer():
+def _packer(common: int, chosen: list[list[int]]):
     def pack(group: pa.Table) -> pa.Table:
         ids = group.column("vec_id").to_numpy()
         flat = group.column("v").combine_chunks().flatten().to_numpy()
         v = flat.reshape(len(ids), -1).astype(np.int64)
         order = np.lexsort((*v.T[::-1], ids)) if len(ids) else np.arange(0)
         ids, v = ids[order], v[order]
-        p = pivots(v.shape[1])
+        p = np.array(chosen, dtype=np.float64) if v.shape[1] == common else pivots(v.shape[1])
+        p = np.concatenate([p, np.repeat(p[:1], PIVOTS - len(p), axis=0)])  # fewer vectors than pivots
         wide = v.astype(np.float64)
         square = (wide * wide).sum(1)[:, None] + (p * p).sum(1) - 2 * (wide @ p.T)
         table = np.sqrt(np.maximum(0, square))
@@ -167,60 +201,83 @@ def _packer():
     return pack
 
 
-def packed(vectors: DataFrame, rows: int) -> DataFrame:
+def packed(vectors: DataFrame, rows: int, common: int, chosen: list[list[int]]) -> DataFrame:
     """Blocks of about ``BLOCK`` vectors of one length, with their rows of the pivot table."""
     blocks = max(1, -(-rows // BLOCK))
     return (
         vectors.withColumn("dims", F.size("v"))
-        .withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+        .withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+        .repartition("dims", "block")
         .groupBy("dims", "block")
-        .applyInArrow(_packer(), "dims int, block bigint, ids binary, v binary, t binary")
+        .applyInArrow(_packer(common, chosen), "dims int, block bigint, ids binary, v binary, t binary")
     )
 
 
+class _Wave:
+    """The best k so far of every query of a wave, over the candidate blocks that a task has seen."""
+
+    def __init__(self) -> None:
+        self.blocks: dict[tuple[int, int], list] = {}
+
+    def add(self, row: dict) -> None:
+        dims, name = row["dims"], (row["dims"], row["q_block"])
+        read = lambda name, kind: np.frombuffer(row[name], dtype=kind)
+        q_ids, ids = read("q_ids", "<i8"), read("ids", "<i8")
+        whole = lambda name, n: read(name, f"<i{len(row[name]) // (n * dims)}").reshape(n, dims)
+        q, v = whole("q_v", len(q_ids)), whole("v", len(ids))
+        state = self.blocks.setdefault(name, [(q_id, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)) for q_id in q_ids.tolist()])
+        # among vectors of usual length scores are exact as doubles, and earlier ones can rule out others
+        length = lambda x: np.square(x.astype(np.float64)).sum(1).max()
+        usual = length(q) < USUAL and length(v) < USUAL and all(not len(s[2]) or np.abs(s[2]).max() < 1 << 53 for s in state)
+        known = [(s[1], s[2].astype(np.float64)) for s in state] if usual else None
+        tables = (read("q_t", "<f8").reshape(-1, PIVOTS), read("t", "<f8").reshape(-1, PIVOTS))
+        for at, found, scores, under in search_any(q_ids, q, tables[0], ids, v, tables[1], known=known):
+            q_id, old_ids, old, old_under = state[at]
+            if known is None:  # else the earlier ones are among them
+                found, scores, under = np.concatenate([old_ids, found]), np.concatenate([old, scores]), np.concatenate([old_under, under])
+            keep = np.lexsort((found, ~scores, under))[:K]
+            state[at] = (q_id, found[keep], scores[keep], under[keep])
+
+    def rows(self) -> pa.RecordBatch:
+        out = [(s[0], name[1], at + (name[0] << 32), s) for name, state in self.blocks.items() for at, s in enumerate(state)]
+        repeat = lambda values: np.repeat(np.array(values, dtype=np.int64), [len(o[3][1]) for o in out])
+        flat = lambda i, kind: np.concatenate([o[3][i] for o in out]).astype(kind) if out else np.zeros(0, kind)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(repeat([o[0] for o in out])), pa.array(repeat([o[1] for o in out])), pa.array(repeat([o[2] for o in out])),
+                pa.array(flat(1, np.int64)), pa.array(flat(2, np.int64)), pa.array(flat(3, bool)),
+            ],
+            names=["query_id", "q_block", "q_row", "vec_id", "score", "under"],
+        )
+
+
 def _search(batches):
+    wave = _Wave()
     for batch in batches:
-        for row in batch.to_pylist():
-            dims = row["dims"]
-            read = lambda name, kind: np.frombuffer(row[name], dtype=kind)  # noqa: E731, B023
-            q_ids, ids = read("q_ids", "<i8"), read("ids", "<i8")
-            whole = lambda name, n: read(name, f"<i{len(row[name]) // (n * dims)}").reshape(n, dims)  # noqa: E731, B023
-            q, v = whole("q_v", len(q_ids)), whole("v", len(ids))
-            out_q, out_row, out_id, out_score, out_under = [], [], [], [], []
-            for at, found, scores, under in search_any(q_ids, q, read("q_t", "<f8").reshape(-1, PIVOTS), ids, v, read("t", "<f8").reshape(-1, PIVOTS)):
-                out_q += [q_ids[at]] * len(found)
-                out_row += [at] * len(found)
-                out_id.append(found)
-                out_score.append(scores)
-                out_under.append(under)
-            flat = lambda parts, kind=np.int64: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.array(out_q, dtype=np.int64)), pa.array(np.full(len(out_q), row["q_block"], dtype=np.int64)),
-                    pa.array(np.array(out_row, dtype=np.int64)), pa.array(flat(out_id)), pa.array(flat(out_score)), pa.array(flat(out_under, bool)),
-                ],
-                names=["query_id", "q_block", "q_row", "vec_id", "score", "under"],
-            )
+        for at in range(batch.num_rows):  # a pair of blocks at a time
+            wave.add(batch.slice(at, 1).to_pylist()[0])
+    yield wave.rows()
 
 
 def top_k(vectors: DataFrame) -> DataFrame:
     """query_id, rank, vec_id and score: the best K of every vector whose id EVERY divides."""
     rows = stage(scaled(vectors), "scaled")
     is_query = F.col("vec_id") % EVERY == 0
-    counts = rows.agg(F.count("*").alias("all"), F.count_if(is_query).alias("queries")).first()
+    counts = rows.agg(F.count("*").alias("all"), F.count_if(is_query).alias("queries"), F.max(F.size("v")).alias("dims")).first()
+    pivot = data_pivots(rows)
     names = {"block": "q_block", "ids": "q_ids", "v": "q_v", "t": "q_t"}
-    blocks = stage(packed(rows, counts["all"]), "blocks")
-    queries = stage(packed(rows.where(is_query), counts["queries"]).withColumnsRenamed(names), "query-blocks")
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = queries.join(blocks, "dims").repartition(parts, "q_block", "block")
-    found = units.select("dims", "q_block", "q_ids", "q_v", "q_t", "ids", "v", "t").mapInArrow(
-        _search, "query_id bigint, q_block bigint, q_row bigint, vec_id bigint, score bigint, under boolean"
-    )
-    # a query's partial results are at most K per candidate block
-    best = found.groupBy("query_id", "q_block", "q_row").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("under", F.bitwise_not("score").alias("low"), "vec_id"))), 1, K).alias("best")
-    )
-    score = F.when(F.col("b.under"), F.raise_error(F.lit("a score leaves the long range")).cast("long")).otherwise(F.bitwise_not("b.low"))
-    return best.select("query_id", F.posexplode("best").alias("rank", "b")).select(
-        "query_id", (F.col("rank") + 1).alias("rank"), F.col("b.vec_id").alias("vec_id"), score.alias("score")
-    )
+    blocks = stage(packed(rows, counts["all"], *pivot), "blocks")
+    queries = stage(packed(rows.where(is_query), counts["queries"], *pivot).withColumnsRenamed(names), "query-blocks")
+    size = BLOCK * (8 * (counts["dims"] or 1) + 8 * PIVOTS + 8)
+    per_wave = max(1, WAVE_BYTES // size)
+    last = queries.agg(F.max("q_block")).first()[0]
+    found = []
+    for first in range(0, (last or 0) + 1, per_wave):
+        # at most WAVE_BYTES for the commonest length
+        wave = F.broadcast(queries.where(F.col("q_block").between(first, first + per_wave - 1)))
+        met = blocks.join(wave, "dims").select("dims", "q_block", "q_ids", "q_v", "q_t", "ids", "v", "t")
+        parts = met.mapInArrow(_search, "query_id bigint, q_block bigint, q_row bigint, vec_id bigint, score bigint, under boolean")
+        order = Window.partitionBy("query_id", "q_block", "q_row").orderBy("under", F.desc("score"), "vec_id")
+        found.append(stage(parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= K), "wave"))
+    score = F.when(F.col("under"), F.raise_error(F.lit("a score leaves the long range")).cast("long")).otherwise(F.col("score"))
+    return reduce(DataFrame.unionByName, found).select("query_id", "rank", "vec_id", score.alias("score"))
