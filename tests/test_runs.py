@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.config import LOADED_AT, ROW_HASH, TABLES, RunContext, TableSpec
 from tidemark.functions import exact
 from tidemark.operators import distinct_bitmaps
-from tidemark.plans import gold, pipeline, quality, rebuild, silver
+from tidemark.plans import gold, pipeline, quality, rebuild, registry, silver
 from tidemark.jobs import run_jobs
 from tidemark.sources import star
 from tidemark.sources.files import TableStore
@@ -194,6 +194,28 @@ def test_bitmaps_merge_to_exact_counts(spark):
     assert found == {r[0]: r[1] for r in df.groupBy(F.trunc("d", "month")).agg(F.countDistinct("k")).collect()}
 
 
+# ---- registered checks
+
+
+def test_a_registered_check_shares_the_scan(spark, monkeypatch):
+    monkeypatch.setattr(registry, "CHECKS", dict(registry.CHECKS))
+    tables = {"order_items": star.bronze(spark, FOLDER, "order_items")}
+    limits = spark.createDataFrame([("dear", None, 90_000.0), ("dear", "bronze_orders", 1.0)], registry.LIMITS_DDL)
+    scans = lambda: registry.outcomes(tables, ["order_items"], limits)._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    before, names = scans(), set(registry.CHECKS)
+    registry.register(
+        registry.Check(
+            "dear", lambda df, spec: {"price": F.max("price")} if "price" in df.columns else {},
+            lambda values, limit: [(values["price"] > limit, quality.finding("price", "INFO", F.lit(1), F.format_string("%.0f above %.0f", values["price"], limit)))],
+        )
+    )
+    assert scans() == before
+    rows = {r["check_name"]: r for r in registry.outcomes(tables, ["order_items"], limits).collect()}
+    assert set(rows) == names | {"dear"} and rows["dear"]["findings"][0]["violation_detail"].endswith("above 90000")
+    with pytest.raises(ValueError, match="exists"):
+        registry.register(registry.CHECKS["dear"])
+
+
 # ---- checks in the stream
 
 

@@ -79,6 +79,10 @@ def _outcome(check: str, table: Column | str, rows: Column, findings: Column, er
     )
 
 
+# What checks outside this module are made of.
+finding, findings, outcome = _finding, _findings, _outcome
+
+
 def _age(as_of: str) -> Column:
     """Microseconds between the newest row of a profile and ``as_of``."""
     return F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("latest")

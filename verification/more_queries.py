@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import LOADED_AT, ROW_HASH, TABLES, TableSpec
 from tidemark.functions import exact
 from tidemark.operators import distinct_bitmaps
-from tidemark.plans import bronze, gold, pipeline, quality, rebuild, silver
+from tidemark.plans import bronze, gold, pipeline, quality, rebuild, registry, silver
 from tidemark.session import scratch_path, stage
 from tidemark.sources import star
 from tidemark.sources.files import TableStore, write_csv
@@ -185,12 +185,31 @@ def dq_sample_rows(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("check_name", "table_name", "column_name", F.get_json_object("row", "$._row_hash").alias("row_hash"))
 
 
+def registered_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The registered checks and one more over all tables, with limits from a table."""
+    free = registry.Check(
+        "free_freight",
+        lambda df, spec: {"freight_value": F.count_if(F.col("freight_value") == 0)} if "freight_value" in df.columns else {},
+        lambda values, limit: [(values["freight_value"] > limit, quality.finding("freight_value", "INFO", values["freight_value"], F.lit("items without freight")))],
+    )
+    # the least number of rows is three quarters of the orders, for every table but one
+    orders = star.read(spark, folder, "orders").agg((F.count(F.lit(1)) * 0.75).alias("limit_value"))
+    limits = orders.select(F.lit("least_rows").alias("check_name"), F.lit(None).cast("string").alias("table_name"), "limit_value").unionByName(
+        spark.createDataFrame([("least_rows", "bronze_sellers", 1.0), ("null_share", "bronze_orders", 0.4)], registry.LIMITS_DDL)
+    )
+    tables = {t: star.bronze(spark, folder, t) for t in TABLES}
+    found = registry.outcomes(tables, TABLES, limits, [*registry.CHECKS.values(), free])
+    return found.select("check_name", "table_name", "status", "rows_scanned", F.inline_outer("findings")).select(
+        "check_name", "table_name", "status", "rows_scanned", "column_name", "violation_count"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         money_extremes, dq_outcomes_concurrent, dq_run_records, gold_partial_rebuild, quarantine_split, layer_runs,
         rolling_volume_calendar, finding_spans, monthly_distinct_orders, stream_checks, load_outcomes, sql_views,
-        isolated_failure, dq_sample_rows,
+        isolated_failure, dq_sample_rows, registered_checks,
     )
 }
 GOLD_NAMES = tuple(gold.GOLD)

@@ -55,7 +55,33 @@ def _samples(table: str) -> str:
     return union([repeated, *nulls])
 
 
+def _registered(table: str) -> str:
+    """Outcome rows of the registered checks of one table: a row per finding, or one without."""
+    spec, name = TABLES[table], TABLES[table].bronze
+    share = "0.4" if table == "orders" else "0"
+    least = "1" if table == "sellers" else "(SELECT count(*) * 0.75 FROM orders)"
+    hits = {"null_share": [(c, f"count(*) FILTER ({c} IS NULL)", f"100.0 * v / n > {share}") for c in spec.critical]}
+    if spec.value_columns:
+        hits["negative_share"] = [(c, f"count(*) FILTER ({c} < 0)", "100.0 * v / n > 0") for c in spec.value_columns]
+    hits["least_rows"] = [(None, f"CAST(ceil({least}) AS BIGINT) - count(*)", f"n < {least}")]
+    if table == "order_items":
+        hits["free_freight"] = [("freight_value", "count(*) FILTER (freight_value = 0)", "v > 0")]
+    parts = []
+    for check, rows in hits.items():
+        found = union([
+            f"""SELECT {f"'{c}'" if c else "CAST(NULL AS VARCHAR)"} AS c, CAST(v AS BIGINT) AS v, {hit} AS hit
+                FROM (SELECT count(*) AS n, {value} AS v FROM b_{table})""" for c, value, hit in rows
+        ])
+        parts.append(f"""
+            SELECT '{check}' AS check_name, '{name}' AS table_name, 'FAILED' AS status, (SELECT count(*) FROM b_{table}) AS rows_scanned,
+                   c AS column_name, v AS violation_count FROM ({found}) WHERE hit
+            UNION ALL SELECT '{check}', '{name}', 'PASSED', (SELECT count(*) FROM b_{table}), NULL, NULL
+            FROM (SELECT bool_or(hit) AS any_hit FROM ({found})) WHERE NOT any_hit""")
+    return " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+
+
 QUERIES: dict[str, str] = {
+    "registered_checks": with_tables(union([_registered(t) for t in TABLES]), bronze_tables=EVERY),
     "load_outcomes": f"""
         SELECT 'bronze_orders' AS table_name, 'FAILED' AS load_status, CAST(NULL AS BIGINT) AS rows_loaded, 'critical' AS reason,
                CAST(NULL AS VARCHAR) AS missing_columns, CAST(NULL AS VARCHAR) AS extra_columns, CAST(NULL AS VARCHAR) AS inferred_type
