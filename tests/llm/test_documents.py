@@ -104,6 +104,22 @@ def test_large_groups_split_into_blocks(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == components(list(enumerate(texts)))
 
 
+def test_members_of_one_key_go_to_many_tasks(spark):
+    members = spark.range(30_000).select(F.xxhash64("id").alias("rid"), F.when(F.col("id") < 10_000, F.lit(7)).otherwise(F.col("id")).alias("key"))
+    counts = members.groupBy("key").agg(F.count("*").alias("members"), near_dedup._seats())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for (k, v) in zip(before, ("32", "-1", "false")):
+        spark.conf.set(k, v)
+    try:
+        joined = near_dedup.by_seat(members, counts, "key").withColumn("part", F.spark_partition_id())
+        sizes = {r.part: r["count"] for r in joined.groupBy("part").count().collect()}
+        assert joined.where("key = 7").agg(F.min("members"), F.max("members"), F.count("*")).first() == (10_000, 10_000, 10_000)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes.values()) == 30_000 and max(sizes.values()) < 3_000
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(5)
     for _ in range(300):

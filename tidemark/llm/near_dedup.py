@@ -13,7 +13,14 @@ Candidates. Equal sets are one node from the start. In each table key the member
 most others is its hub; members are first compared with the hub only. What stays in different
 components within a key is then compared pair by pair in blocks, where parity bitmaps give an
 upper bound of the overlap that loses no link; only pairs that pass it are confirmed. So a
-group of thousands of copies costs rows in proportion, and no pair is left out.
+group of thousands of copies costs rows in proportion, and no pair is left out. A table key or
+component may hold a third of all documents: what is counted for it combines before the shuffle
+and comes back by key and seat (``SEATS`` of them, dealt by the document's name), so its members
+never meet in one task.
+
+Long texts. A text is hashed whole by one task; memory grows with its words (about 40 bytes each).
+Columns other than doc_id and text take no part, whatever their names; ``kept_documents`` returns
+them unchanged. An empty table gives an empty result.
 
 Nulls and repeats. A null text has no words. A null doc_id takes part, but never names a
 component; a component of such rows only has a null component_id and is kept. Each row is a
@@ -27,7 +34,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, stage, worker_cache
@@ -40,6 +47,8 @@ BLOCK = 1024
 #: by a shuffle of the texts.
 BROADCAST_ROWS = 1 << 20
 NUMERATOR, DENOMINATOR = 80, 100
+#: Parts into which the members of one key are dealt in joins by key; bits of a long.
+SEATS = 64
 #: Word hashes kept per task; the cache is emptied when full, which changes no result.
 CACHE = 1 << 18
 _MASK48 = (1 << 48) - 1
@@ -196,6 +205,26 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_rows(full.select("a", "b", "sa", "sb"), _verifier, "a bigint, b bigint", rows=200)
 
 
+def _seat() -> Column:
+    return F.pmod(F.xxhash64("rid"), F.lit(SEATS)).cast("int")
+
+
+def _seats() -> Column:
+    """Aggregate: the seats that the rows of a group take, as bits of a long."""
+    return F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _seat())).alias("seats")
+
+
+def by_seat(rows: DataFrame, found: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``rows`` joined with one row a key, which holds ``_seats()``, on key and seat.
+
+    An aggregate joined back on its own key cannot be split when a key dominates; here each of the
+    seats of a key is a join key of its own.
+    """
+    taken = F.filter(F.sequence(F.lit(0), F.lit(SEATS - 1)), lambda i: F.bit_get("seats", i) == 1)
+    dealt = found.withColumn("seat", F.explode(taken)).drop("seats")
+    return rows.withColumn("seat", _seat()).join(dealt, [key, "seat"], how).drop("seat")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(rid, label): the smallest name reachable, by alternating large and small stars.
 
@@ -292,8 +321,8 @@ def with_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     known = stage(sketches(docs, width), "sketches")
     nodes = stage(
         known.where("n > 0").groupBy("f1", "f2").agg(
-            F.min("rid").alias("rid"), F.min_by(F.struct("n", "u", "v", "bits"), "rid").alias("s")
-        ).select("rid", "f1", "f2", "s.*"),
+            F.min("rid").alias("rid"), F.min_by(F.struct("n", "u", "v", "bits"), "rid").alias("s"), F.min("doc_id").alias("least_id")
+        ).select("rid", "f1", "f2", "s.*", "least_id"),
         "nodes",
     )
     keys = nodes.select(
@@ -302,13 +331,13 @@ def with_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             F.flatten(F.transform("u", lambda x: F.transform("v", lambda y: x.bitwiseXOR(y))))
         ).alias("key"),
     )
-    shared = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(keys.join(shared, "key"), "members")
+    shared = keys.groupBy("key").agg(F.count("*").alias("members"), _seats()).where("members > 1")
+    members = stage(by_seat(keys, shared, "key"), "members")
     degrees = members.groupBy("rid").agg(F.sum("members").alias("degree"))
     ranked = members.join(degrees, "rid")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", F.col("rid").alias("hub"))).alias("h")).select("key", "h.hub")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", F.col("rid").alias("hub"))).alias("h"), _seats()).select("key", "h.hub", "seats")
     stars = stage(
-        members.join(hubs, "key").where("rid <> hub")
+        by_seat(members, hubs, "key").where("rid <> hub")
         .select(F.least("rid", "hub").alias("a"), F.greatest("rid", "hub").alias("b")).distinct(),
         "stars",
     )
@@ -323,11 +352,11 @@ def with_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     label = components(links)
 
     labelled = members.where("members > 2").join(label, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
+    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), _seats()).where("lo <> hi")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
     dealt = (
-        labelled.join(open_keys, "key", "left_semi")
+        by_seat(labelled, open_keys.select("key", "seats"), "key", "left_semi")
         .join(nodes.select("rid", "n", "u", "v", "bits"), "rid")
         .withColumn("blocks", blocks).withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -338,10 +367,10 @@ def with_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     if not more_links.isEmpty():
         label = components(links.unionByName(more_links))
 
-    root = nodes.select("f1", "f2", "rid").join(label, "rid", "left").select("f1", "f2", F.coalesce("label", "rid").alias("root"))
-    placed = known.where("n > 0").select("rid", "doc_id", "n", "f1", "f2").join(root, ["f1", "f2"])
-    lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    linked = placed.join(lowest, "root").select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rooted = nodes.select("rid", "f1", "f2", "least_id").join(label, "rid", "left").withColumn("root", F.coalesce("label", "rid"))
+    lowest = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), _seats())
+    named = by_seat(rooted, lowest, "root").select("f1", "f2", "component_id")
+    linked = known.where("n > 0").join(named, ["f1", "f2"]).select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = known.where("n = 0").select("rid", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
