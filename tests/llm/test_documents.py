@@ -221,6 +221,21 @@ def test_document_rules(spark, odd):
     assert sorted(((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in found), key=str) == expected
 
 
+def test_a_host_that_departs_from_the_others_is_rejected(spark):
+    good, bad = " ".join(f"w{i}" for i in range(30)), "short"
+    texts, hosts = [], []
+    for number in range(20):  # 19 hosts with 10 % failures, one with 45 %, one of two documents that both fail
+        for i in range(100):
+            texts.append(bad if i < (45 if number == 0 else 10) else good)
+            hosts.append(f"h{number}")
+    texts, hosts = texts + [bad, bad], hosts + ["tiny", "tiny"]
+    docs = spark.createDataFrame(rows(texts, lambda i: hosts[i]), SCHEMA)
+    verdicts = {r.host: r.rejected for r in host_rules.host_verdicts(host_rules.document_rules(docs)).collect()}
+    assert [h for h, rejected in verdicts.items() if rejected] == ["h0"]
+    kept = {r.doc_id for r in host_rules.judged(docs).where("kept").collect()}
+    assert kept == {i for i, (t, h) in enumerate(zip(texts, hosts)) if t == good and h != "h0"}
+
+
 def test_host_verdicts_are_shrunk(spark):
     good, bad = SENTENCE, "short"
     texts = [bad] * 200 + [good] * 600 + [bad]

@@ -2,12 +2,16 @@
 
 Words are runs without ASCII white space. A document fails by itself with under 20 words or with
 more than 30 % of its words inside 8-word windows that occur twice or more in it. Failures are
-counted by host, the hosts' rates give a beta prior by the method of moments, and a host whose
-shrunk rate exceeds ``LIMIT`` is rejected with all its documents. A host with few documents thus
-needs more evidence than its own rate.
+counted by host, the hosts' rates give a beta prior by the method of moments, and a host is
+rejected with all its documents when its shrunk rate exceeds ``LIMIT``, or exceeds ``FLOOR`` and
+lies more than ``DEVIATIONS`` standard deviations of that prior above its mean. A host with few
+documents thus needs more evidence than its own rate, and a host that is merely the worst of many
+like ones stays.
 
 Nulls and repeats. A null text has no words and fails. A null host is a host of its own. Each row
-counts, repeated rows too. An empty table gives an empty result.
+counts, repeated rows too. An empty table gives an empty result. A text of any length is measured
+whole in one task, with memory in proportion to its words. Columns other than doc_id, text and the
+host's take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,8 +25,10 @@ from tidemark.llm.common import map_rows, stage
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-#: A host is rejected above this shrunk rate of failing documents.
-LIMIT = 0.75
+#: A host is rejected above LIMIT, and above FLOOR if it also departs from the other hosts.
+LIMIT = 0.5
+FLOOR = 0.3
+DEVIATIONS = 2.0
 SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\x0b\x0c\r"
 _CONTINUATION = bytes(range(0x80, 0xC0))
@@ -89,7 +95,7 @@ def host_verdicts(rules: DataFrame) -> DataFrame:
 
     The prior's mean is the pooled rate m; its weight s follows from the variance v of the hosts'
     rates beyond binomial noise: s = m (1 - m) / v - 1, at least 1. Without such variance every
-    host gets the pooled rate.
+    host gets the pooled rate. The prior's standard deviation is sqrt(m (1 - m) / (s + 1)).
     """
     hosts = rules.groupBy("host").agg(
         F.count("*").alias("docs"), F.sum(F.col("base_failed").cast("long")).alias("failures")
@@ -109,7 +115,9 @@ def host_verdicts(rules: DataFrame) -> DataFrame:
     mean = prior["m"] if prior["m"] is not None else 0.0
     weight = prior["s"]
     shrunk = F.lit(mean) if weight is None else (F.col("failures") + mean * weight) / (F.col("docs") + weight)
-    return hosts.withColumn("rate", shrunk).withColumn("rejected", F.col("rate") > LIMIT)
+    deviation = 0.0 if weight is None else (mean * (1 - mean) / (weight + 1)) ** 0.5
+    limit = min(LIMIT, max(FLOOR, mean + DEVIATIONS * deviation))
+    return hosts.withColumn("rate", shrunk).withColumn("rejected", F.col("rate") > limit)
 
 
 def judged(docs: DataFrame, host: str = "source") -> DataFrame:

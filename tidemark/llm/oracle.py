@@ -27,7 +27,8 @@ prior AS (
   SELECT p, CASE WHEN sq - p * p > p * (1 - p) * share
     THEN greatest(1.0, p * (1 - p) / (sq - p * p - p * (1 - p) * share) - 1) END AS s FROM pool
 ),
-bad AS (SELECT source FROM hosts, prior WHERE CASE WHEN s IS NULL THEN p ELSE (k + p * s) / (n + s) END > 0.75)
+bad AS (SELECT source FROM hosts, prior WHERE CASE WHEN s IS NULL THEN p ELSE (k + p * s) / (n + s) END
+  > least(0.5, greatest(0.3, p + CASE WHEN s IS NULL THEN 0 ELSE 2 * sqrt(p * (1 - p) / (s + 1)) END)))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (SELECT 1 FROM bad WHERE bad.source IS NOT DISTINCT FROM f.source) AS kept
 FROM f
