@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -44,14 +45,14 @@ CACHE = 1 << 18
 _EDGES = ".,;:!?#%&*$|<>()[]{}\"'`"
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed features of one lower-cased word."""
+def word_features(word: str) -> array:
+    """Hashed features of one lower-cased word, four bytes each."""
     word = word.strip(_EDGES)
     if not word:
-        return []
+        return array("i")
     framed = f"#{word}#"
     grams = {framed, *(framed[i : i + 5] for i in range(len(framed) - 4))}
-    return [zlib.crc32(g.encode()) & ((1 << BITS) - 1) for g in grams]
+    return array("i", [zlib.crc32(g.encode()) & ((1 << BITS) - 1) for g in grams])
 
 
 def pu_gradient(z: np.ndarray, positive: np.ndarray, prior: float) -> np.ndarray:
@@ -85,7 +86,7 @@ def train(features: list[np.ndarray], positive: np.ndarray, prior: float, size:
     return w[:-1], float(w[-1])
 
 
-def document_features(text: str | None, known: dict[str, list[int]]) -> set[int]:
+def document_features(text: str | None, known: dict[str, array]) -> set[int]:
     out: set[int] = set()
     if len(known) > CACHE:
         known.clear()
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     sample = rows.join(chosen, "key").dropDuplicates(["kind", "key"]).select("kind", F.col("key").alias("doc_id"), "text")
 
     def featuriser():
-        known: dict[str, list[int]] = {}
+        known: dict[str, array] = worker_cache("toxicity-features", dict)
 
         def work(columns: list) -> list:
             found = [np.sort(np.fromiter(document_features(t, known), dtype="<i4")).tobytes() for t in columns[2]]

@@ -38,7 +38,7 @@ META = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Best paths of short parts kept per task; emptied when full.
-CACHE, CACHED_LENGTH = 1 << 19, 64
+CACHE, CACHED_LENGTH = 1 << 18, 64
 INFINITY = float("inf")
 
 
