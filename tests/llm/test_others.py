@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import feistel_pii, near_dedup, pivot_search, url_filter
+from tidemark.llm import feistel_pii, mixing, near_dedup, pivot_search, url_filter
 
 # ---- pseudonyms
 
@@ -138,6 +138,22 @@ def test_very_long_values(pseudonyms):
     assert out[0].endswith(texts[0][4:]) and len(out[1]) == len(texts[1]) and out[2:] == texts[2:]
 
 
+def test_a_column_finds_gives_way_and_empty_tables(spark):
+    docs = spark.createDataFrame([(1, "old", "write ab@c.org"), (2, None, None)], "doc_id long, finds string, text string")
+    out = feistel_pii.pseudonymised(docs, "k")
+    assert out.columns == ["doc_id", "text", "finds"]
+    assert [r.finds for r in out.orderBy("doc_id").collect()] == [["mail"], []]
+    assert feistel_pii.pseudonymised(docs.limit(0), "k").count() == 0
+
+
+def test_mixed_texts_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(i, "a", "one two", "kept", i) for i in range(6)], "doc_id long, source string, text string, size string, pos long")
+    out = mixing.mixed_texts(docs)
+    assert out.columns == docs.columns and out.count() == 6
+    assert all(r["size"] == "kept" and r["pos"] == r["doc_id"] for r in out.collect())
+    assert mixing.mixed_texts(docs.limit(0)).count() == 0
+
+
 def test_days_are_permuted_exactly(spark):
     days = spark.range(73049).selectExpr("id AS doc_id", "CAST(date_add(DATE'1900-01-01', CAST(id AS INT)) AS STRING) AS text")
     out = feistel_pii.pseudonymised(days, "k")

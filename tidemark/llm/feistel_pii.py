@@ -21,7 +21,8 @@ a number is linked across styles. Candidates that do not validate stay as they a
 All in DataFrame expressions: no Python runs on the executors.
 
 Nulls and repeats. A null text stays null with no finds. Rows are independent; a text without
-finds is returned as it is.
+finds is returned as it is. Very long texts are searched whole, one row at a time. Other columns may
+have any name; a column called finds gives way to the new one. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -300,7 +301,11 @@ def replaced(match: Column, key: str) -> Column:
 
 
 def pseudonymised(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """All rows and columns with pseudonyms in ``text``, and ``finds``: the kinds in text order."""
+    """All rows and columns with pseudonyms in ``text``, and ``finds``: the kinds in text order.
+
+    A column ``finds`` of the input gives way to the new one.
+    """
+    docs = docs.drop("finds")
     names = [f"_p{i}" for i in range(len(docs.columns))]
     inner = docs.toDF(*names)
     text = F.col(names[docs.columns.index("text")]).cast("string")

@@ -20,7 +20,8 @@ and a word shuffles once per chunk instead of once per use.
 
 Nulls and repeats. A null or empty text is one end token. A null doc_id is not held out. Repeated
 rows count and are scored each. An empty table gives no rows; without training tokens both models
-know one unseen token.
+know one unseen token. Very long texts are scored whole; the forward values kept for one grow with its
+tokens. Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations

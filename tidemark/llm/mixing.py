@@ -13,6 +13,8 @@ with a third of all rows is split like any other, and sources are numbered by a
 
 Nulls and repeats. A null source is one source. Keys are hashes of id and text, so rows that repeat
 a doc_id, or have none, are ordered like others; rows equal in both are interchangeable, so reruns agree. A source without words has the target 0.
+Very long texts are counted whole. Columns other than doc_id, source, text and n_chars may have any name and are kept
+as they are. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ of it and not reported.
 
 The join runs per text over sorted intervals with one binary search a part, so one text with very
 many parts is no hot key. A null text is empty. Rows are independent, so repeated
-rows give repeated results and an empty table an empty one.
+rows give repeated results and an empty table an empty one. A very long text is searched whole in one
+task, with memory in proportion to its length. Columns other than doc_id, text and n_chars may have any name.
 """
 
 from __future__ import annotations
