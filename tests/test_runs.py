@@ -61,6 +61,17 @@ def test_half_up_ratio(spark, n, d):
     assert row["x"] == Decimal((1 if n >= 0 else -1) * (exactly.numerator // exactly.denominator)).scaleb(-2)
 
 
+def test_large_totals_with_many_places(spark):
+    rows = spark.range(600_000).select(F.when(F.col("id") % 2 == 0, F.lit(12345678901234568.0)).otherwise(F.lit(0.1234567)).alias("a"))
+    total = rows.agg(exact.amount(F.sum(exact.money("a")), 7).alias("t")).first()["t"]
+    assert Fraction(total) == 300_000 * (12345678901234568 + Fraction("0.1234567"))
+    units = [10**33 + 7, -(10**36) - 1500, 10**38 - 10**20, 999_999_999_999, -499, -500]
+    df = spark.createDataFrame([(Decimal(u),) for u in units], "u decimal(38,0)")
+    for row in df.select("u", exact.amount(F.col("u"), 7).alias("x")).collect():
+        u = int(row["u"])
+        assert Fraction(row["x"]) == Fraction((1 if u > 0 else -1) * ((abs(u) + 500) // 1000), 10**7)
+
+
 # ---- records of runs
 
 

@@ -23,7 +23,7 @@ DEGREES = DecimalType(18, 14)
 
 
 def money(name: str) -> Column:
-    """A money column in whole units, as a decimal so that no sum of it can overflow.
+    """A money column in whole units, as a decimal whose sums hold totals below 1e28.
 
     The digits of the input are kept to ten places: a double stands for the shortest decimal that
     reads as it. NaN and amounts from 1e24 on are no amounts: they are null here, and
@@ -57,18 +57,26 @@ def amount(units: Column, places: int = 2) -> Column:
 def half_up_ratio(numerator: Column, denominator: Column, places: int, scale: int = 0) -> Column:
     """``numerator / denominator`` rounded half up to ``places``, without an inexact quotient.
 
-    Works on integers: ``(2·|n|·10^places + |d|) div (2·|d|)``. A zero denominator gives null.
+    Works on integers: the whole part and ``(2·rest·10^places + |d|) div (2·|d|)`` for the places, so
+    a total up to the 38 digits of a sum is never multiplied itself. A zero denominator gives null.
     ``scale`` is the number of decimal digits both inputs may carry.
     """
-    wide = DecimalType(34, scale)
+    wide = DecimalType(34 if scale else 38, scale)
     n = numerator.try_cast(wide)
     d = denominator.cast(wide)
-    doubled = F.abs(n) * F.lit(Decimal(2 * 10**places)) + F.abs(d)
-    divisor = F.nullif(F.abs(d) * F.lit(Decimal(2)), F.lit(Decimal(0)))
-    # ``div`` gives a BIGINT, which large totals leave; a division without remainder does not
-    quotient = F.call_function("div", doubled, divisor) if scale else (doubled - doubled % divisor) / divisor
-    signed = F.when((n < 0) != (d < 0), -quotient).otherwise(quotient)
-    return (signed.try_cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-places))).cast(DecimalType(30, places))
+    divisor = F.nullif(F.abs(d), F.lit(Decimal(0)))
+    step, steps = F.lit(Decimal(1).scaleb(-places)), F.lit(Decimal(2 * 10**places))
+    if scale:
+        doubled = F.abs(n) * steps + F.abs(d)
+        size = F.call_function("div", doubled, divisor * F.lit(Decimal(2))).try_cast("decimal(28,0)") * step
+    else:
+        # ``div`` gives a BIGINT, which large totals leave; a division without remainder does not
+        rest = F.abs(n) % divisor
+        whole = F.try_divide(F.abs(n) - rest, divisor).try_cast("decimal(28,0)")
+        doubled, twice = rest * steps + divisor, divisor * F.lit(Decimal(2))
+        size = whole + ((doubled - doubled % twice) / twice).cast(DecimalType(places + 1, 0)) * step
+    signed = F.when((n < 0) != (d < 0), -size).otherwise(size)
+    return signed.cast(DecimalType(max(30, 28 + places), places))
 
 
 def mean(total: Column, count: Column, places: int, scale: int = 0) -> Column:
