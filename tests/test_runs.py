@@ -205,6 +205,20 @@ def test_bitmaps_merge_to_exact_counts(spark):
     assert found == {r[0]: r[1] for r in df.groupBy(F.trunc("d", "month")).agg(F.countDistinct("k")).collect()}
 
 
+def test_bitmaps_of_far_ids_are_small_and_need_no_sort(spark):
+    df = spark.range(4_000).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN 77 ELSE id * 1000003 - 2000000000 END AS k", "date_add(date'2024-01-01', cast(id % 50 AS int)) AS d",
+        "CASE WHEN id % 3 > 0 THEN concat('f', id % 3) END AS f",
+    )
+    daily = distinct_bitmaps.daily_bitmaps(df, F.col("d"), "k", "f")
+    over = distinct_bitmaps.distinct_over(daily, F.trunc("day", "month"), ["f"])
+    # eight bytes a bitmap, and no more of them than there are ids; one of 32,768 numbers takes 4,096 bytes
+    assert daily.schema["ids"].dataType.simpleString() == "bigint" and daily.count() <= df.distinct().count()
+    assert "SortAggregate" not in over._jdf.queryExecution().executedPlan().toString()
+    found = {(r["f"], r["period"]): r["distinct_ids"] for r in over.collect()}
+    assert found == {(r[0], r[1]): r[2] for r in df.groupBy("f", F.trunc("d", "month")).agg(F.countDistinct("k")).collect()}
+
+
 # ---- registered checks
 
 
