@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,15 @@ def test_only_a_missing_path_is_a_missing_table(store, spark):
     store.append_new(rows, "quality", "things", "k")
     store.append_new(rows.unionByName(spark.createDataFrame([("c", 3)], "k string, n int")), "quality", "things", "k")
     assert sorted(r["k"] for r in store.read("quality", "things").collect()) == ["a", "b", "c"]
+
+
+def test_tables_load_side_by_side(spark, store, monkeypatch):
+    met = threading.Barrier(2)
+
+    def load(store, spec, path, ctx, write_mode):
+        met.wait(20)  # breaks when tables wait for each other
+        return "PARTIAL" if spec.name == "orders" else "SUCCESS"
+
+    monkeypatch.setattr(bronze, "load_table", load)
+    statuses = bronze.load_all(store, "/nowhere", ctx())
+    assert list(statuses) == [spec.bronze for spec in TABLES.values()] and statuses["bronze_orders"] == "PARTIAL"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from collections.abc import Iterable
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import LOADED_AT, METADATA_COLUMNS, ROW_HASH, SOURCE_FILE, TABLES, VERSION, RunContext, TableSpec
 from tidemark.functions.clean import row_hash, row_hash_strict
+from tidemark.jobs import run_jobs
 from tidemark.operators import drift
 from tidemark.plans import audit
 from tidemark.sources.files import TableStore, read_csv
@@ -18,6 +20,8 @@ from tidemark.sources.schemas import SOURCE_DDL, source_schema
 
 log = logging.getLogger(__name__)
 AUDIT_TABLE = "bronze_ingestion_audit"
+#: Two commits to one folder of files would remove each other's unfinished files.
+_ONE_COMMIT = threading.Lock()
 
 
 class CriticalColumnsMissing(ValueError):
@@ -104,7 +108,8 @@ def load_table(
         row = audit.audit_row(
             spark, ctx, spec, status, load_id, write_mode, source_file, rows, report, error
         )
-        store.append(row.coalesce(1), "audit", AUDIT_TABLE)
+        with _ONE_COMMIT:
+            store.append(row.coalesce(1), "audit", AUDIT_TABLE)
     except Exception as failure:  # the log must not turn a good load into a failed one
         log.critical("audit row for %s not written: %s", spec.bronze, failure)
     return status
@@ -117,13 +122,22 @@ def load_all(
     write_mode: str = "overwrite",
     tables: Iterable[str] = TABLES,
 ) -> dict[str, str]:
-    """Load every table, going on past failures. Returns the status per bronze table."""
-    return {
-        TABLES[table].bronze: load_table(
-            store, TABLES[table], f"{source_folder}/{TABLES[table].source_file()}", ctx, write_mode
+    """Load every table, going on past failures. Returns the status per bronze table.
+
+    Tables are loaded side by side, so the last tasks of one do not hold up the others.
+    """
+    loads = {
+        TABLES[table].bronze: lambda spec=TABLES[table]: load_table(
+            store, spec, f"{source_folder}/{spec.source_file()}", ctx, write_mode
         )
         for table in tables
     }
+    statuses = {}
+    for load in run_jobs(store.spark, loads):
+        if load.failure is not None:
+            raise load.failure
+        statuses[load.name] = load.value
+    return statuses
 
 
 def read_audit(store: TableStore) -> DataFrame:

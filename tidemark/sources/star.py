@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.config import LOADED_AT, ROW_HASH, SOURCE_FILE, TABLES, VERSION
 from tidemark.functions.clean import row_hash
+from tidemark.jobs import run_jobs
+from tidemark.sources.files import write_csv
 from tidemark.sources.schemas import source_columns
 
 LOAD_INSTANT = "2024-01-31 06:00:00"
@@ -176,6 +178,17 @@ def source(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return df.selectExpr(*[f"{expression} AS {name}" for name, expression in columns.items()])
 
 
+def export(spark: SparkSession, folder: str, target: str) -> None:
+    """All source tables as CSV files, written side by side."""
+    writes = {
+        table: lambda table=table, spec=spec: write_csv(source(spark, folder, table), f"{target}/{spec.source_file()}")
+        for table, spec in TABLES.items()
+    }
+    for write in run_jobs(spark, writes):
+        if write.failure is not None:
+            raise write.failure
+
+
 def bronze(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """One bronze table: the source table with load metadata from three daily batches."""
     first = source_columns(table)[0]

@@ -84,8 +84,7 @@ def quarantine_split(spark: SparkSession, folder: str) -> DataFrame:
 def layer_runs(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files loaded, all silver tables cleaned with quarantine, all KPIs built: the status rows."""
     files, store = scratch_path(spark, "csv"), _store(spark)
-    for table, spec in TABLES.items():
-        write_csv(star.source(spark, folder, table), f"{files}/{spec.source_file()}")
+    star.export(spark, folder, files)
     bronze.load_all(store, files, CONTEXT)
     layers = {"silver": pipeline.run_silver(store, quarantine=True), "gold": pipeline.run_gold(store)}
     return reduce(

@@ -144,8 +144,7 @@ def load_status(spark: SparkSession, folder: str) -> DataFrame:
 def bronze_load_audit(spark: SparkSession, folder: str) -> DataFrame:
     """All tables exported as CSV, loaded into bronze, and the audit log of that."""
     files, store = scratch_path(spark, "csv"), TableStore(spark, scratch_path(spark, "store"))
-    for table, spec in TABLES.items():
-        write_csv(star.source(spark, folder, table), f"{files}/{spec.source_file()}")
+    star.export(spark, folder, files)
     bronze.load_all(store, files, CONTEXT)
     return bronze.read_audit(store).select("table_name", "load_status", "rows_loaded", "rows_expected_min")
 
