@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,6 +286,21 @@ def test_only_a_missing_path_is_a_missing_table(store, spark):
     assert sorted(r["k"] for r in store.read("quality", "things").collect()) == ["a", "b", "c"]
 
 
+def test_stored_files_are_packed(spark, store, tmp_path):
+    rows = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("h"), F.concat(F.lit(" a,\"b\" "), F.col("id")).alias("t"))
+    size = lambda path: sum(p.stat().st_size for p in Path(path).rglob("part-*"))
+    hashes = rows.select("h").coalesce(1)
+    store.write_load(hashes, "bronze_h", "l1")
+    store.overwrite(hashes, "silver", "h")
+    # 32 hexadecimal digits are 16 bytes
+    assert size(store.path("bronze", "bronze_h")) < 24 * 40_000 and size(store.path("silver", "h")) < 24 * 40_000
+    path = str(tmp_path / "packed.csv")
+    write_csv(rows, path)
+    assert size(path) < 36 * 40_000  # 50 bytes a row and more as plain text
+    back = read_csv(spark, path, multiline=False)
+    assert back.columns == rows.columns and back.exceptAll(rows).isEmpty() and back.count() == 40_000
+
+
 def test_tables_load_side_by_side(spark, store, monkeypatch):
     met = threading.Barrier(2)
 

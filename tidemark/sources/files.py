@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -15,6 +15,10 @@ from tidemark.sources.schemas import PLATFORM_DDL
 
 # ---- Fixed values: dialect of the source files -------------------------------------------
 CSV_DIALECT = {"header": "true", "encoding": "UTF-8", "escape": '"', "nullValue": ""}
+# ---- Fixed values: how files are packed. A packed CSV file is read by one task, so it has few rows.
+CSV_PACKING = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
+#: Row hashes are hexadecimal text, which snappy leaves at one byte a digit.
+PARQUET_CODEC = "zstd"
 
 
 def read_csv(
@@ -45,8 +49,8 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write in the same dialect, keeping surrounding spaces."""
-    options = dict(CSV_DIALECT) | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    """Write packed files in the same dialect, keeping surrounding spaces."""
+    options = CSV_DIALECT | CSV_PACKING | {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
     df.write.options(**options).csv(path)
 
 
@@ -71,6 +75,11 @@ class TableStore:
             reader = reader.schema(StructType.fromDDL(PLATFORM_DDL[name]))
         return reader.load(self.path(layer, name))
 
+    def _writer(self, df: DataFrame, table_format: str | None = None) -> DataFrameWriter:
+        kind = table_format or self.table_format
+        writer = df.write.format(kind)
+        return writer.option("compression", PARQUET_CODEC) if kind == "parquet" else writer
+
     def overwrite(self, df: DataFrame, layer: str, name: str) -> None:
         """Replace a table. Files are complete before they take the old ones' place."""
         path = self.path(layer, name)
@@ -78,7 +87,7 @@ class TableStore:
             df.write.format("delta").mode("overwrite").option("overwriteSchema", "true").save(path)
             return
         fresh = self._fresh(path)
-        df.write.format(self.table_format).save(fresh)
+        self._writer(df).save(fresh)
         self._publish(fresh, path)
 
     def _fresh(self, path: str) -> str:
@@ -104,7 +113,7 @@ class TableStore:
         The table lies in a folder per key, so nothing of it is read and other keys are not touched;
         two runs with different keys can write at the same time.
         """
-        df.coalesce(1).write.format(self.table_format).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        self._writer(df.coalesce(1)).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             *key
         ).save(self.path(layer, name))
 
@@ -121,7 +130,7 @@ class TableStore:
         published after the write.
         """
         fresh = self._fresh(self.path(rest_layer, name))
-        df.write.format("parquet").partitionBy(by).save(fresh)
+        self._writer(df, "parquet").partitionBy(by).save(fresh)
         part = f"{fresh}/{by}={kept}"
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         files = hadoop(part).getFileSystem(self.spark._jsc.hadoopConfiguration())
@@ -136,7 +145,7 @@ class TableStore:
             self.overwrite(df.limit(0), rest_layer, name)
 
     def append(self, df: DataFrame, layer: str, name: str) -> None:
-        writer = df.write.format(self.table_format).mode("append")
+        writer = self._writer(df).mode("append")
         if self.table_format == "delta":
             writer = writer.option("mergeSchema", "true")
         writer.save(self.path(layer, name))
@@ -158,7 +167,7 @@ class TableStore:
 
     def write_load(self, df: DataFrame, name: str, load_id: str) -> None:
         """Write one load; it stays invisible until the audit log lists it."""
-        df.write.format(self.table_format).mode("overwrite").save(f"{self.path('bronze', name)}/load_id={load_id}")
+        self._writer(df).mode("overwrite").save(f"{self.path('bronze', name)}/load_id={load_id}")
 
     def read_loads(self, name: str, load_ids: list[str]) -> DataFrame:
         """Exactly these loads of a bronze table, without the folder column."""
