@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import re
 import uuid
+from pathlib import Path
 
 import pytest
 
-from tidemark.plans import gold, silver
-from tidemark.plans.bucketed import FACTS, BucketedSilver, write_bucketed
+from tests.test_gold import both
+from tidemark.config import TABLES
+from tidemark.plans import bucketed, gold, pipeline, silver
+from tidemark.plans.bucketed import FACTS, BucketedSilver, GoldFacts, write_bucketed
 from tidemark.sources import star
+from tidemark.sources.files import TableStore
 
 KPIS = ("gold_daily_revenue", "gold_revenue_by_category", "gold_customer_satisfaction", "gold_seller_performance")
 FOLDER = "/root/testdata/sf0.001"
@@ -56,3 +60,50 @@ def test_one_file_a_bucket_and_replacement(spark, tmp_path):
 
 def test_categorised_items_are_a_fact(tables):
     assert gold.CATEGORISED in FACTS and gold.CATEGORISED in set(tables[1]) and len(tables[1]) == len(set(tables[1]))
+
+
+def stored(spark, tmp_path, *tables):
+    """A store with silver tables of random rows: repeated, dangling and hot keys."""
+    store = TableStore(spark, str(tmp_path / "store"))
+    frames, _ = both(spark, 5, hot=True)
+    for table in tables or TABLES:
+        store.overwrite(frames[table], "silver", TABLES[table].silver)
+    return store
+
+
+def test_a_run_of_all_kpis_deals_no_fact_by_order(spark, conf, tmp_path, monkeypatch):
+    """Facts are written in buckets once; before, every KPI shuffled the facts it joins by order."""
+    conf(**{"spark__sql__autoBroadcastJoinThreshold": "-1"})
+    store, plans, real, ranked = stored(spark, tmp_path), {}, TableStore.overwrite, gold.rank_by_total
+    monkeypatch.setattr(TableStore, "overwrite", lambda self, df, layer, name: (plans.update({name: plan_of(df)}), real(self, df, layer, name))[1])
+    monkeypatch.setattr(gold, "rank_by_total", lambda df, *a: (plans.update(ranked=plan_of(df)), ranked(df, *a))[1])
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 20)  # several buckets
+    report = {r["table_name"]: r for r in pipeline.run_gold(store).collect()}
+    assert {r["status"] for r in report.values()} == {"SUCCESS"} and set(report) == set(gold.GOLD)
+    for plan in (plans[name] for name in (*KPIS[:3], "ranked")):  # sellers are staged before their ranks
+        assert "Bucketed: true" in plan and not re.search(r"hashpartitioning\(order_id", plan), plan
+    rows = lambda frame: sorted(map(str, frame.collect()))
+    for kpi, build in gold.GOLD.items():
+        found = rows(store.read("gold", kpi))
+        assert found == rows(build(pipeline.StoredSilver(store))) and len(found) == report[kpi]["rows_out"] > 0
+
+
+def test_shared_facts_are_written_once_and_dropped(spark, tmp_path, monkeypatch):
+    store, written, real = stored(spark, tmp_path), [], bucketed.write_bucketed
+    monkeypatch.setattr(bucketed, "write_bucketed", lambda df, name, path, *a, **k: (written.append((name, path)), real(df, name, path, *a, **k))[1])
+    pipeline.run_gold(store)
+    assert len(written) == len(FACTS)
+    assert not any(spark.catalog.tableExists(name) or Path(path).parent.exists() for name, path in written)
+
+
+def test_a_missing_fact_fails_only_its_kpis(spark, tmp_path):
+    store = stored(spark, tmp_path, *(t for t in TABLES if t != "order_reviews"))
+    failed = {r["table_name"] for r in pipeline.run_gold(store).collect() if r["status"] == "FAILED"}
+    assert failed == {"gold_customer_satisfaction", "gold_seller_performance"}
+
+
+def test_buckets_grow_with_the_rows(spark, monkeypatch):
+    count = lambda rows: GoldFacts(spark, {"orders": spark.range(rows).selectExpr("cast(id AS string) AS order_id")}).buckets()
+    monkeypatch.setattr(bucketed, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(bucketed, "LEAST_ROWS", 50)
+    assert [count(n) for n in (0, 10, 120, 5_000)] == [1, 1, 3, 50]

@@ -542,6 +542,16 @@ def order_status_share(bronze_orders: DataFrame) -> DataFrame:
     )
 
 
+#: What the KPIs of ``GOLD`` read of the facts, of items before their category is known, and of products.
+READ_COLUMNS = {
+    "orders": ("order_id", "customer_id", "order_status", *DAY_KEYS, "delivery_days", "delivered_on_time"),
+    "order_payments": ("order_id", "payment_value"),
+    "order_items": ("order_id", "seller_id", "price", "freight_value"),
+    CATEGORISED: ("order_id", "product_id", "price", "freight_value"),
+    "products": ("product_id", "product_category_name"),
+    "order_reviews": ("order_id", "review_score", "review_sentiment", "has_comment", "days_to_answer"),
+}
+
 GOLD = {
     "gold_daily_revenue": daily_revenue,
     "gold_revenue_by_category": revenue_by_category,

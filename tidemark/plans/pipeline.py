@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.config import CORE_TABLES, TABLES, RunContext
 from tidemark.functions.clean import flag
 from tidemark.plans import bronze, gold, quality, silver
+from tidemark.plans.bucketed import GoldFacts
 from tidemark.jobs import run_jobs
 from tidemark.session import stage
 from tidemark.sources.files import TableStore
@@ -120,15 +121,16 @@ def run_silver(
 
 
 def run_gold(store: TableStore, limit_s: float | None = None) -> DataFrame:
-    """Write the KPI tables; returns one status row per table."""
+    """Write the KPI tables; returns one status row per table. The facts they share are put in buckets once."""
+    with GoldFacts(store.spark, StoredSilver(store)) as facts:
 
-    def build(name: str) -> dict[str, int]:
-        written = Observation()
-        result = gold.GOLD[name](StoredSilver(store)).observe(written, F.count(F.lit(1)).alias("rows_out"))
-        store.overwrite(result, "gold", name)
-        return written.get
+        def build(name: str) -> dict[str, int]:
+            written = Observation()
+            result = gold.GOLD[name](facts).observe(written, F.count(F.lit(1)).alias("rows_out"))
+            store.overwrite(result, "gold", name)
+            return written.get
 
-    return _report(store.spark, _each(store.spark, gold.GOLD, build, limit_s))
+        return _report(store.spark, _each(store.spark, gold.GOLD, build, limit_s))
 
 
 def _samples(tables: quality.Tables, names: Iterable[str], family: str) -> DataFrame | None:
